@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.operators import checks
 from quarry.plans import gold
 from quarry.plans.layers import from_driver_tables
 
@@ -40,6 +41,15 @@ def _gold(name: str) -> Query:
     return q
 
 
+def _checks(kind: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layers = from_driver_tables(spark, sf_dir)
+        return checks.check_results({**layers.silver, **layers.gold}, kinds=[kind])
+
+    q.__name__ = f"k_{kind}"
+    return q
+
+
 def m16_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sample_history(from_driver_tables(spark, sf_dir).silver["silver_dim_customer"])
 
@@ -61,6 +71,7 @@ CORE: dict[str, Query] = {
     "m14_reconciliation": _gold("gold_rpt_reconciliation"),
     "m15_scorecard": _gold("gold_rpt_data_quality"),
     "m16_history": m16_history,
+    **{f"k_{kind}": _checks(kind) for kind in checks.KINDS},
 }
 
 
