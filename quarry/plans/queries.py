@@ -10,8 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from quarry.functions.normalize import batch_increment, batch_key, month_add, month_floor
 from quarry.operators import checks
-from quarry.plans import gold
+from quarry.operators.dedup import keep_latest
+from quarry.plans import extras, gold
+from quarry.sources import overlay
+from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
 from quarry.plans.layers import from_driver_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +56,76 @@ def _checks(kind: str) -> Query:
     return q
 
 
+def x01_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = from_driver_tables(spark, sf_dir).silver
+    return extras.payments_asof_customer(
+        s["silver_premium_payments"], s["silver_policies"], s["silver_dim_customer"]
+    )
+
+
+def fuzzy_sources(layers) -> list:
+    b = layers.bronze
+    return [
+        ("policies.product_line", b["policies"], "product_line", checks.PRODUCT_LINES),
+        ("policies.status", b["policies"], "status", checks.POLICY_STATUSES),
+        ("premium_payments.method", b["premium_payments"], "method", checks.PAYMENT_METHODS),
+        ("claims.status", b["claims"], "status", checks.CLAIM_STATUSES),
+        ("customer_snapshots.income_band", b["customer_snapshots"], "income_band", INCOME_BANDS),
+        ("customer_snapshots.risk_class", b["customer_snapshots"], "risk_class", RISK_CLASSES),
+    ]
+
+
+def x04_fuzzy_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extras.fuzzy_repair_report(fuzzy_sources(from_driver_tables(spark, sf_dir)))
+
+
+def x05_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = from_driver_tables(spark, sf_dir).bronze
+    return extras.freshness(
+        [("premium_payments", b["premium_payments"], "due_date"), ("claims", b["claims"], "filed_date")]
+    )
+
+
+def x06_currency_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = from_driver_tables(spark, sf_dir).silver
+    return extras.currency_match(s["silver_premium_payments"], s["silver_policies"])
+
+
+LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def w04_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-latest on untouched driver data: newest ship date per order line."""
+    return keep_latest(overlay.driver_table(spark, sf_dir, "lineitem"), LINEITEM_KEY, ["l_shipdate"])
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlay.driver_table(spark, sf_dir, "orders")
+
+
+def r14_month_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return _orders(spark, sf_dir).select(
+        "o_orderkey", month_add("o_orderdate", (k % 25 - 12).cast("int")).alias("month_added")
+    )
+
+
+def r15_month_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).select("o_orderkey", month_floor("o_orderdate").alias("month_start"))
+
+
+def r16_batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).select("o_orderkey", batch_key("o_orderdate").alias("batch"))
+
+
+def r17_batch_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return _orders(spark, sf_dir).select(
+        "o_orderkey",
+        batch_increment(batch_key("o_orderdate"), (k % 25 - 12).cast("int")).alias("moved_batch"),
+    )
+
+
 def m16_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sample_history(from_driver_tables(spark, sf_dir).silver["silver_dim_customer"])
 
@@ -72,6 +148,15 @@ CORE: dict[str, Query] = {
     "m15_scorecard": _gold("gold_rpt_data_quality"),
     "m16_history": m16_history,
     **{f"k_{kind}": _checks(kind) for kind in checks.KINDS},
+    "w04_keep_latest": w04_keep_latest,
+    "r14_month_add": r14_month_add,
+    "r15_month_floor": r15_month_floor,
+    "r16_batch_key": r16_batch_key,
+    "r17_batch_increment": r17_batch_increment,
+    "x01_asof_join": x01_asof_join,
+    "x04_fuzzy_repair": x04_fuzzy_repair,
+    "x05_freshness": x05_freshness,
+    "x06_currency_match": x06_currency_match,
 }
 
 

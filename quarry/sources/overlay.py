@@ -32,7 +32,20 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least as many partitions as the cluster has cores.
+
+    A single-row-group file is read by one task, which would then run every
+    projection and the map side of the next shuffle alone. A scan of many files
+    (the normal case at scale) already has enough splits and is left untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def noisy(v: Column, k: Column) -> Column:
@@ -190,17 +203,22 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = driver_table(spark, sf_dir, "customer")
+    c = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
     # One row per customer and month: explode a fixed 84-element month range
     # (a generator, not a join), so the work stays partitioned like `customer`.
     m = F.col("m")
     key = F.col("c_custkey")
-    snaps = c.select("*", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_MONTHS - 1))).alias("m"))
+    # Hash-partition the (small) customer rows on the business key *before* the
+    # 84x fan-out: the SCD2 window downstream is clustered by customer_id, so the
+    # 84x larger snapshot frame is never shuffled.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = c.withColumn("customer_id", customer_id(key)).repartition(n, "customer_id")
+    snaps = keyed.select("*", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_MONTHS - 1))).alias("m"))
     city_idx = (F.col("c_nationkey") + F.floor((key + m) / (key % 17 + 31))) % 25
     income_idx = F.floor((key + m) / (key % 23 + 29)) % 4
     risk_idx = F.floor((key * 3 + m) / (key % 29 + 61)) % 3
     return snaps.select(
-        customer_id(key).alias("customer_id"),
+        "customer_id",
         F.add_months(F.lit(SNAPSHOT_START).cast("date"), m).alias("snapshot_month"),
         F.concat(F.lit(" "), F.col("c_name")).alias("full_name"),
         F.date_add(F.lit(BIRTH_START).cast("date"), (key * 37 % 17000).cast("int")).alias(
