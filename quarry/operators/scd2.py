@@ -51,29 +51,27 @@ def change_flag(tracked: Sequence[str], w: Window, null_safe: bool = False) -> C
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def scd2_from_snapshots(
+def _spans(
     df: DataFrame,
     key: str,
     period: str,
     tracked: Sequence[str],
-    carried: Sequence[str] = (),
-    null_safe: bool = False,
-    version_col: str = "scd_version",
-    sk_col: str | None = "customer_sk",
-    order: Sequence[str] | None = None,
+    carried: Sequence[str],
+    null_safe: bool,
+    version_col: str,
+    sk_col: str | None,
+    order: Sequence[str],
+    base_col: str | None = None,
 ) -> DataFrame:
-    """Spans ``[valid_from, valid_to)`` per ``key``; ``valid_to`` NULL when current.
-
-    ``order`` (default ``[period]``) sorts the snapshots of one key; pass extra
-    columns to break ties when a key may repeat within a period.
-    """
-    order = list(order or [period])
     w = Window.partitionBy(key).orderBy(*order)
     flagged = df.withColumn("_chg", change_flag(tracked, w, null_safe))
-    versioned = flagged.withColumn(
-        "_ver",
-        F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
+    running = F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if base_col:
+        # Versions continue from a stored history: the seed row (the key's
+        # current span) is version `base`, so offset the running count by base-1.
+        base = F.max(base_col).over(Window.partitionBy(key))
+        running = running + F.coalesce(base, F.lit(1)) - 1
+    versioned = flagged.withColumn("_ver", running)
     spans = versioned.groupBy(key, "_ver").agg(
         F.min(period).alias("valid_from"),
         *[F.min(c).alias(c) for c in list(tracked) + list(carried)],
@@ -89,6 +87,72 @@ def scd2_from_snapshots(
     return out.select(*cols)
 
 
+def scd2_from_snapshots(
+    df: DataFrame,
+    key: str,
+    period: str,
+    tracked: Sequence[str],
+    carried: Sequence[str] = (),
+    null_safe: bool = False,
+    version_col: str = "scd_version",
+    sk_col: str | None = "customer_sk",
+    order: Sequence[str] | None = None,
+) -> DataFrame:
+    """Spans ``[valid_from, valid_to)`` per ``key``; ``valid_to`` NULL when current.
+
+    ``order`` (default ``[period]``) sorts the snapshots of one key; pass extra
+    columns to break ties when a key may repeat within a period.
+    """
+    return _spans(
+        df, key, period, tracked, carried, null_safe, version_col, sk_col, list(order or [period])
+    )
+
+
+def scd2_merge(
+    history: DataFrame,
+    snapshots: DataFrame,
+    key: str,
+    period: str,
+    tracked: Sequence[str],
+    carried: Sequence[str] = (),
+    null_safe: bool = False,
+    version_col: str = "scd_version",
+    sk_col: str | None = "customer_sk",
+) -> DataFrame:
+    """Merge new snapshot periods (all later than the history) into an SCD2 history.
+
+    Closed spans pass through untouched. Each key's current span is re-seeded
+    as a pseudo-snapshot (period = its ``valid_from``, its attributes, its
+    version) and the same change/version/collapse steps run over seed + new
+    periods, continuing the version numbers. Any number of new periods merges
+    in one job; the result equals a full rebuild over all periods. A key
+    absent from the new periods keeps its open span (gaps are bridged).
+    """
+    cols = [key, period, *tracked, *carried]
+    closed = history.filter(~F.col("is_current"))
+    seed = history.filter(F.col("is_current")).select(
+        key,
+        F.col("valid_from").alias(period),
+        *tracked,
+        *carried,
+        F.col(version_col).alias("_base"),
+    )
+    new = snapshots.select(*cols, F.lit(None).cast("int").alias("_base"))
+    reopened = _spans(
+        seed.unionByName(new),
+        key,
+        period,
+        tracked,
+        carried,
+        null_safe,
+        version_col,
+        sk_col,
+        [period],
+        base_col="_base",
+    )
+    return closed.select(*reopened.columns).unionByName(reopened)
+
+
 def current_rows(dim: DataFrame, flag: str = "is_current") -> DataFrame:
     """The open span of every key (J03's right side, pre-filtered)."""
     return dim.filter(F.col(flag))

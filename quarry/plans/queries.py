@@ -10,13 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.functions.normalize import batch_increment, batch_key, month_add, month_floor
 from quarry.operators import checks
 from quarry.operators.dedup import keep_latest
-from quarry.plans import extras, gold
-from quarry.sources import overlay
+from quarry.operators.scd2 import scd2_from_snapshots
+from quarry.plans import extras, gold, pipeline, silver
+from quarry.schemas import RAW_PREMIUM_PAYMENTS
+from quarry.session import shared_dir
+from quarry.sources import overlay, parquet
+from quarry.streaming import incremental
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
 from quarry.plans.layers import from_driver_tables
 
@@ -126,6 +132,60 @@ def r17_batch_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def s08_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full build into the shared folder; the silver payments table read back."""
+    result = pipeline.build(
+        spark, from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse"),
+        db_prefix=f"q{uuid.uuid4().hex[:8]}_",
+    )
+    return spark.table(result.tables["silver_premium_payments"])
+
+
+def p_pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full build; all 42 check results read back from the written gold table."""
+    result = pipeline.build(
+        spark, from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse"),
+        db_prefix=f"q{uuid.uuid4().hex[:8]}_",
+    )
+    return result.checks
+
+
+def s10_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze payments landed one folder per batch, read back with the declared schema."""
+    path = shared_dir(spark, "landing", "premium_payments")
+    parquet.write_batches(from_driver_tables(spark, sf_dir).bronze["premium_payments"], path)
+    return parquet.read_batches(spark, path, RAW_PREMIUM_PAYMENTS)
+
+
+def x02_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver payments built batch by batch from a landing folder by a stream."""
+    root = shared_dir(spark, "x02")
+    landing = f"{root}/landing/premium_payments"
+    parquet.write_batches(from_driver_tables(spark, sf_dir).bronze["premium_payments"], landing)
+    table = incremental.IncrementalSilver(
+        spark, f"{root}/silver/premium_payments", "payment_id", silver.FACT_LATEST_BY,
+        silver.normalized_payments,
+        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    incremental.stream_silver(spark, landing, RAW_PREMIUM_PAYMENTS, table, f"{root}/_stream")
+    return table.read()
+
+
+# Merge the last three years of snapshots into a history built from the first four.
+X03_HISTORY_END = "1999-01-01"
+X03_BOUNDARIES = ["1999-01-01", "2000-01-01", "2001-01-01"]
+
+
+def x03_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snaps = silver.normalized_snapshots(from_driver_tables(spark, sf_dir).bronze["customer_snapshots"])
+    args = dict(key="customer_id", tracked=silver.DIM_TRACKED, carried=silver.DIM_CARRIED)
+    early = snaps.filter(F.col("snapshot_month") < F.lit(X03_HISTORY_END).cast("date"))
+    history = scd2_from_snapshots(early, period="snapshot_month", **args).checkpoint(eager=True)
+    return incremental.merge_snapshot_periods(
+        history, snaps, "snapshot_month", X03_BOUNDARIES, **args
+    )
+
+
 def m16_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sample_history(from_driver_tables(spark, sf_dir).silver["silver_dim_customer"])
 
@@ -157,6 +217,11 @@ CORE: dict[str, Query] = {
     "x04_fuzzy_repair": x04_fuzzy_repair,
     "x05_freshness": x05_freshness,
     "x06_currency_match": x06_currency_match,
+    "s08_table_roundtrip": s08_table_roundtrip,
+    "s10_batch_sink": s10_batch_sink,
+    "x02_incremental": x02_incremental,
+    "x03_snapshot_merge": x03_snapshot_merge,
+    "p_pipeline_checks": p_pipeline_checks,
 }
 
 
