@@ -194,17 +194,20 @@ def gold_rpt_data_quality(
         F.count(F.lit(1)).alias("claims_total"),
         F.count_if(F.col("is_late_arrival")).alias("claims_late_arrival"),
     )
-    dim = dim_customer.agg(
-        F.count(F.lit(1)).alias("customers_scd_rows"),
-        F.count_if(F.col("is_current")).alias("customers_current"),
+    # One pass over the dimension: per customer (already clustered by
+    # customer_id, so no shuffle) then a global roll-up.
+    per_customer = dim_customer.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(F.col("is_current")).alias("_current"),
+        F.max("scd_version").alias("_mv"),
     )
-    hist = (
-        dim_customer.groupBy("customer_id")
-        .agg(F.max("scd_version").alias("_mv"))
-        .agg(F.count_if(F.col("_mv") > 1).alias("customers_with_history"))
+    dim = per_customer.agg(
+        F.sum("_rows").cast("long").alias("customers_scd_rows"),
+        F.sum("_current").cast("long").alias("customers_current"),
+        F.count_if(F.col("_mv") > 1).alias("customers_with_history"),
     )
     parts = [
-        _metric_rows(df, [(ordinal[c], c) for c in df.columns]) for df in (pay, clm, dim, hist)
+        _metric_rows(df, [(ordinal[c], c) for c in df.columns]) for df in (pay, clm, dim)
     ]
     rows = parts[0]
     for p in parts[1:]:
@@ -214,19 +217,27 @@ def gold_rpt_data_quality(
 
 
 def sample_history(dim_customer: DataFrame, min_versions: int = 3) -> DataFrame:  # M16
-    """All versions of the first customer (by id) with ``>= min_versions`` spans."""
-    first = (
+    """All versions of the first customer (by id) with ``>= min_versions`` spans.
+
+    One pass over the dimension: each customer's spans are gathered into one
+    row (bounded by the number of snapshot periods), customers with enough
+    versions are kept, and the first by id is a distributed top-1 (each task
+    keeps its own first, then the smallest wins); its spans are exploded back.
+    """
+    cols = ["customer_id", "scd_version", "city", "income_band", "risk_class",
+            "valid_from", "valid_to", "is_current"]
+    per_customer = (
         dim_customer.groupBy("customer_id")
-        .agg(F.max("scd_version").alias("_mv"))
-        .filter(F.col("_mv") >= min_versions)  # A10
-        .agg(F.min("customer_id").alias("customer_id"))  # O03 as a min: one row
+        .agg(
+            F.max("scd_version").alias("_mv"),  # A10
+            F.collect_list(F.struct(*cols)).alias("_spans"),
+        )
+        .filter(F.col("_mv") >= min_versions)
     )
+    first = per_customer.orderBy("customer_id").limit(1)  # O03: top-1 is the feature
     return (
-        dim_customer.join(first, "customer_id", "left_semi")  # P19
-        .select(
-            "customer_id", "scd_version", "city", "income_band", "risk_class",
-            "valid_from", "valid_to", "is_current",
-        )
+        first.select(F.explode("_spans").alias("s"))  # P19: that customer's rows
+        .select("s.*")
         .orderBy("scd_version")
     )
 

@@ -1,8 +1,12 @@
-"""Lazy construction of all layers from one input (driver tables or a landing folder)."""
+"""Lazy construction of all layers from one input (driver tables or a landing folder).
+
+Each table's plan is built on first access only, so a query that needs two
+silver tables does not analyse the other eight.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,37 +14,76 @@ from quarry.plans import gold, silver
 from quarry.sources import bronze, overlay, parquet
 
 
-@dataclass
+class LazyTables(Mapping):
+    """A read-only mapping whose values are built (once) on first access."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]) -> None:
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class Layers:
-    raw: dict[str, DataFrame]
-    bronze: dict[str, DataFrame] = field(init=False)
-    silver: dict[str, DataFrame] = field(init=False)
-    _gold: dict[str, DataFrame] | None = field(default=None, init=False)
-
-    def __post_init__(self) -> None:
-        self.bronze = bronze.bronze_layer(self.raw)
-        self.silver = silver.silver_layer(self.bronze)
-
-    @property
-    def gold(self) -> dict[str, DataFrame]:
-        if self._gold is None:
-            self._gold = gold.gold_layer(self.bronze, self.silver)
-        return self._gold
-
-    def table(self, name: str) -> DataFrame:
-        for layer in (self.silver, self.gold):
-            if name in layer:
-                return layer[name]
-        if name.startswith("bronze_"):
-            return self.bronze[name[len("bronze_"):]]
-        raise KeyError(name)
+    def __init__(self, raw: Mapping[str, DataFrame] | dict[str, Callable[[], DataFrame]]) -> None:
+        self.raw = raw if isinstance(raw, LazyTables) else LazyTables(
+            {k: (v if callable(v) and not isinstance(v, DataFrame) else (lambda v=v: v)) for k, v in raw.items()}
+        )
+        r = self.raw
+        self.bronze = LazyTables({n: (lambda n=n: bronze.bronze(r[n], n)) for n in r})
+        b = self.bronze
+        self.silver = LazyTables(
+            {
+                "silver_agents": lambda: silver.silver_agents(b["agents"]),
+                "silver_dim_customer": lambda: silver.silver_dim_customer(b["customer_snapshots"]),
+                "silver_policies": lambda: silver.silver_policies(b["policies"]),
+                "silver_premium_payments": lambda: silver.silver_premium_payments(b["premium_payments"]),
+                "silver_claims": lambda: silver.silver_claims(b["claims"]),
+            }
+        )
+        s = self.silver
+        self.gold = LazyTables(
+            {
+                "gold_fct_premium_payments": lambda: gold.gold_fct_premium_payments(
+                    s["silver_premium_payments"], s["silver_policies"], s["silver_agents"],
+                    s["silver_dim_customer"],
+                ),
+                "gold_fct_claims": lambda: gold.gold_fct_claims(
+                    s["silver_claims"], s["silver_policies"], s["silver_agents"]
+                ),
+                "gold_policy_performance": lambda: gold.gold_policy_performance(
+                    s["silver_policies"], s["silver_premium_payments"], s["silver_claims"]
+                ),
+                "gold_rpt_reconciliation": lambda: gold.gold_rpt_reconciliation(
+                    b["premium_payments"], s["silver_premium_payments"], b["claims"], s["silver_claims"]
+                ),
+                "gold_rpt_data_quality": lambda: gold.gold_rpt_data_quality(
+                    s["silver_premium_payments"], s["silver_claims"], s["silver_dim_customer"]
+                ),
+            }
+        )
+
+    def tables(self) -> LazyTables:
+        """Silver and gold together (what the checks read)."""
+        both = {n: (lambda n=n: self.silver[n]) for n in self.silver}
+        both.update({n: (lambda n=n: self.gold[n]) for n in self.gold})
+        return LazyTables(both)
 
 
 def from_driver_tables(spark: SparkSession, sf_dir: str) -> Layers:
     """Layers over the overlay of the driver's TPC-H-like tables."""
-    return Layers(overlay.raw_tables(spark, sf_dir))
+    return Layers({n: (lambda fn=fn: fn(spark, sf_dir)) for n, fn in overlay.EXTRACTS.items()})
 
 
 def from_landing(spark: SparkSession, root: str) -> Layers:
     """Layers over a landing folder ``<root>/<table>/*.parquet``."""
-    return Layers(parquet.read_landing(spark, root))
+    return Layers({n: (lambda n=n: parquet.read_raw(spark, root, n)) for n in overlay.EXTRACTS})

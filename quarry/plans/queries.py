@@ -56,7 +56,7 @@ def _gold(name: str) -> Query:
 def _checks(kind: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         layers = from_driver_tables(spark, sf_dir)
-        return checks.check_results({**layers.silver, **layers.gold}, kinds=[kind])
+        return checks.check_results(layers.tables(), kinds=[kind])
 
     q.__name__ = f"k_{kind}"
     return q

@@ -36,14 +36,15 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least as many partitions as the cluster has cores.
+    """Give a scan of too few files at least as many partitions as there are cores.
 
     A single-row-group file is read by one task, which would then run every
     projection and the map side of the next shuffle alone. A scan of many files
     (the normal case at scale) already has enough splits and is left untouched.
+    The file list is the one Spark built when the reader was created.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)
 
@@ -177,7 +178,14 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     landed = F.coalesce(assessed, filed)
-    base = ev.select(
+    batch = batch_key(F.add_months(landed, (k % 3).cast("int")))
+    # Re-sends: every 50th claim is emitted twice; every 100th copy lands one
+    # batch later (same ingest time), as an idempotent re-send would. One scan:
+    # each event explodes into its copies instead of a self-union.
+    copies = F.when(k % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    ev = ev.withColumn("_copy", F.explode(copies))
+    resent_later = (F.col("_copy") == 1) & (k % 100 == 0)
+    return ev.select(
         padded_id("CLM", k, 8).alias("claim_id"),
         policy_id(k).alias("policy_id"),
         pick(CLAIM_TYPES, k % 5).alias("claim_type"),
@@ -188,18 +196,8 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         currency_of(k).alias("currency"),
         noisy(canonical, k).alias("status"),
         landed.cast("timestamp_ntz").alias("_ingested_at"),
-        batch_key(F.add_months(landed, (k % 3).cast("int"))).alias("_batch"),
-        k.alias("_k"),
-    )
-    # Re-sends: every 50th claim is emitted twice; every 100th copy lands one
-    # batch later (same ingest time), as an idempotent re-send would.
-    resent = base.filter(F.col("_k") % 50 == 0).withColumn(
-        "_batch",
-        F.when(F.col("_k") % 100 == 0, batch_increment(F.col("_batch"), 1)).otherwise(
-            F.col("_batch")
-        ),
+        F.when(resent_later, batch_increment(batch, 1)).otherwise(batch).alias("_batch"),
     )
-    return base.unionByName(resent).drop("_k")
 
 
 def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
