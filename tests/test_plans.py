@@ -11,8 +11,15 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dedup_has_partial_window_group_limit_before_shuffle(small_layers):
-    p = plan(small_layers.silver["silver_premium_payments"])
+def fresh(spark):
+    """New, never-executed plans (an executed one shows AQE's final plan instead)."""
+    from quarry.plans.layers import from_driver_tables
+
+    return from_driver_tables(spark, SF_SMALL)
+
+
+def test_dedup_has_partial_window_group_limit_before_shuffle(spark):
+    p = plan(fresh(spark).silver["silver_premium_payments"])
     # Final limit above the exchange, partial limit below it.
     assert p.count("WindowGroupLimit") == 2
     top = p.index("WindowGroupLimit")
@@ -20,8 +27,8 @@ def test_dedup_has_partial_window_group_limit_before_shuffle(small_layers):
     assert top < ex < p.rindex("WindowGroupLimit")
 
 
-def test_scd2_never_shuffles_the_snapshot_rows(small_layers):
-    p = plan(small_layers.silver["silver_dim_customer"])
+def test_scd2_never_shuffles_the_snapshot_rows(spark):
+    p = plan(fresh(spark).silver["silver_dim_customer"])
     exchanges = re.findall(r"Exchange [a-zA-Z]+\(([^)]*)\)", p)
     # The only exchange is the small customer master, hashed on the key before
     # the monthly fan-out; the windows and the collapse reuse it.
@@ -29,8 +36,8 @@ def test_scd2_never_shuffles_the_snapshot_rows(small_layers):
     assert p.index("Exchange") > p.index("Generate")
 
 
-def test_policy_mart_aggregates_facts_before_joining(small_layers):
-    p = plan(small_layers.gold["gold_policy_performance"])
+def test_policy_mart_aggregates_facts_before_joining(spark):
+    p = plan(fresh(spark).gold["gold_policy_performance"])
     assert "partial_count" in p and "partial_sum" in p
 
 
