@@ -20,6 +20,7 @@ tables. Results ``(check_id, target, violations)`` are written next to gold.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +94,13 @@ def _gate(results: DataFrame, stage: str) -> None:
         raise CheckFailure(f"{stage} checks failed: {detail}")
 
 
+def _save_all(jobs: dict[str, tuple], threads: int) -> dict[str, str]:
+    """Write independent models of one layer as concurrent Spark jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {name: pool.submit(save_table, *args) for name, args in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def build(
     spark: SparkSession,
     layers: Layers,
@@ -100,7 +108,11 @@ def build(
     buckets: int | None = None,
     db_prefix: str = "",
     gate: bool = True,
+    threads: int = 4,
 ) -> BuildResult:
+    """Build silver and gold. Models of one layer do not depend on each other, so
+    up to ``threads`` of them run as concurrent jobs (the scheduler interleaves
+    their tasks); layers run in dependency order with a check gate between."""
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     register_views(layers.bronze)  # S07: bronze stays a view
     dup = checks.unique_combination_offenders(layers.bronze["customer_snapshots"], SNAPSHOT_KEY)
@@ -109,8 +121,15 @@ def build(
     dbs = {layer: _database(spark, warehouse, layer, db_prefix) for layer in ("silver", "gold")}
     tables: dict[str, str] = {}
 
-    for name, df in layers.silver.items():
-        tables[name] = save_table(df, f"{dbs['silver']}.{name}", BUCKETED.get(name), buckets)
+    tables.update(
+        _save_all(
+            {
+                name: (df, f"{dbs['silver']}.{name}", BUCKETED.get(name), buckets)
+                for name, df in layers.silver.items()
+            },
+            threads,
+        )
+    )
     silver = {name: spark.table(ident) for name, ident in tables.items()}
 
     # Check results are written once and read back: the gate and the final
@@ -121,8 +140,10 @@ def build(
     if gate:
         _gate(spark.table(silver_ident), "silver")
 
-    for name, df in gold.gold_layer(layers.bronze, silver).items():
-        tables[name] = save_table(df, f"{dbs['gold']}.{name}")
+    gold_models = gold.gold_layer(layers.bronze, silver)
+    tables.update(
+        _save_all({name: (df, f"{dbs['gold']}.{name}") for name, df in gold_models.items()}, threads)
+    )
     stored = {name: spark.table(ident) for name, ident in tables.items()}
 
     gold_ident = save_table(

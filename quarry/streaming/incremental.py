@@ -136,14 +136,24 @@ def merge_snapshot_periods(
 
     ``boundaries`` are period starts (``YYYY-MM-DD``); the slice
     ``[boundaries[i], boundaries[i+1])`` is merged in step ``i`` and the last
-    slice is open-ended. Each step's result is checkpointed into the shared
-    folder so lineage stays one step deep, as it would between scheduled runs.
+    slice is open-ended. Closed spans never change, so each step carries only
+    the open spans forward (plus the spans it closes, which are appended to the
+    closed set): a step costs O(keys + changes), not O(history). Each step is
+    checkpointed into the shared folder, so lineage stays one step deep, as it
+    would between scheduled runs.
     """
     d = F.col(period)
+    closed_parts = [history.filter(~F.col("is_current"))]
+    current = history.filter(F.col("is_current"))
     for i, start in enumerate(boundaries):
         cond = d >= F.lit(start).cast("date")
         if i + 1 < len(boundaries):
             cond = cond & (d < F.lit(boundaries[i + 1]).cast("date"))
-        history = scd2_merge(history, snapshots.filter(cond), period=period, **scd2_args)
-        history = history.checkpoint(eager=True)
-    return history
+        step = scd2_merge(current, snapshots.filter(cond), period=period, **scd2_args)
+        step = step.checkpoint(eager=True)
+        closed_parts.append(step.filter(~F.col("is_current")))
+        current = step.filter(F.col("is_current"))
+    out = current
+    for part in closed_parts:
+        out = part.select(*current.columns).unionByName(out)
+    return out
