@@ -32,19 +32,25 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of too few files at least as many partitions as there are cores.
+_SPLITS: dict[str, int] = {}
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core.
 
     A single-row-group file is read by one task, which would then run every
     projection and the map side of the next shuffle alone. A scan of many files
     (the normal case at scale) already has enough splits and is left untouched.
-    The file list is the one Spark built when the reader was created.
+    The split count is one integer per path, looked up once per process.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    if _SPLITS[path] >= cores:
         return df
     return df.repartition(cores)
 
