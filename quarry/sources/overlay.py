@@ -67,11 +67,8 @@ def noisy(v: Column, k: Column) -> Column:
 
 
 def pick(values: list, idx: Column) -> Column:
-    """Element ``idx`` (0-based) of a literal list; a CASE, so it stays in codegen."""
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
-    return expr
+    """Element ``idx`` (0-based) of a literal list (folded to one constant array)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
 def padded_id(prefix: str, key: Column, width: int) -> Column:
@@ -221,7 +218,9 @@ def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     city_idx = (F.col("c_nationkey") + F.floor((key + m) / (key % 17 + 31))) % 25
     income_idx = F.floor((key + m) / (key % 23 + 29)) % 4
     risk_idx = F.floor((key * 3 + m) / (key % 29 + 61)) % 3
-    return snaps.select(
+    # Canonical values first, noise second: two projections, so each canonical
+    # expression is evaluated once per row rather than once per noise branch.
+    canonical = snaps.select(
         "customer_id",
         F.add_months(F.lit(SNAPSHOT_START).cast("date"), m).alias("snapshot_month"),
         F.concat(F.lit(" "), F.col("c_name")).alias("full_name"),
@@ -230,10 +229,19 @@ def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.when(key % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
         F.col("c_mktsegment").alias("occupation"),
-        noisy(F.concat(F.lit("NATION_"), city_idx.cast("string")), key * 3 + m).alias("city"),
-        noisy(pick(INCOME_BANDS, income_idx), key + m * 5).alias("income_band"),
-        noisy(pick(RISK_CLASSES, risk_idx), key * 7 + m).alias("risk_class"),
+        F.concat(F.lit("NATION_"), city_idx.cast("string")).alias("_city"),
+        pick(INCOME_BANDS, income_idx).alias("_income"),
+        pick(RISK_CLASSES, risk_idx).alias("_risk"),
+        (key * 3 + m).alias("_kc"),
+        (key + m * 5).alias("_ki"),
+        (key * 7 + m).alias("_kr"),
     )
+    return canonical.select(
+        "customer_id", "snapshot_month", "full_name", "birth_date", "gender", "occupation",
+        noisy(F.col("_city"), F.col("_kc")).alias("city"),
+        noisy(F.col("_income"), F.col("_ki")).alias("income_band"),
+        noisy(F.col("_risk"), F.col("_kr")).alias("risk_class"),
+    )
 
 
 EXTRACTS = {
