@@ -82,9 +82,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "quarry", *parts, uuid.uuid4().hex[:12]])
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers can list files."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "shared_dir", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "shared_dir", "DEFAULT_CONF"]

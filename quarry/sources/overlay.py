@@ -28,9 +28,6 @@ HIRE_START = "2015-01-01"
 BIRTH_START = "1955-01-01"
 NOISE_MODULUS = 23
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
-
-
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     return spread(spark.read.parquet(path), path)

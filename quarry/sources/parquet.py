@@ -4,8 +4,8 @@ Landing layout: ``<root>/<table>/*.parquet`` (one or more files per batch, in
 place). Adding a batch file is additive: the next read sees it. Schemas are
 declared, never inferred.
 
-Layer tables are written under ``<warehouse>/<layer>/<table>`` (S09): the layer
-name is the namespace, like a database name.
+Layer tables live under ``<warehouse>/<layer>/<table>`` (S09): the layer name is
+the namespace (a catalog database per layer, see ``plans.pipeline``).
 """
 
 from __future__ import annotations
@@ -30,10 +30,6 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     )
 
 
-def read_landing(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_raw(spark, root, name) for name in RAW_SCHEMAS}
-
-
 def table_path(warehouse: str, layer: str, name: str) -> str:
     """``<warehouse>/<layer>/<name>``; the layer is a literal namespace."""
     if layer not in LAYERS:
@@ -41,22 +37,6 @@ def table_path(warehouse: str, layer: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{layer}/{name}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Full-refresh table write (overwrite, idempotent on re-run)."""
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return path
-
-
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
 def write_single_file(df: DataFrame, path: str) -> str:
     """A small master as one file. Only for tables of bounded size."""
     df.coalesce(1).write.mode("overwrite").parquet(path)

@@ -220,3 +220,42 @@ def test_scd2_generic_operator_with_tie_break_order(spark):
     )
     out = rows(scd2_from_snapshots(df, "k", "ts", ["v"], sk_col=None, order=["ts", "id"]), ["scd_version"])
     assert [(r["v"], r["scd_version"]) for r in out] == [("a", 1), ("b", 2)]
+
+
+def test_fuzzy_repair_fixes_typos_and_leaves_far_values(spark):
+    from quarry.plans.extras import repair_column
+
+    df = spark.createDataFrame([("LIFEE",), (" helth",), ("general",), ("BANANA",), (None,)], "v string")
+    got = [r.v for r in repair_column(df, "v", ["LIFE", "MICRO", "HEALTH", "GENERAL"]).collect()]
+    assert got == ["LIFE", "HEALTH", "GENERAL", None, None]
+
+
+def test_broadcast_only_behind_a_row_bound(spark):
+    from quarry.operators.joins import broadcast_if_small, has_at_most
+
+    small = spark.range(10)
+    assert has_at_most(small, 10) and not has_at_most(small, 9)
+    big = spark.range(1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints count
+    try:
+        j = spark.range(5).join(broadcast_if_small(big, max_rows=100), "id")
+        assert "BroadcastHashJoin" not in j._jdf.queryExecution().sparkPlan().toString()
+        j2 = spark.range(5).join(broadcast_if_small(small, max_rows=100), "id")
+        assert "BroadcastHashJoin" in j2._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_asof_join_picks_span_in_force_and_keeps_unmatched(spark):
+    from quarry.plans.extras import asof_join
+
+    dim = spark.createDataFrame(
+        [("C1", 1, D(2024, 1, 1), D(2024, 3, 1), "A"), ("C1", 2, D(2024, 3, 1), None, "B")],
+        "customer_id string, scd_version int, valid_from date, valid_to date, city string",
+    )
+    facts = spark.createDataFrame(
+        [(1, "C1", D(2023, 12, 31)), (2, "C1", D(2024, 2, 29)), (3, "C1", D(2024, 3, 1)), (4, "C2", D(2024, 1, 5))],
+        "id int, customer_id string, at date",
+    )
+    got = {r.id: r.city for r in asof_join(facts, dim, "customer_id", "at", ["city"]).collect()}
+    assert got == {1: None, 2: "A", 3: "B", 4: None}
