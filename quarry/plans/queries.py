@@ -20,7 +20,7 @@ from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.plans import extras, gold, pipeline, silver
 from quarry.schemas import RAW_PREMIUM_PAYMENTS
-from quarry.session import shared_dir
+from quarry.session import ensure_checkpoint_dir, shared_dir
 from quarry.sources import overlay, parquet
 from quarry.streaming import incremental
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
@@ -177,6 +177,7 @@ X03_BOUNDARIES = ["1999-01-01", "2000-01-01", "2001-01-01"]
 
 
 def x03_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
     snaps = silver.normalized_snapshots(from_driver_tables(spark, sf_dir).bronze["customer_snapshots"])
     args = dict(key="customer_id", tracked=silver.DIM_TRACKED, carried=silver.DIM_CARRIED)
     early = snaps.filter(F.col("snapshot_month") < F.lit(X03_HISTORY_END).cast("date"))

@@ -142,6 +142,7 @@ def merge_snapshot_periods(
     checkpointed into the shared folder, so lineage stays one step deep, as it
     would between scheduled runs.
     """
+    ensure_checkpoint_dir(history.sparkSession)
     d = F.col(period)
     closed_parts = [history.filter(~F.col("is_current"))]
     current = history.filter(F.col("is_current"))
