@@ -2,9 +2,14 @@
 
 Incremental keep-latest silver
 ------------------------------
-The stored silver table is partitioned by a hash bucket of the business key
-(``_bucket = pmod(xxhash64(key), n)``), so every copy of a key, early or late,
-lives in one partition folder. A new batch is merged by
+The stored silver table is partitioned so that every copy of a key, early or
+late, lives in one partition folder. The default partition is a hash bucket of
+the key (``pmod(xxhash64(key), n)``): always correct, but a batch with more keys
+than buckets touches every bucket. When the key determines the event date (a
+re-send repeats the same business event), pass ``partition=`` an event-month
+expression instead: a monthly batch then touches only the few months it
+carries (on-time plus late arrivals), which is what makes the merge incremental
+at scale. A new batch is merged by
 
 1. normalising it and tagging buckets;
 2. reading only the stored partitions whose bucket occurs in the batch (the
@@ -34,7 +39,7 @@ from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_merge
 from quarry.session import ensure_checkpoint_dir
 
-BUCKET = "_bucket"
+BUCKET = "_bucket"  # storage partition column of an incremental table
 
 
 def bucket_of(key: str, n: int):
@@ -52,9 +57,13 @@ class IncrementalSilver:
         latest_by: Sequence[str],
         normalize: Callable[[DataFrame], DataFrame],
         buckets: int = 64,
+        partition=None,
     ) -> None:
+        """``partition``: optional Column giving a row's storage partition; it must
+        be a function of the key (all copies of a key in one partition)."""
         self.spark, self.path, self.key = spark, path, key
         self.latest_by, self.normalize, self.buckets = list(latest_by), normalize, buckets
+        self.partition = partition if partition is not None else bucket_of(key, buckets)
         self._schema: StructType | None = None
         ensure_checkpoint_dir(spark)
 
@@ -70,10 +79,11 @@ class IncrementalSilver:
         return self.spark.read.parquet(self.path).drop(BUCKET)
 
     def merge(self, bronze_batch: DataFrame) -> None:
-        new = self.normalize(bronze_batch).withColumn(BUCKET, bucket_of(self.key, self.buckets))
+        new = self.normalize(bronze_batch).withColumn(BUCKET, self.partition)
         if self._exists():
-            # At most `buckets` small ints reach the driver (a fixed bound): they
-            # become a partition filter, so only touched folders are read.
+            # The touched partition ids (at most `buckets`, or the months a batch
+            # carries: a small bound) become a partition filter, so only touched
+            # folders are read and rewritten.
             touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
             stored = self.spark.read.parquet(self.path).filter(F.col(BUCKET).isin(touched))
             stored = stored.select(*new.columns)
