@@ -142,3 +142,18 @@ def test_incremental_with_event_month_partitions_equals_rebuild(spark, small_lay
         table.merge(bronze.filter(F.col("_batch") == batch))
     expected = silver.silver_claims(bronze)
     assert canon(table.read().collect()) == canon(expected.select(*table.read().columns).collect())
+
+
+def test_reloading_a_batch_replaces_only_that_batch(spark, small_layers, tmp_path):
+    """Re-landing a batch (dynamic overwrite) leaves the other batches alone."""
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "landing")
+    bronze = small_layers.bronze["premium_payments"]
+    parquet.write_batches(bronze, path)
+    one = bronze.select("_batch").first()[0]
+    fixed = bronze.filter(F.col("_batch") == one).withColumn("method", F.lit("CASH"))
+    parquet.write_batches(fixed, path)
+    back = parquet.read_batches(spark, path, RAW_PREMIUM_PAYMENTS)
+    expected = bronze.filter(F.col("_batch") != one).unionByName(fixed)
+    assert canon(back.collect()) == canon(expected.collect())
