@@ -33,10 +33,16 @@ class LazyTables(Mapping):
         return len(self._builders)
 
 
+def _builder(v: DataFrame | Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+    return (lambda: v) if isinstance(v, DataFrame) else v
+
+
 class Layers:
-    def __init__(self, raw: Mapping[str, DataFrame] | dict[str, Callable[[], DataFrame]]) -> None:
+    """Bronze, silver and gold over five raw extracts (frames or frame builders)."""
+
+    def __init__(self, raw: Mapping[str, DataFrame | Callable[[], DataFrame]]) -> None:
         self.raw = raw if isinstance(raw, LazyTables) else LazyTables(
-            {k: (v if callable(v) and not isinstance(v, DataFrame) else (lambda v=v: v)) for k, v in raw.items()}
+            {name: _builder(v) for name, v in raw.items()}
         )
         r = self.raw
         self.bronze = LazyTables({n: (lambda n=n: bronze.bronze(r[n], n)) for n in r})
