@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from quarry.functions.normalize import batch_increment, batch_key, month_add, month_floor
-from quarry.operators import checks
+from quarry.operators import checks, sequential
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.plans import extras, gold, pipeline, silver
@@ -105,6 +105,32 @@ def w04_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest(overlay.driver_table(spark, sf_dir, "lineitem"), LINEITEM_KEY, ["l_shipdate"])
 
 
+def _user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a per-user sequence (range-partitioned downstream, so no spread)."""
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return sequential.change_versions(ev, "user_id", EVENT_ORDER, ["event_type"])
+
+
+EVENT_ORDER = ["ts", "event_id"]
+
+
+def w01_lag_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user, in time order: previous event type and a change flag."""
+    return _user_events(spark, sf_dir).select(
+        "event_id", "user_id", "ts", "event_type", "prev_event_type", "is_change"
+    )
+
+
+def w03_running_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: running count of event-type changes."""
+    return _user_events(spark, sf_dir).select("event_id", "user_id", "version")
+
+
+def w05_lead_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: spans of constant event type, closed by the next span's start."""
+    return sequential.version_spans(_user_events(spark, sf_dir), "user_id", "ts", ["event_type"])
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlay.driver_table(spark, sf_dir, "orders")
 
@@ -209,7 +235,10 @@ CORE: dict[str, Query] = {
     "m15_scorecard": _gold("gold_rpt_data_quality"),
     "m16_history": m16_history,
     **{f"k_{kind}": _checks(kind) for kind in checks.KINDS},
+    "w01_lag_flags": w01_lag_flags,
+    "w03_running_version": w03_running_version,
     "w04_keep_latest": w04_keep_latest,
+    "w05_lead_spans": w05_lead_spans,
     "r14_month_add": r14_month_add,
     "r15_month_floor": r15_month_floor,
     "r16_batch_key": r16_batch_key,

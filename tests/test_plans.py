@@ -82,3 +82,16 @@ def test_hot_policy_is_split_by_aqe_and_results_stay_whole(spark, small_layers):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == n + n // 2  # every row kept, none dropped or capped
     assert "skew=true" in final, final
+
+
+def test_segmented_scan_never_windows_a_whole_key(spark):
+    from quarry.operators.sequential import change_versions
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    p = plan(change_versions(ev, "user_id", ["ts", "event_id"], ["event_type"]))
+    row_windows = re.findall(r"Window \[.*?\], \[([^\]]*)\]", p)
+    assert row_windows, p
+    # Row-level windows are partitioned by (user_id, segment); only the
+    # per-segment summary (at most n rows per key) is windowed by user_id alone.
+    assert any("_seg" in w for w in row_windows)
+    assert "rangepartitioning(user_id" in p
