@@ -97,12 +97,31 @@ def scd2_from_snapshots(
     version_col: str = "scd_version",
     sk_col: str | None = "customer_sk",
     order: Sequence[str] | None = None,
+    segments: int | None = None,
 ) -> DataFrame:
     """Spans ``[valid_from, valid_to)`` per ``key``; ``valid_to`` NULL when current.
 
     ``order`` (default ``[period]``) sorts the snapshots of one key; pass extra
     columns to break ties when a key may repeat within a period.
+
+    Default plan: windows per ``key`` (one shuffle), right when a key's
+    snapshots are bounded (unique ``(key, period)``). ``segments=n`` switches to
+    the skew-safe segmented scan of ``operators.sequential`` for keys whose row
+    count has no bound (sentinel change test only).
     """
+    if segments:
+        if null_safe:
+            raise ValueError("segments= supports the sentinel change test only")
+        from quarry.operators.sequential import change_versions, version_spans
+
+        v = change_versions(df, key, list(order or [period]), tracked, segments)
+        out = version_spans(v, key, period, tracked, carried)
+        out = out.withColumn(version_col, F.col("version").cast("int"))
+        cols = [key, version_col, *tracked, *carried, "valid_from", "valid_to", "is_current"]
+        if sk_col:
+            out = out.withColumn(sk_col, surrogate_key(key, version_col))
+            cols = [sk_col, *cols]
+        return out.select(*cols)
     return _spans(
         df, key, period, tracked, carried, null_safe, version_col, sk_col, list(order or [period])
     )

@@ -164,3 +164,17 @@ def test_segmented_scan_equals_plain_window(spark, recs, segments):
     for r in spans.collect():
         assert (r.valid_to is None) == r.is_current
     assert spans.count() == exp.select("k", "version").distinct().count()
+
+
+@SETTINGS
+@given(hist=histories(), segments=st.integers(1, 5))
+def test_scd2_segmented_mode_equals_window_mode(spark, hist, segments):
+    from quarry.operators.scd2 import scd2_from_snapshots
+
+    snaps = silver.normalized_snapshots(to_df(spark, hist))
+    args = dict(key="customer_id", period="snapshot_month", tracked=silver.DIM_TRACKED,
+                carried=silver.DIM_CARRIED)
+    a = scd2_from_snapshots(snaps, **args)
+    b = scd2_from_snapshots(snaps, segments=segments, **args)
+    assert a.columns == b.columns
+    assert canon(a.collect()) == canon(b.collect())
