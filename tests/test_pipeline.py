@@ -184,3 +184,13 @@ def test_stream_survives_a_failed_micro_batch(spark, small_layers, tmp_path):
     incremental.stream_silver(spark, landing, RAW_PREMIUM_PAYMENTS, table, ck, files_per_trigger=10)
     expected = silver.silver_premium_payments(bronze)
     assert canon(table.read().collect()) == canon(expected.select(*table.read().columns).collect())
+
+
+def test_cli_build_and_report(spark, tmp_path, capsys):
+    from quarry.__main__ import main
+
+    wh = str(tmp_path / "wh")
+    assert main(["build", "--warehouse", wh, "--driver-tables", SF_SMALL]) == 0
+    assert main(["report", "--warehouse", wh]) == 0
+    out = capsys.readouterr().out
+    assert "premium_payments" in out and "customers_with_history" in out and "K42" in out
