@@ -9,12 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
+from quarry.fixed import SURROGATE_NULL_TOKEN, SURROGATE_SEPARATOR
 
-# The surrogate-key recipe must hash exactly like the warehouse
-# macro it replaces, i.e. md5(coalesce(text(a), NULL_TOKEN) || '-' || ...).
-SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
-SURROGATE_SEPARATOR = "-"
+ColumnOrName = Column | str
 
 
 def _col(c: ColumnOrName) -> Column:

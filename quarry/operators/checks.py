@@ -22,6 +22,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.fixed import (
+    CLAIM_STATUSES,
+    CLAIM_TYPES,
+    CURRENCIES,
+    PAYMENT_METHODS,
+    POLICY_STATUSES,
+    PRODUCT_LINES,
+)
 from quarry.operators.joins import orphans
 
 RESULT_COLUMNS = ["check_id", "target", "violations"]
@@ -136,14 +144,6 @@ class Check:
         return f"{self.table}.{'+'.join(self.columns)}" if self.columns else self.table
 
 
-# Accepted domains of the conformed categoricals.
-PRODUCT_LINES = ("LIFE", "MICRO", "HEALTH", "GENERAL")
-CURRENCIES = ("IDR", "USD")
-POLICY_STATUSES = ("ACTIVE", "LAPSED", "MATURED", "CANCELLED")
-PAYMENT_METHODS = ("TRANSFER", "AUTODEBIT", "CASH", "VA")
-CLAIM_STATUSES = ("FILED", "APPROVED", "REJECTED", "PAID")
-CLAIM_TYPES = ("DEATH", "HOSPITAL", "ACCIDENT", "MATURITY", "SURRENDER")
-
 _AG, _DIM, _POL = "silver_agents", "silver_dim_customer", "silver_policies"
 _PAY, _CLM = "silver_premium_payments", "silver_claims"
 _FP, _FC, _PERF = "gold_fct_premium_payments", "gold_fct_claims", "gold_policy_performance"

@@ -28,11 +28,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.fixed import CURRENT_SENTINEL, PREVIOUS_SENTINEL
 from quarry.functions.normalize import surrogate_key
 
-# Sentinels of the change test (current side, previous side).
-CURRENT_SENTINEL = ""
-PREVIOUS_SENTINEL = "~"
 
 
 def change_flag(tracked: Sequence[str], w: Window, null_safe: bool = False) -> Column:

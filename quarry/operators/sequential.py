@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.scd2 import CURRENT_SENTINEL, PREVIOUS_SENTINEL
+from quarry.fixed import CURRENT_SENTINEL, PREVIOUS_SENTINEL
 
 SEG = "_seg"
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.fixed import SCORECARD_METRICS, SCORECARD_UNIT, STREAM_CLAIMS, STREAM_PAYMENTS
 from quarry.operators.contracts import enforce
 from quarry.operators.joins import left_enrich
 from quarry.operators.scd2 import current_rows
@@ -135,8 +136,8 @@ def gold_rpt_reconciliation(
     bronze_claims: DataFrame,
     silver_claims: DataFrame,
 ) -> DataFrame:  # M14
-    tagged = _stream_rows(bronze_payments, silver_payments, "premium_payments").unionByName(
-        _stream_rows(bronze_claims, silver_claims, "claims")
+    tagged = _stream_rows(bronze_payments, silver_payments, STREAM_PAYMENTS).unionByName(
+        _stream_rows(bronze_claims, silver_claims, STREAM_CLAIMS)
     )
     agg = tagged.groupBy("stream").agg(
         F.sum("_b").cast("long").alias("bronze_rows"),
@@ -164,19 +165,6 @@ def _metric_rows(agg: DataFrame, metrics: list[tuple[int, str]]) -> DataFrame:
     return agg.select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
-# Scorecard metrics in report order.
-SCORECARD_METRICS = [
-    "payments_total",
-    "payments_unpaid",
-    "payments_invalid_amount",
-    "payments_paid_before_due",
-    "payments_late_arrival",
-    "claims_total",
-    "claims_late_arrival",
-    "customers_scd_rows",
-    "customers_current",
-    "customers_with_history",
-]
 
 
 def gold_rpt_data_quality(
@@ -212,7 +200,7 @@ def gold_rpt_data_quality(
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    rows = rows.withColumn("unit", F.lit("rows")).orderBy("ord")  # O01
+    rows = rows.withColumn("unit", F.lit(SCORECARD_UNIT)).orderBy("ord")  # O01
     return rows if keep_ord else rows.select("metric", "value", "unit")
 
 

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from quarry import fixed
 from quarry.functions.normalize import batch_increment, batch_key, month_add, month_floor
 from quarry.operators import checks, sequential
 from quarry.operators.dedup import keep_latest
@@ -72,10 +73,10 @@ def x01_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fuzzy_sources(layers) -> list:
     b = layers.bronze
     return [
-        ("policies.product_line", b["policies"], "product_line", checks.PRODUCT_LINES),
-        ("policies.status", b["policies"], "status", checks.POLICY_STATUSES),
-        ("premium_payments.method", b["premium_payments"], "method", checks.PAYMENT_METHODS),
-        ("claims.status", b["claims"], "status", checks.CLAIM_STATUSES),
+        ("policies.product_line", b["policies"], "product_line", fixed.PRODUCT_LINES),
+        ("policies.status", b["policies"], "status", fixed.POLICY_STATUSES),
+        ("premium_payments.method", b["premium_payments"], "method", fixed.PAYMENT_METHODS),
+        ("claims.status", b["claims"], "status", fixed.CLAIM_STATUSES),
         ("customer_snapshots.income_band", b["customer_snapshots"], "income_band", INCOME_BANDS),
         ("customer_snapshots.risk_class", b["customer_snapshots"], "risk_class", RISK_CLASSES),
     ]

@@ -10,16 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.fixed import ASSESSED_STATUSES, PAID_STATUS
 from quarry.functions.normalize import clean, days_between, token, yyyymm
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.operators.contracts import enforce
 from quarry.schemas import DIM_CUSTOMER
 
-# Claim statuses that count as assessed.
-ASSESSED_STATUSES = ["PAID", "APPROVED", "REJECTED"]
-PAID_STATUS = "PAID"
-
 DIM_TRACKED = ["full_name", "gender", "occupation", "city", "income_band", "risk_class"]
 DIM_CARRIED = ["birth_date"]
 FACT_LATEST_BY = ["_ingested_at", "_batch"]
@@ -91,7 +88,7 @@ def normalized_claims(bronze_claims: DataFrame) -> DataFrame:
         "_ingested_at",
         "_batch",
         (status == PAID_STATUS).alias("is_paid_claim"),
-        status.isin(ASSESSED_STATUSES).alias("is_assessed"),
+        status.isin(list(ASSESSED_STATUSES)).alias("is_assessed"),
         F.when(
             F.col("assessed_date").isNotNull(), days_between("filed_date", "assessed_date")
         ).alias("settlement_days"),

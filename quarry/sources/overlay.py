@@ -12,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.fixed import CLAIM_TYPES, PAYMENT_METHODS, PRODUCT_LINES
 from quarry.functions.normalize import batch_increment, batch_key, month_floor
 
-# Category domains of the extracts, in their natural order
-# (the overlay picks element ``key % len``).
-PRODUCT_LINES = ["LIFE", "MICRO", "HEALTH", "GENERAL"]
-PAYMENT_METHODS = ["TRANSFER", "AUTODEBIT", "CASH", "VA"]
-CLAIM_TYPES = ["DEATH", "HOSPITAL", "ACCIDENT", "MATURITY", "SURRENDER"]
+# Overlay parameters (the overlay picks element ``key % len`` of a domain; the
+# contract domains come from ``quarry.fixed``).
 INCOME_BANDS = ["LOW", "MID", "HIGH", "PREMIUM"]
 RISK_CLASSES = ["STANDARD", "PREFERRED", "SUBSTANDARD"]
 TERMS = [12, 24, 36, 60, 120]
