@@ -1,17 +1,17 @@
-"""Registered queries: one lazy DataFrame per operator/model, from the driver tables.
+"""Registered queries: one DataFrame per operator/model, from the driver tables.
 
 Each callable takes ``(spark, sf_dir)`` and reads the whole driver tables
-through the overlay; nothing is sampled or capped.
+through the overlay; nothing is sampled or capped. Most return a lazy plan; the
+sink and incremental ones (s08, s10, x02, x03, p_pipeline_checks) first write
+into the shared checkpoint folder and return the table read back.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-import uuid
-
 from pyspark.sql import functions as F
 
 from quarry import fixed
@@ -20,12 +20,12 @@ from quarry.operators import checks, sequential
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.plans import extras, gold, pipeline, silver
+from quarry.plans.layers import from_driver_tables
 from quarry.schemas import RAW_PREMIUM_PAYMENTS
 from quarry.session import ensure_checkpoint_dir, shared_dir
 from quarry.sources import overlay, parquet
-from quarry.streaming import incremental
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
-from quarry.plans.layers import from_driver_tables
+from quarry.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,7 +89,10 @@ def x04_fuzzy_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x05_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = from_driver_tables(spark, sf_dir).bronze
     return extras.freshness(
-        [("premium_payments", b["premium_payments"], "due_date"), ("claims", b["claims"], "filed_date")]
+        [
+            (fixed.STREAM_PAYMENTS, b["premium_payments"], "due_date"),
+            (fixed.STREAM_CLAIMS, b["claims"], "filed_date"),
+        ]
     )
 
 
@@ -106,15 +109,15 @@ def w04_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest(overlay.driver_table(spark, sf_dir, "lineitem"), LINEITEM_KEY, ["l_shipdate"])
 
 
+EVENT_ORDER = ["ts", "event_id"]  # total order of one user's events
+
+
 def _user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a per-user sequence (range-partitioned downstream, so no spread)."""
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     return sequential.change_versions(ev, "user_id", EVENT_ORDER, ["event_type"])
 
 
-EVENT_ORDER = ["ts", "event_id"]
-
-
 def w01_lag_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, in time order: previous event type and a change flag."""
     return _user_events(spark, sf_dir).select(
