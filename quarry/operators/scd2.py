@@ -112,7 +112,7 @@ def scd2_from_snapshots(
             raise ValueError("segments= supports the sentinel change test only")
         from quarry.operators.sequential import change_versions, version_spans
 
-        v = change_versions(df, key, list(order or [period]), tracked, segments)
+        v = change_versions(df, key, list(order or [period]), tracked, segments, start=period)
         out = version_spans(v, key, period, tracked, carried)
         out = out.withColumn(version_col, F.col("version").cast("int"))
         cols = [key, version_col, *tracked, *carried, "valid_from", "valid_to", "is_current"]

@@ -17,10 +17,12 @@ of all rows. Here a key's rows are cut into *segments* instead:
    place; only the small summary moves) to correct the first row of each
    segment and offset the running version.
 
-Spans collapse versions with ``groupBy(key, version)`` (partial aggregation, so
-a long span of a hot key is pre-aggregated map-side) and close each span with
-an equi join to version + 1 on ``(key, version)``, which is unique: no window
-over a key's spans is needed either.
+For spans, every row also carries ``next_start``: the start of the first change
+row after it (found inside its segment, else from the following segments'
+summaries). All rows of a version share it, so one ``groupBy(key, version)``
+(partial aggregation: a long span of a hot key is pre-aggregated map-side)
+yields ``valid_from``, ``valid_to`` and the attributes together; no window over
+a key's spans and no self join are needed.
 
 The change test is the same sentinel test as ``scd2.change_flag``.
 """
@@ -52,9 +54,11 @@ def change_versions(
     order: Sequence[str],
     tracked: Sequence[str],
     segments: int | None = None,
+    start: str | None = None,
 ) -> DataFrame:
     """``df`` plus ``prev_<c>`` for each tracked column, ``is_change`` (0/1) and
-    ``version`` (running count of changes per key, in ``order``).
+    ``version`` (running count of changes per key, in ``order``); with ``start``
+    also ``next_start``, the ``start`` value of the next change row (NULL if none).
 
     ``order`` must be a total order within a key (add a unique id to break ties).
     """
@@ -73,14 +77,31 @@ def change_versions(
     local = local.withColumn(
         "_chg", _changed([F.col(c) for c in tracked], [F.col(f"_lag_{c}") for c in tracked])
     ).withColumn("_run", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if start:
+        # Rows after the first of a segment have exact local flags, so the next
+        # change inside the segment is found locally.
+        local = local.withColumn(
+            "_next_local",
+            F.first(F.when(F.col("_chg") == 1, F.col(start)), ignorenulls=True).over(
+                w.rowsBetween(1, Window.unboundedFollowing)
+            ),
+        )
 
     # Segment summaries: first/last tracked values and the local change count.
     order_struct = F.struct(*order)
     vals = F.struct(*[F.col(c).alias(c) for c in tracked])
+    extra = []
+    if start:
+        inner_change = F.when((F.col("_chg") == 1) & (F.col("_pos") >= 2), order_struct)
+        extra = [
+            F.min_by(F.col(start), order_struct).alias("_first_start"),
+            F.min_by(F.col(start), inner_change).alias("_inner_change_start"),
+        ]
     summ = local.groupBy(key, SEG).agg(
         F.min_by(vals, order_struct).alias("_first"),
         F.max_by(vals, order_struct).alias("_last"),
         F.sum("_chg").alias("_cnt"),
+        *extra,
     )
     ws = Window.partitionBy(key).orderBy(SEG)
     summ = summ.withColumn("_prev_last", F.lag("_last").over(ws))
@@ -99,7 +120,18 @@ def change_versions(
             ),
             F.lit(0),
         ),
-    ).select(key, SEG, "_prev_last", "_delta", "_first_fixed", "_offset")
+    )
+    keep = [key, SEG, "_prev_last", "_delta", "_first_fixed", "_offset"]
+    if start:
+        seg_change = F.when(F.col("_first_fixed") == 1, F.col("_first_start")).otherwise(
+            F.col("_inner_change_start")
+        )
+        summ = summ.withColumn(
+            "_next_seg_change",
+            F.first(seg_change, ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing)),
+        )
+        keep.append("_next_seg_change")
+    summ = summ.select(*keep)
 
     j = local.join(summ, [key, SEG], "left")
     first = F.col("_pos") == 1
@@ -111,6 +143,11 @@ def change_versions(
         ],
         F.when(first, F.col("_first_fixed")).otherwise(F.col("_chg")).alias("is_change"),
         (F.col("_offset") + F.col("_run") + F.col("_delta")).cast("long").alias("version"),
+        *(
+            [F.coalesce(F.col("_next_local"), F.col("_next_seg_change")).alias("next_start")]
+            if start
+            else []
+        ),
     )
     return out
 
@@ -124,18 +161,16 @@ def version_spans(
 ) -> DataFrame:
     """Collapse ``(key, version)`` into spans ``[valid_from, valid_to)``.
 
-    ``valid_to`` is the next version's ``valid_from`` (NULL for the open span),
-    found by an equi join on the unique ``(key, version)``.
+    ``versioned`` comes from ``change_versions(..., start=start)``; every row of
+    a version carries the next version's start as ``next_start``, so one
+    aggregate gives both ends of the span.
     """
     spans = versioned.groupBy(key, "version").agg(
         F.min(start).alias("valid_from"),
+        F.min("next_start").alias("valid_to"),
         *[F.min(c).alias(c) for c in list(tracked) + list(carried)],
     )
-    nxt = spans.select(
-        F.col(key).alias("_nk"), (F.col("version") - 1).alias("_nv"), F.col("valid_from").alias("valid_to")
-    )
-    j = spans.join(nxt, (F.col(key) == F.col("_nk")) & (F.col("version") == F.col("_nv")), "left")
-    return j.select(
+    return spans.select(
         key, "version", *tracked, *carried, "valid_from", "valid_to",
         F.col("valid_to").isNull().alias("is_current"),
     )

@@ -115,7 +115,7 @@ EVENT_ORDER = ["ts", "event_id"]  # total order of one user's events
 def _user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a per-user sequence (range-partitioned downstream, so no spread)."""
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return sequential.change_versions(ev, "user_id", EVENT_ORDER, ["event_type"])
+    return sequential.change_versions(ev, "user_id", EVENT_ORDER, ["event_type"], start="ts")
 
 
 def w01_lag_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
