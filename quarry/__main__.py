@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from quarry.plans import gold, pipeline
+from quarry.plans import gold, warehouse
 from quarry.plans.layers import from_driver_tables, from_landing
 from quarry.session import get_session
 from quarry.sources.parquet import table_path
@@ -25,8 +25,8 @@ def _build(args) -> int:
         from_landing(spark, args.landing) if args.landing else from_driver_tables(spark, args.driver_tables)
     )
     try:
-        res = pipeline.build(spark, layers, args.warehouse, gate=not args.no_gate)
-    except pipeline.CheckFailure as e:
+        res = warehouse.build(spark, layers, args.warehouse, gate=not args.no_gate)
+    except warehouse.CheckFailure as e:
         print(f"build stopped: {e}", file=sys.stderr)
         return 1
     res.checks.orderBy("check_id").show(50, truncate=False)

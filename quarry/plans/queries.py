@@ -2,7 +2,7 @@
 
 Each callable takes ``(spark, sf_dir)`` and reads the whole driver tables
 through the overlay; nothing is sampled or capped. Most return a lazy plan; the
-sink and incremental ones (s08, s10, x02, x03, p_pipeline_checks) first write
+sink and incremental ones (s08, s10, x02, x03, s13_build_checks) first write
 into the shared checkpoint folder and return the table read back.
 """
 
@@ -19,7 +19,7 @@ from quarry.functions.normalize import batch_increment, batch_key, month_add, mo
 from quarry.operators import checks, sequential
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
-from quarry.plans import extras, gold, pipeline, silver
+from quarry.plans import extras, gold, silver, warehouse
 from quarry.plans.layers import from_driver_tables
 from quarry.schemas import RAW_PREMIUM_PAYMENTS
 from quarry.session import ensure_checkpoint_dir, shared_dir
@@ -164,16 +164,16 @@ def r17_batch_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s08_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build into the shared folder; the silver payments table read back."""
-    result = pipeline.build(
+    result = warehouse.build(
         spark, from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse"),
         db_prefix=f"q{uuid.uuid4().hex[:8]}_",
     )
     return spark.table(result.tables["silver_premium_payments"])
 
 
-def p_pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def s13_build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build; all 42 check results read back from the written gold table."""
-    result = pipeline.build(
+    result = warehouse.build(
         spark, from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse"),
         db_prefix=f"q{uuid.uuid4().hex[:8]}_",
     )
@@ -255,7 +255,7 @@ CORE: dict[str, Query] = {
     "s10_batch_sink": s10_batch_sink,
     "x02_incremental": x02_incremental,
     "x03_snapshot_merge": x03_snapshot_merge,
-    "p_pipeline_checks": p_pipeline_checks,
+    "s13_build_checks": s13_build_checks,
 }
 
 

@@ -5,7 +5,7 @@ place). Adding a batch file is additive: the next read sees it. Schemas are
 declared, never inferred.
 
 Layer tables live under ``<warehouse>/<layer>/<table>`` (S09): the layer name is
-the namespace (a catalog database per layer, see ``plans.pipeline``).
+the namespace (a catalog database per layer, see ``plans.warehouse``).
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ import uuid
 import pytest
 
 from conftest import SF_SMALL, canon
-from quarry.plans import pipeline, silver
+from quarry.plans import silver, warehouse
 from quarry.schemas import RAW_PREMIUM_PAYMENTS
 from quarry.sources import parquet
 from quarry.streaming import incremental
@@ -20,17 +20,17 @@ def _snapshot(spark, tables):
 def test_build_is_idempotent(spark, small_layers, tmp_path):
     wh = str(tmp_path / "wh")
     prefix = f"i{uuid.uuid4().hex[:6]}_"
-    first = pipeline.build(spark, small_layers, wh, db_prefix=prefix)
+    first = warehouse.build(spark, small_layers, wh, db_prefix=prefix)
     a = _snapshot(spark, first.tables)
-    second = pipeline.build(spark, small_layers, wh, db_prefix=prefix)
+    second = warehouse.build(spark, small_layers, wh, db_prefix=prefix)
     assert _snapshot(spark, second.tables) == a
     assert second.checks.filter("violations > 0").count() == 0
     assert second.checks.count() == 42
 
 
 def test_report_reads(spark, small_layers, tmp_path):
-    res = pipeline.build(spark, small_layers, str(tmp_path / "wh"), db_prefix=f"r{uuid.uuid4().hex[:6]}_")
-    rep = pipeline.report(spark, res)
+    res = warehouse.build(spark, small_layers, str(tmp_path / "wh"), db_prefix=f"r{uuid.uuid4().hex[:6]}_")
+    rep = warehouse.report(spark, res)
     assert [r.stream for r in rep["reconciliation"].collect()] == ["claims", "premium_payments"]
     metrics = [r.metric for r in rep["data_quality"].collect()]
     assert metrics[0] == "payments_total" and metrics[-1] == "customers_with_history"
@@ -45,8 +45,8 @@ def test_gate_stops_gold_on_silver_violation(spark, small_layers, tmp_path):
 
     raw = dict(small_layers.raw)
     raw["policies"] = raw["policies"].withColumn("currency", F.lit("EUR"))
-    with pytest.raises(pipeline.CheckFailure, match="K12"):
-        pipeline.build(spark, Layers(raw), str(tmp_path / "wh"), db_prefix=f"g{uuid.uuid4().hex[:6]}_")
+    with pytest.raises(warehouse.CheckFailure, match="K12"):
+        warehouse.build(spark, Layers(raw), str(tmp_path / "wh"), db_prefix=f"g{uuid.uuid4().hex[:6]}_")
 
 
 def test_batch_sink_keeps_column_and_prunes(spark, small_layers, tmp_path):
