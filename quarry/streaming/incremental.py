@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -68,11 +69,15 @@ class IncrementalSilver:
         ensure_checkpoint_dir(spark)
 
     def _exists(self) -> bool:
+        """True once the table has been written (a missing path is the only
+        error treated as "not yet"; anything else propagates)."""
         try:
-            self.spark.read.parquet(self.path).limit(0).collect()
+            self.spark.read.parquet(self.path).schema
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+                return False
+            raise
 
     def read(self) -> DataFrame:
         """The current silver table (without the bucket column)."""
