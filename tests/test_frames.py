@@ -259,3 +259,25 @@ def test_asof_join_picks_span_in_force_and_keeps_unmatched(spark):
     )
     got = {r.id: r.city for r in asof_join(facts, dim, "customer_id", "at", ["city"]).collect()}
     assert got == {1: None, 2: "A", 3: "B", 4: None}
+
+
+def test_month_and_batch_helpers_cross_year_ends(spark):
+    from quarry.functions.normalize import batch_increment, batch_key, days_between, month_add, month_floor, yyyymm
+
+    df = spark.createDataFrame(
+        [(202412, 1, D(2024, 12, 31)), (202401, -1, D(2024, 1, 15)), (202406, -18, D(2024, 2, 29))],
+        "b long, n int, d date",
+    )
+    got = df.select(
+        batch_increment("b", F.col("n")).alias("moved"),
+        batch_key("d").alias("key"),
+        yyyymm("d").alias("ym"),
+        month_floor("d").alias("floor"),
+        month_add("d", F.col("n")).alias("added"),
+        days_between(F.lit(D(2024, 1, 1)), "d").alias("days"),
+    ).collect()
+    assert [r.moved for r in got] == [202501, 202312, 202212]
+    assert [r.key for r in got] == [202412, 202401, 202402] == [r.ym for r in got]
+    assert [r.floor for r in got] == [D(2024, 12, 1), D(2024, 1, 1), D(2024, 2, 1)]
+    assert [r.added for r in got] == [D(2025, 1, 1), D(2023, 12, 1), D(2022, 8, 1)]
+    assert [r.days for r in got] == [365, 14, 59]
