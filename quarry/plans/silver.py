@@ -126,12 +126,3 @@ def silver_dim_customer(bronze_snapshots: DataFrame, null_safe: bool = False) ->
     )
     return enforce(dim, DIM_CUSTOMER, "silver_dim_customer")
 
-
-def silver_layer(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "silver_agents": silver_agents(bronze["agents"]),
-        "silver_dim_customer": silver_dim_customer(bronze["customer_snapshots"]),
-        "silver_policies": silver_policies(bronze["policies"]),
-        "silver_premium_payments": silver_premium_payments(bronze["premium_payments"]),
-        "silver_claims": silver_claims(bronze["claims"]),
-    }

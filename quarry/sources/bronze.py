@@ -41,10 +41,6 @@ def bronze_claims(raw: DataFrame) -> DataFrame:  # S06
     return bronze(raw, "claims")
 
 
-def bronze_layer(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: bronze(df, name) for name, df in raw.items()}
-
-
 def register_views(layer: dict[str, DataFrame], prefix: str = "bronze_") -> None:
     """Expose a layer as temp views (the view materialisation)."""
     for name, df in layer.items():

@@ -253,7 +253,3 @@ EXTRACTS = {
     "claims": claims,
 }
 
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All five raw extracts as lazy DataFrames."""
-    return {name: fn(spark, sf_dir) for name, fn in EXTRACTS.items()}
