@@ -125,4 +125,3 @@ def silver_dim_customer(bronze_snapshots: DataFrame, null_safe: bool = False) ->
         null_safe=null_safe,
     )
     return enforce(dim, DIM_CUSTOMER, "silver_dim_customer")
-

@@ -252,4 +252,3 @@ EXTRACTS = {
     "premium_payments": premium_payments,
     "claims": claims,
 }
-
