@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.fixed import CLAIM_TYPES, PAYMENT_METHODS, PRODUCT_LINES
 from quarry.functions.normalize import batch_increment, batch_key, month_floor
+from quarry.operators.joins import broadcast_if_small
 
 # Overlay parameters (the overlay picks element ``key % len`` of a domain; the
 # contract domains come from ``quarry.fixed``).
@@ -25,6 +26,7 @@ SNAPSHOT_MONTHS = 84
 HIRE_START = "2015-01-01"
 BIRTH_START = "1955-01-01"
 NOISE_MODULUS = 23
+CODE_TABLE_ROWS = 10_000  # broadcast bound for nation/region
 
 # Driver tables whose rows carry real per-row work downstream; the small
 # masters and code tables are read as they are.
@@ -97,9 +99,11 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = driver_table(spark, sf_dir, "supplier")
     n = driver_table(spark, sf_dir, "nation")
     r = driver_table(spark, sf_dir, "region")
-    # nation/region are fixed 25/5-row code tables: broadcasting them is bounded.
-    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left").join(
-        F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left"
+    # nation/region are small code tables: broadcast behind a checked row bound.
+    n = broadcast_if_small(n, CODE_TABLE_ROWS)
+    r = broadcast_if_small(r, CODE_TABLE_ROWS)
+    j = s.join(n, s.s_nationkey == n.n_nationkey, "left").join(
+        r, F.col("n_regionkey") == r.r_regionkey, "left"
     )
     return j.select(
         agent_id(F.col("s_suppkey")).alias("agent_id"),
