@@ -48,13 +48,14 @@ def write_batches(df: DataFrame, path: str, date_col: str | None = None) -> str:
 
     ``partitionBy`` moves the partition column into the path, so the sink
     partitions on a copy (``batch_key``) and keeps ``_batch`` in the data. With
-    ``date_col`` the label is derived from a date (``YYYYMM``). Files are
-    clustered by batch before writing so each task writes few files.
+    ``date_col`` the label is derived from a date (``YYYYMM``). Rows are
+    clustered by batch with the ``rebalance`` hint, so each task writes few
+    files while AQE still splits a batch that holds a large share of the rows.
     """
     label = batch_key(F.col(date_col)) if date_col else F.col("_batch")
     out = df.withColumn(BATCH_PARTITION, label)
     (
-        out.repartition(BATCH_PARTITION)
+        out.hint("rebalance", BATCH_PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_PARTITION)

@@ -64,7 +64,6 @@ class IncrementalSilver:
         be a function of the key (all copies of a key in one partition)."""
         self.spark, self.path, self.key = spark, path, key
         self.latest_by, self.normalize, self.buckets = list(latest_by), normalize, buckets
-        self.custom_partition = partition is not None
         self.partition = partition if partition is not None else bucket_of(key, buckets)
         self._schema: StructType | None = None
         ensure_checkpoint_dir(spark)
@@ -96,10 +95,9 @@ class IncrementalSilver:
             merged = keep_latest(stored.unionByName(new), [self.key], self.latest_by)
         else:
             merged = keep_latest(new, [self.key], self.latest_by)
-        # Key buckets are balanced by construction; a custom partition (e.g. a
-        # month) may be hot, so its rows are also spread over writers by key.
-        layout = [BUCKET, self.key] if self.custom_partition else [BUCKET]
-        merged = merged.repartition(*layout).checkpoint(eager=True)  # lineage cut before overwrite
+        # Cluster rows by storage partition; the rebalance hint lets AQE split a
+        # hot partition (e.g. a busy month) over several writers.
+        merged = merged.hint("rebalance", BUCKET).checkpoint(eager=True)  # lineage cut before overwrite
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
