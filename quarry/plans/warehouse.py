@@ -15,7 +15,9 @@ unique. That bounds every SCD2 window partition by the number of periods, so
 no customer can pile rows into one task.
 
 Checks: silver checks gate the gold build; gold checks run on the written gold
-tables. Results ``(check_id, target, violations)`` are written next to gold.
+tables. Results ``(check_id, target, violations)`` are written once per layer
+(``<layer>.dq_check_results``) and read back, never recomputed. Models of one
+layer are independent and are written as concurrent jobs.
 """
 
 from __future__ import annotations
