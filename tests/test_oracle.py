@@ -16,6 +16,10 @@ from oracle_check import duck, norm  # noqa: E402
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+SQL_TYPE = {
+    "string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +38,8 @@ def test_query_matches_oracle(spark, con, name):
     got = Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
     rel = con.sql(ORACLE[name])
     assert sorted(rel.columns) == cols
+    spark_types = {f.name: SQL_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     idx = {c: i for i, c in enumerate(rel.columns)}
     exp = Counter(tuple(norm(r[idx[c]]) for c in cols) for r in rel.fetchall())
     assert sum(got.values()) == sum(exp.values())
