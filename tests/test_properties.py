@@ -183,3 +183,20 @@ def test_scd2_segmented_mode_equals_window_mode(spark, hist, segments):
     b = scd2_from_snapshots(snaps, segments=segments, **args)
     assert a.columns == b.columns
     assert canon(a.collect()) == canon(b.collect())
+
+
+@SETTINGS
+@given(
+    recs=st.lists(
+        st.tuples(st.integers(0, 4), st.integers(0, 3), st.integers(0, 3), st.integers(0, 5), st.booleans()),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_keep_latest_batchwise_merge_equals_global(spark, recs):
+    """X02's premise: keep_latest(keep_latest(A) + B) == keep_latest(A + B)."""
+    df = spark.createDataFrame(recs, "k int, ing int, batch int, v int, second boolean")
+    a, b = df.filter("not second").drop("second"), df.filter("second").drop("second")
+    once = keep_latest(a.unionByName(b), ["k"], ["ing", "batch"])
+    merged = keep_latest(keep_latest(a, ["k"], ["ing", "batch"]).unionByName(b), ["k"], ["ing", "batch"])
+    assert canon(once.collect()) == canon(merged.collect())
