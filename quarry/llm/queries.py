@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.bpe import op9_bpe
+from quarry.llm.chat_format import OP1_SQL, op1_chat_format
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
