@@ -10,9 +10,11 @@ from quarry.llm.bpe import op9_bpe
 from quarry.llm.chat_format import OP1_SQL, op1_chat_format
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from quarry.llm.mixing import op10_mix_sources
+from quarry.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_mix_sources": op10_mix_sources,
