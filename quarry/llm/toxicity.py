@@ -6,7 +6,7 @@ more often in toxic than in clean training documents (G test, corrected for the
 number of features). A two-state linear-chain CRF
 (word and affix features, transitions) is fitted to these tokens by gradient
 ascent with exact forward-backward marginals. To score a document its whole text
-is tagged; the largest and the summed toxic marginal go through a logistic
+is tagged; the largest, summed and mean toxic marginals go through a logistic
 function, fitted on the training documents, to its score, and runs of tokens with
 a marginal of 0.5 or more are its offending spans.
 
@@ -64,7 +64,7 @@ def features(token: bytes) -> list[str]:
     w = token.decode("utf-8", "replace").lower().strip(_EDGES)
     if not w:
         return []
-    return ["=" + w, *(w[:k] + "+" for k in (4, 5, 6) if len(w) > k), *(["+" + w[-4:]] if len(w) > 4 else [])]
+    return ["=" + w, *(w[:k] + "+" for k in (3, 4, 5, 6) if len(w) > k), *(["+" + w[-4:]] if len(w) > 4 else [])]
 
 
 class Ragged:
@@ -132,20 +132,22 @@ class Tagger:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = -4.0
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    score: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    score: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
 
     def emission(self, token: bytes) -> float:
         get = self.weights.get
         return self.bias + sum(get(f, 0.0) for f in features(token))
 
     def documents(self, toxic: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Largest and summed marginal of each document, as inputs of the score."""
-        out = np.zeros((len(lengths), 2))
+        """Largest, summed and mean marginal of each document, as inputs of the score."""
+        out = np.zeros((len(lengths), 3))
         some = lengths > 0
         starts = (np.cumsum(lengths) - lengths)[some]
         if len(starts):
             out[some, 0] = np.maximum.reduceat(toxic, starts)
-            out[some, 1] = np.log1p(np.add.reduceat(toxic, starts))
+            total = np.add.reduceat(toxic, starts)
+            out[some, 1] = np.log1p(total)
+            out[some, 2] = np.log1p(1000 * total / lengths[some])
         return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -157,7 +159,7 @@ def fit(texts: list[str | None], toxic: list[int], shares: tuple[float, float])
     y = np.array(toxic, dtype=float)
     if not len(y) or y.min() == y.max():
         p = (shares[1] + 0.5) / (sum(shares) + 2)
-        return Tagger(score=(float(np.log(p / (1 - p))), 0.0, 0.0))
+        return Tagger(score=(float(np.log(p / (1 - p))), 0.0, 0.0, 0.0))
     docs = [tokens(t) for t in texts]
     made: dict[bytes, list[str]] = {}
     counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
@@ -226,10 +228,10 @@ def fit(texts: list[str | None], toxic: list[int], shares: tuple[float, float])
     x = np.column_stack([np.ones(len(y)), model.documents(p, lengths)])
     weight = np.where(y == 1, shares[1] / n1, shares[0] / n0)
     weight *= len(y) / weight.sum()
-    beta = np.zeros(3)
+    beta = np.zeros(x.shape[1])
     for _ in range(50):  # Newton steps of a ridge logistic regression
         q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hess = (x * (weight * q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(3)
+        hess = (x * (weight * q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(len(beta))
         beta = beta + np.linalg.solve(hess, x.T @ (weight * (y - q)) - 0.05 * beta)
     model.score = tuple(beta.tolist())
     return model
