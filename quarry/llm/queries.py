@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.bpe import op9_bpe
 from quarry.llm.chat_format import OP1_SQL, op1_chat_format
+from quarry.llm.embedding_dedup import op3_embedding_dedup
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from quarry.llm.minhash_dedup import op4_minhash_dedup
 from quarry.llm.mixing import op10_mix_sources
@@ -15,6 +16,7 @@ from quarry.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
