@@ -23,6 +23,7 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
@@ -80,6 +81,7 @@ class BpeCodec:
         # A pre-token's ids as text ("12,345"), and the bytes of such a run of ids.
         self.runs = _Cache(lambda w: ",".join(map(str, self.merge(w.encode("utf-8", "replace")))))
         self.bytes_of = _Cache(lambda run: b"".join([self.strings[int(i)] for i in run.split(",")]))
+        self.packed = _Cache(lambda run: np.array(run.split(","), np.int32).tobytes())
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -183,18 +185,22 @@ def decode(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", token
     return _with_column(df, text_col, "string", lambda c, r: c.decode(r[ids_col] or []), tokenizer)
 
 
-def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts: encoded, then decoded."""
+def token_digests(docs: DataFrame, with_ids: bool = False, tokenizer: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) of whole texts: encoded, then decoded."""
 
     def row(codec: BpeCodec, r: dict) -> tuple:
         runs = codec.encode_runs(r["text"] or "")
         ids = ",".join(runs)
         decoded = codec.decode_runs(runs).decode("utf-8", "replace").encode()
         n = ids.count(",") + 1 if ids else 0
-        return r["doc_id"], n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        found = r["doc_id"], n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        if not with_ids:
+            return found
+        return *found, np.frombuffer(b"".join([codec.packed[run] for run in runs]), np.int32)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _map_rows(rows, row, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", tokenizer, 2048)
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _map_rows(rows, row, schema + ", ids array<int>" * with_ids, tokenizer, 256)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, shared_dir
 
 #: A group is hot when it holds more than one row in HOT_SHARE; there are fewer
 #: than HOT_SHARE hot groups, whatever the input, so they may be broadcast.
@@ -37,6 +37,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read again."""
+    path = shared_dir(df.sparkSession, "llm", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """``rows`` with the columns of their group, joined on ``key``.
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import SPACE_CLASS, attach, checkpointed, table
@@ -98,14 +98,18 @@ class DigestIndex:
 def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, digest, n): SHA-256 of the text without white space, code points of the text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    squeezed = F.regexp_replace(text, SPACE_CLASS + "+", "")
     return docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
-        F.unhex(F.sha2(squeezed, 256)).alias("digest"),
+        F.unhex(F.sha2(squeezed(F.col(text_col)), 256)).alias("digest"),
         F.char_length(text).cast("bigint").alias("n"),
     )
 
 
+def squeezed(text: Column) -> Column:
+    """The text without ASCII white space; empty for null."""
+    return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPACE_CLASS + "+", "")
+
+
 def exact_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The decisions for one table of documents, through an index of its own."""
     index = DigestIndex(docs.sparkSession, f"digest_index_{uuid.uuid4().hex}")
@@ -115,6 +119,32 @@ def exact_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         index.drop()
 
 
+def drop_exact(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the rows that an equal text stands for, columns as given.
+
+    Of rows that repeat an id and a text that stay, one stays. Texts are the stream
+    side of a hash join with the ids and digests that stay.
+    """
+    stays = exact_decisions(docs).filter("kept").select(
+        F.col("doc_id").alias("_stay_id"), F.unhex("text_sha256").alias("_stay_digest")
+    )
+    stays = checkpointed(stays.groupBy("_stay_id", "_stay_digest").agg(F.count(F.lit(1)).alias("_stay_rows")))
+    marked = docs.withColumns(
+        {
+            "_stay_key": F.col("doc_id").cast("bigint"),
+            "_text_digest": F.unhex(F.sha2(squeezed(F.col("text")), 256)),
+        }
+    )
+    found = marked.join(
+        stays.hint("shuffle_hash"),
+        F.col("_stay_key").eqNullSafe(F.col("_stay_id")) & (F.col("_text_digest") == F.col("_stay_digest")),
+    )
+    once = found.filter("_stay_rows = 1")
+    # The few that repeat an id and a text: one of them.
+    repeated = found.filter("_stay_rows > 1").dropDuplicates(["_stay_key", "_text_digest"])
+    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_decisions(table(spark, sf_dir, "documents"))
 
