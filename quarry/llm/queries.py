@@ -12,10 +12,12 @@ from quarry.llm.embedding_dedup import op3_embedding_dedup
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from quarry.llm.minhash_dedup import op4_minhash_dedup
 from quarry.llm.mixing import op10_mix_sources
+from quarry.llm.token_counts import op2_token_counts
 from quarry.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_token_counts": op2_token_counts,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op6_toxicity": op6_toxicity,
