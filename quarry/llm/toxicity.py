@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_types, table, to_batches
+from quarry.llm.common import arrow_types, checkpointed, rows_of, table, to_batches
 
-SAMPLE = 3000  # labelled rows of each class that the model is fitted on, at most
+SAMPLE = 2500  # labelled rows of each class that the model is fitted on, at most
 FOLDS, HELD_OUT = 5, 0
 SEED = 6
 MAX_FEATURES = 50_000
@@ -154,72 +154,46 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(self.score[0] + x @ np.array(self.score[1:]), -500, 500)))
 
 
-def fit(texts: list[str | None], toxic: list[int], shares: tuple[float, float]) -> Tagger:
-    """A tagger for labelled texts; ``shares``: how many labelled rows there are of class 0 and 1."""
-    y = np.array(toxic, dtype=float)
-    if not len(y) or y.min() == y.max():
-        p = (shares[1] + 0.5) / (sum(shares) + 2)
-        return Tagger(score=(float(np.log(p / (1 - p))), 0.0, 0.0, 0.0))
-    docs = [tokens(t) for t in texts]
-    made: dict[bytes, list[str]] = {}
-    counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    for words, label in zip(docs, toxic, strict=True):
-        seen = set()
-        for w in set(words):
-            if w not in made:
-                made[w] = features(w)
-            seen.update(made[w])
-        for f in seen:
-            counts[f][label] += 1
+@dataclass
+class Sequences:
+    """Training documents as token counts and their (token, feature) pairs."""
+
+    toxic: np.ndarray
+    lengths: np.ndarray
+    of_token: np.ndarray
+    of_feature: np.ndarray
+
+
+def constant(shares: tuple[float, float]) -> Tagger:
+    """Without labels of both classes: the smoothed share of toxic labels for every text."""
+    p = (shares[1] + 0.5) / (sum(shares) + 2)
+    return Tagger(score=(float(np.log(p / (1 - p))), 0.0, 0.0, 0.0))
+
+
+def fit(docs: Sequences, telling: dict[str, float], shares: tuple[float, float]) -> Tagger:
+    """A tagger from sequences; ``telling``: features in order, with how many times more
+    frequent they are in toxic documents; ``shares``: labelled rows of class 0 and 1."""
+    y, lengths, of_token, of_feature = docs.toxic, docs.lengths, docs.of_token, docs.of_feature
+    odds = np.array(list(telling.values()))
     n0, n1 = float((y == 0).sum()), float((y == 1).sum())
-    odds = {
-        f: ((c1 + 0.5) / (n1 + 1)) / ((c0 + 0.5) / (n0 + 1)) for f, (c0, c1) in counts.items() if c1 >= MIN_DOCS
-    }
-    base = n1 / (n0 + n1)
-    least = 2 * np.log(max(len(odds), 1)) + 4
-
-    def surprise(f: str) -> float:
-        """G statistic of a feature's share of toxic documents against the base rate."""
-        c0, c1 = counts[f]
-        c = c0 + c1
-        return 2 * (c1 * np.log(c1 / (c * base)) + (c0 * np.log(c0 / (c * (1 - base))) if c0 else 0.0))
-
-    significant = (f for f, o in odds.items() if o > 2 and surprise(f) >= least)
-    telling = sorted(significant, key=lambda f: (-odds[f], f))[:MAX_FEATURES]
-    ids = {f: k for k, f in enumerate(telling)}
-    marks = {f for f in telling if odds[f] >= MIN_ODDS}
-    # Token labels, and the (token, feature) pairs that matter.
-    lengths = np.array([len(d) for d in docs])
+    # A token of a toxic document is toxic if one of its features marks it.
     labels = np.zeros(int(lengths.sum()))
-    of_token, of_feature, at = [], [], 0
-    telling_words = {w: [ids[f] for f in fs if f in ids] for w, fs in made.items()}
-    marked = {w for w, fs in made.items() if any(f in marks for f in fs)}
-    for words, label in zip(docs, toxic, strict=True):
-        for k, w in enumerate(words):
-            if own := telling_words[w]:
-                of_token += [at + k] * len(own)
-                of_feature += own
-                if label and w in marked:
-                    labels[at + k] = 1
-        at += len(words)
-    of_token, of_feature = np.array(of_token, np.int64), np.array(of_feature, np.int64)
-    first = np.cumsum(lengths) - lengths
+    labels[of_token[odds[of_feature] >= MIN_ODDS]] = 1
+    labels *= np.repeat(y, lengths)
+    first = (np.cumsum(lengths) - lengths)[lengths > 0]
     follows = np.ones(len(labels), bool)
-    follows[first[lengths > 0]] = False
+    follows[first] = False
     here, before = labels[follows], labels[np.flatnonzero(follows) - 1]
     seen_pairs = np.array([[(a * b).sum() for b in (1 - here, here)] for a in (1 - before, before)])
     # Adam on the penalised log likelihood: feature weights, bias, transitions.
-    start = np.array([min(3.0, np.log(odds[f])) / 3 for f in telling])
-    w = np.concatenate([start, [-4.0], np.zeros(4)])
+    w = np.concatenate([np.minimum(3.0, np.log(odds)) / 3, [-4.0], np.zeros(4)])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
         emission = w[-5] + np.bincount(of_token, w[of_feature], minlength=len(labels))
         p, expected = marginals(emission, lengths, w[-4:].reshape(2, 2), pairs=True)
         gap = labels - p
-        grad = np.concatenate(
-            [np.bincount(of_feature, gap[of_token], minlength=len(telling)), [gap.sum()], (seen_pairs - expected).ravel()]
-        )
-        grad -= 0.1 * w
+        by_feature = np.bincount(of_feature, gap[of_token], minlength=len(odds))
+        grad = np.concatenate([by_feature, [gap.sum()], (seen_pairs - expected).ravel()]) - 0.1 * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         w = w + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     model = Tagger(dict(zip(telling, w[:-5].tolist(), strict=True)), float(w[-5]), w[-4:].reshape(2, 2))
@@ -242,12 +216,91 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
+def telling_features(sample: DataFrame, sizes: tuple[int, int]) -> dict[str, float]:
+    """Features that are significantly more frequent in toxic documents of ``sample``
+    (text, toxic), most telling first, with that ratio; at most MAX_FEATURES."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, list[str]] = {}
+        for batch in batches:
+            found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            for text, toxic in zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True):
+                own = set()
+                for w in set(tokens(text)):
+                    if w not in seen:
+                        seen[w] = features(w)
+                    own.update(seen[w])
+                for f in own:
+                    found[f][toxic] += 1
+            if len(seen) > CACHE_WORDS:
+                seen.clear()
+            clean, bad = zip(*found.values(), strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), pa.array(clean, pa.int64()), pa.array(bad, pa.int64())],
+                names=["feature", "c0", "c1"],
+            )
+
+    counts = (
+        sample.select("text", "toxic")
+        .mapInArrow(count, "feature string, c0 bigint, c1 bigint")
+        .groupBy("feature")
+        .agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+        .filter(F.col("c1") >= MIN_DOCS)
+    )
+    counts = checkpointed(counts)
+    n0, n1 = sizes
+    base = n1 / (n0 + n1)
+    least = 2 * float(np.log(max(counts.count(), 1))) + 4
+    c0, c1, c = F.col("c0"), F.col("c1"), F.col("c0") + F.col("c1")
+    odds = ((c1 + 0.5) / (n1 + 1)) / ((c0 + 0.5) / (n0 + 1))
+    # G statistic of a feature's share of toxic documents against the base rate.
+    clean_part = F.when(c0 > 0, c0 * F.log(c0 / (c * (1 - base)))).otherwise(0.0)
+    surprise = 2 * (c1 * F.log(c1 / (c * base)) + clean_part)
+    rows = counts.filter((odds > 2) & (surprise >= least)).select("feature", odds.alias("odds"))
+    rows = rows.orderBy(F.desc("odds"), "feature").limit(MAX_FEATURES).collect()
+    return {r["feature"]: r["odds"] for r in rows}
+
+
+def encoded(sample: DataFrame, telling: dict[str, float]) -> Sequences:
+    """The sample's documents as sequences: only telling features reach the driver."""
+    ids = sample.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(telling)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, list[int]] = {}
+
+        def rows() -> Iterator[tuple]:
+            for r in rows_of(batches):
+                at, of = [], []
+                words = tokens(r["text"])
+                for k, w in enumerate(words):
+                    if w not in known:
+                        known[w] = [ids.value[f] for f in features(w) if f in ids.value]
+                    at += [k] * len(known[w])
+                    of += known[w]
+                if len(known) > CACHE_WORDS:
+                    known.clear()
+                packed = (np.array(x, np.int32).tobytes() for x in (at, of))
+                yield r["doc_id"], r["toxic"], len(words), *packed
+
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        yield from to_batches(rows(), ["doc_id", "toxic", "n", "at", "of"], types)
+
+    found = sample.mapInArrow(run, "doc_id bigint, toxic int, n bigint, at binary, of binary").collect()
+    found.sort(key=lambda r: (r["doc_id"], r["n"], r["at"], r["of"]))
+    lengths = np.array([r["n"] for r in found], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    at = [start + np.frombuffer(r["at"], np.int32) for start, r in zip(starts, found, strict=True)]
+    of = [np.frombuffer(r["of"], np.int32) for r in found]
+    toxic = np.array([r["toxic"] for r in found], float)
+    return Sequences(toxic, lengths, np.concatenate(at).astype(np.int64), np.concatenate(of).astype(np.int64))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tagger:
     """Fits on at most ``sample`` labelled rows of each class, none of them held out."""
     own = (
         labels.filter("doc_id is not null and toxic is not null")
         .filter(fold_of(F.col("doc_id")) != HELD_OUT)
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
         .agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     )
     shares = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -255,11 +308,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ta
     few = [own.filter(F.col("toxic") == c).orderBy(*by_hash).limit(sample) for c in (0, 1)]
     # At most 2 * sample ids are broadcast to the scan of the texts.
     chosen = F.broadcast(few[0].union(few[1]))
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
-    found = sorted(rows.limit(2 * sample).collect(), key=lambda r: r["doc_id"])
-    return fit(
-        [r["text"] for r in found], [r["toxic"] for r in found], (float(shares.get(0, 0)), float(shares.get(1, 0)))
-    )
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = checkpointed(texts.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = (float(shares.get(0, 0)), float(shares.get(1, 0)))
+    if len(sizes) < 2:
+        return constant(known)
+    telling = telling_features(rows, (sizes[0], sizes[1]))
+    if not telling:
+        return constant(known)
+    return fit(encoded(rows, telling), telling, known)
 
 
 def toxicity_scores(docs: DataFrame, model: Tagger) -> DataFrame:
