@@ -12,6 +12,7 @@ from quarry.llm.embedding_dedup import op3_embedding_dedup
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from quarry.llm.minhash_dedup import op4_minhash_dedup
 from quarry.llm.mixing import op10_mix_sources
+from quarry.llm.passages import op7_repeated_passages
 from quarry.llm.token_counts import op2_token_counts
 from quarry.llm.toxicity import op6_toxicity
 
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_repeated_passages": op7_repeated_passages,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_mix_sources": op10_mix_sources,
