@@ -14,7 +14,7 @@ of the pattern's rows, is put in order.
 
 Defined cases: a null source is a source of its own, ranked last; a document
 without sources (null or empty list) belongs to that source; a document of no
-words is taken with none; rows that repeat a document are documents of their own;
+words is passed on with none; rows that repeat a document are documents of their own;
 an empty table gives no rows; more than MAX_PATTERNS patterns are refused.
 """
 
@@ -189,6 +189,7 @@ def plan_mix(
     located = plan.join(cuts, "_mix_key", "left").select(
         "_mix_key",
         "_mix_whole",
+        F.lit(most).alias("_mix_most"),
         F.col("cut._mix_slice").alias("_mix_cut"),
         (F.col("_mix_rest") - F.col("cut._mix_before")).alias("_mix_open"),
     )
@@ -202,16 +203,15 @@ def with_copies(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     rows of the slices at the cut are shuffled.
     """
     rows = keyed.join(F.broadcast(plan), "_mix_key")
-    sure = rows.filter("_mix_slice <> _mix_cut").withColumn(
-        "_mix_copies", F.col("_mix_whole") + (F.col("_mix_slice") < F.col("_mix_cut")).cast("int")
-    )
+    before = F.col("_mix_slice") < F.col("_mix_cut")
+    sure = rows.filter("_mix_slice <> _mix_cut").withColumn("_mix_copies", F.col("_mix_whole") + before.cast("int"))
     order = Window.partitionBy("_mix_key").orderBy("_mix_hash", "_mix_id", "_mix_size")
     run = F.sum("_mix_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # The document that the cut runs through is in if more than half of it is.
     within = (run - F.col("_mix_size") / 2) <= F.col("_mix_open")
     edge = rows.filter("_mix_slice = _mix_cut").withColumn("_mix_copies", F.col("_mix_whole") + within.cast("int"))
-    edge = edge.withColumn("_mix_copies", F.least("_mix_copies", F.lit(MAX_PASSES)))
-    return sure.unionByName(edge)
+    # Documents without words lie before any cut; they too are taken no more than the most times.
+    return sure.unionByName(edge).withColumn("_mix_copies", F.least("_mix_copies", "_mix_most"))
 
 
 def own_source(col: str = "source") -> Column:
