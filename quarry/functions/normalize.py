@@ -18,14 +18,18 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Spaces of any script at either end (a non-breaking space too); tabs and line ends stay.
+OUTER_SPACES = r"^\p{Zs}+|\p{Zs}+$"
+
+
 def clean(c: ColumnOrName) -> Column:
-    """``trim`` only (names, occupation). Strips ASCII spaces."""
-    return F.trim(_col(c))
+    """``trim`` only (names, occupation). Strips spaces, Unicode ones included."""
+    return F.regexp_replace(_col(c), OUTER_SPACES, "")
 
 
 def token(c: ColumnOrName) -> Column:
     """Canonical categorical token, ``upper(trim(x))``."""
-    return F.upper(F.trim(_col(c)))
+    return F.upper(clean(c))
 
 
 def yyyymm(d: ColumnOrName) -> Column:

@@ -1,10 +1,9 @@
-"""Join helpers: left enrichment and the size check that guards a broadcast.
+"""Join helpers: left enrichment and referential checks.
 
-Spark picks the physical join. Nothing here hints a broadcast of a side whose
-size grows with the data unless its row count has been checked against a
-bound first; otherwise the planner's own size estimate and AQE's run-time
-statistics decide (``autoBroadcastJoinThreshold``), and AQE splits skewed
-partitions of a sort-merge join (``spark.sql.adaptive.skewJoin.enabled``).
+Spark picks the physical join. Nothing here hints a broadcast: the planner's own
+size estimate in bytes and AQE's run-time statistics decide
+(``autoBroadcastJoinThreshold``), and AQE splits skewed partitions of a
+sort-merge join (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -14,23 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast by us only if it has at most this many rows.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has no more than ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows (a bounded job), never the whole table.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only behind a checked row bound; otherwise leave it to Spark."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def left_enrich(
     left: DataFrame,
     right: DataFrame,

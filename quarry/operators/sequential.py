@@ -7,14 +7,15 @@ of all rows. Here a key's rows are cut into *segments* instead:
 
 1. ``repartitionByRange(n, key, *order)`` gives each partition a contiguous
    slice of the ``(key, order)`` sequence (bounds come from a sample), so a hot
-   key spans several partitions; the partition id is the segment.
+   key spans several partitions; the partition id is the segment. The rows are
+   stored with their segment (a reliable checkpoint), because a second
+   evaluation may sample other bounds: rows and summaries must see the same.
 2. A window over ``(key, segment)`` computes local lags, local change flags and
    local running counts (a segment is at most ~1/n of the data).
 3. A per-segment summary (first row, last row, local change count) gets, over
    a window per key *on the summary* (at most n rows per key), the previous
    segment's last row and the number of changes before the segment.
-4. Rows are joined back to their summary on ``(key, segment)`` (the rows stay in
-   place; only the small summary moves) to correct the first row of each
+4. Rows are joined back to their summary on ``(key, segment)`` to correct the first row of each
    segment and offset the running version.
 
 For spans, every row also carries ``next_start``: the start of the first change
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.fixed import CURRENT_SENTINEL, PREVIOUS_SENTINEL
+from quarry.session import ensure_checkpoint_dir
 
 SEG = "_seg"
 
@@ -65,7 +67,8 @@ def change_versions(
     spark = df.sparkSession
     n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
-    seg = df.repartitionByRange(n, key, *order).withColumn(SEG, F.spark_partition_id())
+    ensure_checkpoint_dir(spark)
+    seg = df.repartitionByRange(n, key, *order).withColumn(SEG, F.spark_partition_id()).checkpoint()
 
     w = Window.partitionBy(key, SEG).orderBy(*order)
     lags = [F.lag(c).over(w) for c in tracked]

@@ -70,8 +70,10 @@ def best_match(value: Column, domain: Sequence[str], max_distance: int) -> Colum
     """Closest domain value by Levenshtein distance of ``upper(trim(value))``.
 
     Returns ``struct(distance, repaired)``; ``repaired`` is NULL when the best
-    distance exceeds ``max_distance``. Ties go to the alphabetically first
-    value. The domain is a literal array, so no join is needed.
+    distance exceeds ``max_distance`` or a third of the token's length, so that
+    blank and short tokens are not turned into values they do not resemble. Ties
+    go to the alphabetically first value. The domain is a literal array, so no
+    join is needed.
     """
     tok = token(value)
     cands = F.array(
@@ -80,7 +82,9 @@ def best_match(value: Column, domain: Sequence[str], max_distance: int) -> Colum
     best = F.array_min(cands)
     return F.struct(
         best["distance"].alias("distance"),
-        F.when(best["distance"] <= max_distance, best["value"]).alias("repaired"),
+        F.when(
+            (best["distance"] <= max_distance) & (best["distance"] * 3 <= F.length(tok)), best["value"]
+        ).alias("repaired"),
     )
 
 
@@ -113,8 +117,12 @@ def fuzzy_repair_report(
 
 
 def repair_column(df: DataFrame, col: str, domain: Sequence[str], max_distance: int = 2) -> DataFrame:
-    """Replace ``col`` by its repaired token (NULL when nothing is close enough)."""
-    return df.withColumn(col, best_match(F.col(col), domain, max_distance)["repaired"])
+    """``df`` with ``col`` repaired where a value is close enough; the raw value stays in ``<col>_raw``.
+
+    A value that nothing is close to is left as it is.
+    """
+    repaired = best_match(F.col(col), domain, max_distance)["repaired"]
+    return df.withColumns({f"{col}_raw": F.col(col), col: F.coalesce(repaired, F.col(col))})
 
 
 # ------------------------------------------------------------------ X05

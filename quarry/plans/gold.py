@@ -113,21 +113,17 @@ def gold_policy_performance(
     )
 
 
-def _stream_rows(bronze: DataFrame, silver: DataFrame, stream: str) -> DataFrame:
-    """Bronze and silver rows of one stream tagged for a single aggregate."""
-    b = bronze.select(
-        F.lit(stream).alias("stream"),
-        F.lit(1).alias("_b"),
-        F.lit(0).alias("_s"),
-        F.lit(False).alias("_late"),
+def _stream_counts(bronze: DataFrame, silver: DataFrame, stream: str) -> DataFrame:
+    """One row of counts per stream, zeros for an empty one (J07): a global aggregate
+    over bronze and silver rows, whose name is added after it."""
+    b = bronze.select(F.lit(True).alias("_bronze"), F.lit(False).alias("_late"))
+    s = silver.select(F.lit(False).alias("_bronze"), F.col("is_late_arrival").alias("_late"))
+    counts = b.unionByName(s).agg(
+        F.count_if("_bronze").alias("bronze_rows"),
+        F.count_if(~F.col("_bronze")).alias("silver_rows"),
+        F.count_if("_late").alias("late_arrival_rows"),
     )
-    s = silver.select(
-        F.lit(stream).alias("stream"),
-        F.lit(0).alias("_b"),
-        F.lit(1).alias("_s"),
-        F.col("is_late_arrival").alias("_late"),
-    )
-    return b.unionByName(s)
+    return counts.withColumn("stream", F.lit(stream))
 
 
 def gold_rpt_reconciliation(
@@ -136,13 +132,8 @@ def gold_rpt_reconciliation(
     bronze_claims: DataFrame,
     silver_claims: DataFrame,
 ) -> DataFrame:  # M14
-    tagged = _stream_rows(bronze_payments, silver_payments, STREAM_PAYMENTS).unionByName(
-        _stream_rows(bronze_claims, silver_claims, STREAM_CLAIMS)
-    )
-    agg = tagged.groupBy("stream").agg(
-        F.sum("_b").cast("long").alias("bronze_rows"),
-        F.sum("_s").cast("long").alias("silver_rows"),
-        F.count_if(F.col("_late")).alias("late_arrival_rows"),
+    agg = _stream_counts(bronze_payments, silver_payments, STREAM_PAYMENTS).unionByName(
+        _stream_counts(bronze_claims, silver_claims, STREAM_CLAIMS)
     )
     out = agg.select(
         "stream",
@@ -190,8 +181,8 @@ def gold_rpt_data_quality(
         F.max("scd_version").alias("_mv"),
     )
     dim = per_customer.agg(
-        F.sum("_rows").cast("long").alias("customers_scd_rows"),
-        F.sum("_current").cast("long").alias("customers_current"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("customers_scd_rows"),
+        F.coalesce(F.sum("_current"), F.lit(0)).cast("long").alias("customers_current"),
         F.count_if(F.col("_mv") > 1).alias("customers_with_history"),
     )
     parts = [

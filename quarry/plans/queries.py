@@ -20,10 +20,11 @@ from quarry.operators import checks, sequential
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.plans import extras, gold, silver, warehouse
-from quarry.plans.layers import from_driver_tables
-from quarry.schemas import RAW_PREMIUM_PAYMENTS
+from quarry.plans.layers import from_driver_tables, from_landing
+from quarry.schemas import RAW_PREMIUM_PAYMENTS, RAW_SCHEMAS
 from quarry.session import ensure_checkpoint_dir, shared_dir
 from quarry.sources import overlay, parquet
+from quarry.sources.bronze import register_views
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
 from quarry.streaming import incremental
 
@@ -98,7 +99,12 @@ def x05_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def x06_currency_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = from_driver_tables(spark, sf_dir).silver
-    return extras.currency_match(s["silver_premium_payments"], s["silver_policies"])
+    facts = {fixed.STREAM_PAYMENTS: s["silver_premium_payments"], fixed.STREAM_CLAIMS: s["silver_claims"]}
+    parts = [
+        extras.currency_match(df, s["silver_policies"]).withColumn("stream", F.lit(name))
+        for name, df in facts.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
@@ -113,7 +119,7 @@ EVENT_ORDER = ["ts", "event_id"]  # total order of one user's events
 
 
 def _user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a per-user sequence (range-partitioned downstream, so no spread)."""
+    """Events as a per-user sequence (range-partitioned downstream)."""
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     return sequential.change_versions(ev, "user_id", EVENT_ORDER, ["event_type"], start="ts")
 
@@ -163,21 +169,88 @@ def r17_batch_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s08_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full build into the shared folder; the silver payments table read back."""
-    result = warehouse.build(
+    """Silver payments written as one catalog table and read back."""
+    name = f"q{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark, 'tables')}'")
+    payments = from_driver_tables(spark, sf_dir).silver["silver_premium_payments"]
+    ident = warehouse.save_table(payments, f"{name}.silver_premium_payments")
+    out = spark.table(ident).checkpoint()
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return out
+
+
+def _build(spark: SparkSession, sf_dir: str) -> warehouse.BuildResult:
+    return warehouse.build(
         spark, from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse"),
         db_prefix=f"q{uuid.uuid4().hex[:8]}_",
     )
-    return spark.table(result.tables["silver_premium_payments"])
 
 
 def s13_build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build; all 42 check results read back from the written gold table."""
-    result = warehouse.build(
-        spark, from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse"),
-        db_prefix=f"q{uuid.uuid4().hex[:8]}_",
-    )
-    return result.checks
+    result = _build(spark, sf_dir)
+    out = result.checks.checkpoint()
+    warehouse.drop(spark, result)
+    return out
+
+
+def m17_report_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full build; the stored scorecard as the report reads it, with each row's place."""
+    result = _build(spark, sf_dir)
+    # At most one row per metric: the order of the report is its row order.
+    rows = warehouse.report(spark, result)["data_quality"].collect()
+    warehouse.drop(spark, result)
+    return spark.createDataFrame(
+        [(k, r["metric"], r["value"], r["unit"]) for k, r in enumerate(rows, 1)],
+        "place int, metric string, value bigint, unit string",
+    )
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """The five extracts landed as files, as ``from_landing`` reads them."""
+    root = shared_dir(spark, "landing")
+    for name, df in from_driver_tables(spark, sf_dir).bronze.items():
+        df.write.parquet(f"{root}/{name}")
+    return root
+
+
+def s01_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver claims from landed files with declared schemas."""
+    return from_landing(spark, _landed(spark, sf_dir)).silver["silver_claims"]
+
+
+def s07_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies per line, by SQL over the bronze view."""
+    register_views(from_driver_tables(spark, sf_dir).bronze)
+    return spark.sql(
+        "SELECT upper(trim(product_line)) AS product_line, count(*) AS policies "
+        "FROM bronze_policies GROUP BY upper(trim(product_line))"
+    )
+
+
+def s11_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The agents master written as one file and read back."""
+    path = parquet.write_single_file(
+        from_driver_tables(spark, sf_dir).bronze["agents"], shared_dir(spark, "single")
+    )
+    return spark.read.parquet(path)
+
+
+def s12_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims landed whole, then reloaded without their even batches: those are gone."""
+    path = shared_dir(spark, "landing", "claims")
+    claims = from_driver_tables(spark, sf_dir).bronze["claims"]
+    parquet.write_batches(claims, path)
+    parquet.write_batches(claims.filter(F.col("_batch") % 2 == 1), path, full_refresh=True)
+    return parquet.read_batches(spark, path, RAW_SCHEMAS["claims"])
+
+
+def w05_segmented_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension by the segmented scan, with carried columns."""
+    snaps = silver.normalized_snapshots(from_driver_tables(spark, sf_dir).bronze["customer_snapshots"])
+    return scd2_from_snapshots(
+        snaps, "customer_id", "snapshot_month", silver.DIM_TRACKED, silver.DIM_CARRIED, segments=8
+    )
 
 
 def s10_batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,20 +274,44 @@ def x02_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def x02_resend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver payments built, then a third of the keys re-sent by a caller that asks for other buckets."""
+    bronze = from_driver_tables(spark, sf_dir).bronze["premium_payments"]
+    path = f"{shared_dir(spark, 'x02')}/silver/premium_payments"
+    for buckets, batch in ((4, bronze), (7, bronze.filter(F.xxhash64("payment_id") % 3 == 0))):
+        incremental.IncrementalSilver(
+            spark, path, "payment_id", silver.FACT_LATEST_BY, silver.normalized_payments, buckets=buckets
+        ).merge(batch)
+    return spark.read.parquet(path).drop(incremental.BUCKET)
+
+
 # Merge the last three years of snapshots into a history built from the first four.
 X03_HISTORY_END = "1999-01-01"
-X03_BOUNDARIES = ["1999-01-01", "2000-01-01", "2001-01-01"]
+X03_SLICES = [("1999-01-01", "2000-01-01"), ("2000-01-01", "2001-01-01"), ("2001-01-01", None)]
 
 
-def x03_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _snapshot_merge(spark: SparkSession, sf_dir: str, slices: list, through: str | None) -> DataFrame:
     ensure_checkpoint_dir(spark)
     snaps = silver.normalized_snapshots(from_driver_tables(spark, sf_dir).bronze["customer_snapshots"])
+    # Landed by month, so that each slice reads only its own.
+    path = shared_dir(spark, "landing", "customer_snapshots")
+    by_month = snaps.withColumn("month", batch_key("snapshot_month"))
+    by_month.hint("rebalance", "month").write.partitionBy("snapshot_month").parquet(path)
+    snaps = spark.read.parquet(path).drop("month")
     args = dict(key="customer_id", tracked=silver.DIM_TRACKED, carried=silver.DIM_CARRIED)
     early = snaps.filter(F.col("snapshot_month") < F.lit(X03_HISTORY_END).cast("date"))
     history = scd2_from_snapshots(early, period="snapshot_month", **args).checkpoint(eager=True)
-    return incremental.merge_snapshot_periods(
-        history, snaps, "snapshot_month", X03_BOUNDARIES, **args
-    )
+    return incremental.merge_snapshot_periods(history, snaps, "snapshot_month", slices, through, **args)
+
+
+def x03_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snapshot_merge(spark, sf_dir, X03_SLICES, None)
+
+
+def x03_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slice merged twice, and the history's own months again."""
+    again = [("1995-01-01", X03_HISTORY_END)] + [s for s in X03_SLICES for _ in range(2)]
+    return _snapshot_merge(spark, sf_dir, again, "1998-12-01")
 
 
 def m16_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,6 +353,14 @@ CORE: dict[str, Query] = {
     "x02_incremental": x02_incremental,
     "x03_snapshot_merge": x03_snapshot_merge,
     "s13_build_checks": s13_build_checks,
+    "s01_landing_scan": s01_landing_scan,
+    "s07_views": s07_views,
+    "s11_single_file": s11_single_file,
+    "s12_full_refresh": s12_full_refresh,
+    "m17_report_reads": m17_report_reads,
+    "w05_segmented_dim": w05_segmented_dim,
+    "x02_resend": x02_resend,
+    "x03_rerun": x03_rerun,
 }
 
 

@@ -8,7 +8,7 @@ Facts are deliberately *not* bucketed on ``policy_id``: one policy may carry a
 large share of all rows, and a bucketed layout would pin that share to one
 bucket file and one writer/reader task. Gold plans instead shuffle facts with
 partial aggregation first (M13) and let AQE split skewed join partitions (M11,
-M12); ``save_table`` still offers bucketing for keys known to be unique.
+M12).
 
 Precondition: the snapshot key ``(customer_id, snapshot_month)`` must be
 unique. That bounds every SCD2 window partition by the number of periods, so
@@ -26,7 +26,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarry.fixed import SCORECARD_METRICS
 from quarry.operators import checks
 from quarry.operators.contracts import enforce
 from quarry.plans import gold
@@ -35,8 +37,6 @@ from quarry.schemas import CONTRACTS
 from quarry.sources.bronze import register_views
 from quarry.sources.parquet import table_path
 
-# Tables bucketed on a unique key (never on a fact's foreign key, see above).
-BUCKETED: dict[str, str] = {}
 SNAPSHOT_KEY = ["customer_id", "snapshot_month"]
 SILVER_CHECKS = [c.check_id for c in checks.CATALOG if c.table.startswith("silver_")]
 GOLD_CHECKS = [c.check_id for c in checks.CATALOG if c.table.startswith("gold_")]
@@ -66,25 +66,13 @@ def _database(spark: SparkSession, warehouse: str, layer: str, prefix: str) -> s
 SINGLE_FILE = {"gold_rpt_reconciliation", "gold_rpt_data_quality", "dq_check_results"}
 
 
-def save_table(df: DataFrame, ident: str, bucket_col: str | None = None, buckets: int = 0) -> str:
-    """Full-refresh table write; bucketed on ``bucket_col`` when given.
-
-    A hash repartition into exactly ``buckets`` partitions first makes each
-    task write one bucket file (Spark's hash partition id equals its bucket id).
-    Use it only for a key that is unique (no bucket can be hot).
-    """
+def save_table(df: DataFrame, ident: str) -> str:
+    """Full-refresh table write."""
     name = ident.split(".")[-1]
     if name in CONTRACTS:  # S13: contract-enforced write
         enforce(df, CONTRACTS[name], name)
-    w = df
-    if bucket_col:
-        w = df.repartition(buckets, bucket_col)
-    elif name in SINGLE_FILE:
-        w = df.coalesce(1)
-    writer = w.write.mode("overwrite").format("parquet")
-    if bucket_col:
-        writer = writer.bucketBy(buckets, bucket_col).sortBy(bucket_col)
-    writer.saveAsTable(ident)
+    w = df.coalesce(1) if name in SINGLE_FILE else df
+    w.write.mode("overwrite").format("parquet").saveAsTable(ident)
     return ident
 
 
@@ -107,7 +95,6 @@ def build(
     spark: SparkSession,
     layers: Layers,
     warehouse: str,
-    buckets: int | None = None,
     db_prefix: str = "",
     gate: bool = True,
     threads: int = 4,
@@ -115,7 +102,6 @@ def build(
     """Build silver and gold. Models of one layer do not depend on each other, so
     up to ``threads`` of them run as concurrent jobs (the scheduler interleaves
     their tasks); layers run in dependency order with a check gate between."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     register_views(layers.bronze)  # S07: bronze stays a view
     dup = checks.unique_combination_offenders(layers.bronze["customer_snapshots"], SNAPSHOT_KEY)
     if gate and dup.limit(1).count():
@@ -125,10 +111,7 @@ def build(
 
     tables.update(
         _save_all(
-            {
-                name: (df, f"{dbs['silver']}.{name}", BUCKETED.get(name), buckets)
-                for name, df in layers.silver.items()
-            },
+            {name: (df, f"{dbs['silver']}.{name}") for name, df in layers.silver.items()},
             threads,
         )
     )
@@ -157,9 +140,16 @@ def build(
     return BuildResult(warehouse, dbs, tables, results)
 
 
+def drop(spark: SparkSession, result: BuildResult) -> None:
+    """Drop the tables and databases of a build that nothing reads any more."""
+    for name in result.databases.values():
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def report(spark: SparkSession, result: BuildResult) -> dict[str, DataFrame]:
     """The report reads (reconciliation by stream, scorecard in metric order)."""
     rec = spark.table(result.tables["gold_rpt_reconciliation"]).orderBy("stream")
     dq = spark.table(result.tables["gold_rpt_data_quality"])
+    dq = dq.orderBy(F.array_position(F.lit(list(SCORECARD_METRICS)), F.col("metric")))
     hist = gold.sample_history(spark.table(result.tables["silver_dim_customer"]))
     return {"reconciliation": rec, "data_quality": dq, "sample_history": hist}

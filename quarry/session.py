@@ -25,7 +25,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -46,18 +45,20 @@ def get_session(
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        # The platform's (or an earlier) session: fill in runtime settings it leaves
+        # unset, and what the caller names; everything else stays as it is.
+        given = set(running.conf.getAll)
+        for k, v in conf.items():
+            if k in (extra_conf or {}) or k not in given:
+                if running.conf.isModifiable(k):
+                    running.conf.set(k, v)
+        ensure_checkpoint_dir(running)
+        return running
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    # getOrCreate() may hand back an existing session: apply SQL settings anyway
-    # (runtime-settable ones only; static ones belong to the platform).
-    for k, v in conf.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.session.timeZone":
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # pragma: no cover - static conf on a shared session
-                pass
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -70,7 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: a cluster names its shared folder in spark.checkpoint.dir.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # One machine only (tests, local runs): a private folder.
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

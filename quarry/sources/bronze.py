@@ -21,26 +21,6 @@ def bronze(raw: DataFrame, name: str) -> DataFrame:
     return raw.select(*BRONZE_COLUMNS[name])
 
 
-def bronze_agents(raw: DataFrame) -> DataFrame:  # S02
-    return bronze(raw, "agents")
-
-
-def bronze_customer_snapshots(raw: DataFrame) -> DataFrame:  # S03
-    return bronze(raw, "customer_snapshots")
-
-
-def bronze_policies(raw: DataFrame) -> DataFrame:  # S04
-    return bronze(raw, "policies")
-
-
-def bronze_premium_payments(raw: DataFrame) -> DataFrame:  # S05
-    return bronze(raw, "premium_payments")
-
-
-def bronze_claims(raw: DataFrame) -> DataFrame:  # S06
-    return bronze(raw, "claims")
-
-
 def register_views(layer: dict[str, DataFrame], prefix: str = "bronze_") -> None:
     """Expose a layer as temp views (the view materialisation)."""
     for name, df in layer.items():

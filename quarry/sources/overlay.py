@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from quarry.fixed import CLAIM_TYPES, PAYMENT_METHODS, PRODUCT_LINES
 from quarry.functions.normalize import batch_increment, batch_key, month_floor
-from quarry.operators.joins import broadcast_if_small
 
 # Overlay parameters (the overlay picks element ``key % len`` of a domain; the
 # contract domains come from ``quarry.fixed``).
@@ -26,36 +25,11 @@ SNAPSHOT_MONTHS = 84
 HIRE_START = "2015-01-01"
 BIRTH_START = "1955-01-01"
 NOISE_MODULUS = 23
-CODE_TABLE_ROWS = 10_000  # broadcast bound for nation/region
-
-# Driver tables whose rows carry real per-row work downstream; the small
-# masters and code tables are read as they are.
-SPREAD_TABLES = {"lineitem", "orders", "events"}
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return spread(df, path) if name in SPREAD_TABLES else df
-
-
-_SPLITS: dict[str, int] = {}
-
-
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
-
-    A single-row-group file is read by one task, which would then run every
-    projection and the map side of the next shuffle alone. A scan of many files
-    (the normal case at scale) already has enough splits and is left untouched.
-    The split count is one integer per path, looked up once per process.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
-    if _SPLITS[path] >= cores:
-        return df
-    return df.repartition(cores)
+    """A driver table as its files are split; the plan is the same at every size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def noisy(v: Column, k: Column) -> Column:
@@ -75,7 +49,10 @@ def pick(values: list, idx: Column) -> Column:
 
 
 def padded_id(prefix: str, key: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
+    """The key padded to ``width`` digits; longer keys are kept whole (``lpad`` would cut them)."""
+    digits = key.cast("string")
+    padded = F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
+    return F.concat(F.lit(prefix), padded)
 
 
 def policy_id(orderkey: Column) -> Column:
@@ -99,9 +76,7 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = driver_table(spark, sf_dir, "supplier")
     n = driver_table(spark, sf_dir, "nation")
     r = driver_table(spark, sf_dir, "region")
-    # nation/region are small code tables: broadcast behind a checked row bound.
-    n = broadcast_if_small(n, CODE_TABLE_ROWS)
-    r = broadcast_if_small(r, CODE_TABLE_ROWS)
+    # Spark broadcasts the code tables by the size of their files.
     j = s.join(n, s.s_nationkey == n.n_nationkey, "left").join(
         r, F.col("n_regionkey") == r.r_regionkey, "left"
     )

@@ -37,13 +37,21 @@ def table_path(warehouse: str, layer: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{layer}/{name}"
 
 
-def write_single_file(df: DataFrame, path: str) -> str:
-    """A small master as one file. Only for tables of bounded size."""
+#: A table of more rows than this is refused, not squeezed through one task.
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def write_single_file(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> str:
+    """A small master as one file. A table of over ``max_rows`` rows is an error."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows: write this table with many files")
     df.coalesce(1).write.mode("overwrite").parquet(path)
     return path
 
 
-def write_batches(df: DataFrame, path: str, date_col: str | None = None) -> str:
+def write_batches(
+    df: DataFrame, path: str, date_col: str | None = None, full_refresh: bool = False
+) -> str:
     """One folder per batch; the batch column also stays inside the files.
 
     ``partitionBy`` moves the partition column into the path, so the sink
@@ -51,13 +59,15 @@ def write_batches(df: DataFrame, path: str, date_col: str | None = None) -> str:
     ``date_col`` the label is derived from a date (``YYYYMM``). Rows are
     clustered by batch with the ``rebalance`` hint, so each task writes few
     files while AQE still splits a batch that holds a large share of the rows.
+    Batches that ``df`` does not hold stay as they are, unless ``full_refresh``
+    (S12) replaces the whole landing folder.
     """
     label = batch_key(F.col(date_col)) if date_col else F.col("_batch")
     out = df.withColumn(BATCH_PARTITION, label)
     (
         out.hint("rebalance", BATCH_PARTITION)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if full_refresh else "dynamic")
         .partitionBy(BATCH_PARTITION)
         .parquet(path)
     )

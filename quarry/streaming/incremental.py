@@ -4,14 +4,15 @@ Incremental keep-latest silver
 ------------------------------
 The stored silver table is partitioned so that every copy of a key, early or
 late, lives in one partition folder. The default partition is a hash bucket of
-the key (``pmod(xxhash64(key), n)``): always correct, but a batch with more keys
+the key (``pmod(xxhash64(key), n)``; ``n`` is stored beside the table and stays,
+whatever a later caller asks for): always correct, but a batch with more keys
 than buckets touches every bucket. When the key determines the event date (a
 re-send repeats the same business event), pass ``partition=`` an event-month
 expression instead: a monthly batch then touches only the few months it
 carries (on-time plus late arrivals), which is what makes the merge incremental
 at scale. A new batch is merged by
 
-1. normalising it and tagging buckets;
+1. normalising it and tagging buckets, stored once per batch;
 2. reading only the stored partitions whose bucket occurs in the batch (the
    touched bucket ids, at most ``n`` small ints, become a partition filter);
 3. ``keep_latest`` over stored + new rows (a total order, so merging batch by
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarry.operators.dedup import keep_latest
-from quarry.operators.scd2 import scd2_merge
+from quarry.operators.scd2 import scd2_from_snapshots, scd2_merge
 from quarry.session import ensure_checkpoint_dir
 
 BUCKET = "_bucket"  # storage partition column of an incremental table
@@ -63,16 +64,23 @@ class IncrementalSilver:
         """``partition``: optional Column giving a row's storage partition; it must
         be a function of the key (all copies of a key in one partition)."""
         self.spark, self.path, self.key = spark, path, key
-        self.latest_by, self.normalize, self.buckets = list(latest_by), normalize, buckets
-        self.partition = partition if partition is not None else bucket_of(key, buckets)
-        self._schema: StructType | None = None
+        self.latest_by, self.normalize = list(latest_by), normalize
         ensure_checkpoint_dir(spark)
-
-    def _exists(self) -> bool:
-        """True once the table has been written (a missing path is the only
+        self.buckets = self._stored_buckets(buckets)
+        self.partition = partition if partition is not None else bucket_of(key, self.buckets)
+
+    def _stored_buckets(self, wanted: int) -> int:
+        """The number of buckets that the table was created with; ``wanted`` for a new one."""
+        layout = f"{self.path.rstrip('/')}_layout"
+        if not self._exists(layout):
+            self.spark.createDataFrame([(wanted,)], "buckets int").write.mode("overwrite").parquet(layout)
+        return self.spark.read.parquet(layout).first()["buckets"]
+
+    def _exists(self, path: str | None = None) -> bool:
+        """True once the path has been written (a missing path is the only
         error treated as "not yet"; anything else propagates)."""
         try:
-            self.spark.read.parquet(self.path).schema
+            self.spark.read.parquet(path or self.path).schema
             return True
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
@@ -84,7 +92,7 @@ class IncrementalSilver:
         return self.spark.read.parquet(self.path).drop(BUCKET)
 
     def merge(self, bronze_batch: DataFrame) -> None:
-        new = self.normalize(bronze_batch).withColumn(BUCKET, self.partition)
+        new = self.normalize(bronze_batch).withColumn(BUCKET, self.partition).checkpoint()  # read twice below
         if self._exists():
             # The touched partition ids (at most `buckets`, or the months a batch
             # carries: a small bound) become a partition filter, so only touched
@@ -142,36 +150,71 @@ def stream_silver(
     return count["n"]
 
 
+def disagreeing_keys(
+    history: DataFrame, late: DataFrame, key: str, period: str, tracked: Sequence[str]
+) -> DataFrame:
+    """Keys with a late snapshot row that the history does not already say."""
+    spans = history.select(key, "valid_from", "valid_to", *[F.col(c).alias(f"_h_{c}") for c in tracked])
+    same = F.lit(True)
+    for c in tracked:
+        same = same & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    p = F.col(period)
+    agreeing = (
+        late.join(spans, key)
+        .filter((p >= F.col("valid_from")) & (F.col("valid_to").isNull() | (p < F.col("valid_to"))) & same)
+        .select(key, period)
+    )
+    return late.select(key, period).join(agreeing, [key, period], "left_anti").select(key).distinct()
+
+
 def merge_snapshot_periods(
     history: DataFrame,
     snapshots: DataFrame,
     period: str,
-    boundaries: Sequence[str],
+    slices: Sequence[tuple[str, str | None]],
+    through: str | None = None,
     **scd2_args,
 ) -> DataFrame:
     """Merge snapshot periods into a stored history in consecutive slices.
 
-    ``boundaries`` are period starts (``YYYY-MM-DD``); the slice
-    ``[boundaries[i], boundaries[i+1])`` is merged in step ``i`` and the last
-    slice is open-ended. Closed spans never change, so each step carries only
-    the open spans forward (plus the spans it closes, which are appended to the
-    closed set): a step costs O(keys + changes), not O(history). Each step is
-    checkpointed into the shared folder, so lineage stays one step deep, as it
-    would between scheduled runs.
+    A slice is ``[start, end)`` (``YYYY-MM-DD``; no end: open). ``through`` is the last
+    period that the history holds; without it the first slice's start is taken to follow
+    the history. Closed spans never change when later periods come, so a step carries
+    only the open spans forward (plus the spans it closes, which are appended to the
+    closed set): it costs O(keys + changes), not O(history). Each step is checkpointed
+    into the shared folder, so lineage stays one step deep, as between scheduled runs.
+
+    Periods up to the last merged one are not merged again. Rows of such a late or
+    repeated period that the history already says change nothing, so merging a slice
+    twice equals merging it once; customers for whom it says otherwise are rebuilt from
+    all their snapshots so far.
     """
     ensure_checkpoint_dir(history.sparkSession)
+    key, tracked = scd2_args["key"], scd2_args["tracked"]
     d = F.col(period)
-    closed_parts = [history.filter(~F.col("is_current"))]
+    closed = history.filter(~F.col("is_current"))
     current = history.filter(F.col("is_current"))
-    for i, start in enumerate(boundaries):
-        cond = d >= F.lit(start).cast("date")
-        if i + 1 < len(boundaries):
-            cond = cond & (d < F.lit(boundaries[i + 1]).cast("date"))
-        step = scd2_merge(current, snapshots.filter(cond), period=period, **scd2_args)
-        step = step.checkpoint(eager=True)
-        closed_parts.append(step.filter(~F.col("is_current")))
+    for start, end in slices:
+        part = snapshots.filter(d >= F.lit(start).cast("date"))
+        if end:
+            part = part.filter(d < F.lit(end).cast("date"))
+        new = part
+        if through is not None:
+            last = F.lit(through).cast("date")
+            new, late = part.filter(d > last), part.filter(d <= last)
+            known = closed.select(*current.columns).unionByName(current)
+            wrong = disagreeing_keys(known, late, key, period, tracked).checkpoint(eager=True)
+            if not wrong.isEmpty():
+                again = scd2_from_snapshots(
+                    snapshots.filter(d <= last).join(wrong, key, "left_semi"), period=period, **scd2_args
+                ).select(*current.columns)
+                known = known.join(wrong, key, "left_anti").unionByName(again).checkpoint(eager=True)
+                closed, current = known.filter(~F.col("is_current")), known.filter(F.col("is_current"))
+        merged_to = new.agg(F.max(d).cast("string")).first()[0]  # one date
+        if merged_to is None:
+            continue
+        step = scd2_merge(current, new, period=period, **scd2_args).checkpoint(eager=True)
+        closed = closed.select(*step.columns).unionByName(step.filter(~F.col("is_current")))
         current = step.filter(F.col("is_current"))
-    out = current
-    for part in closed_parts:
-        out = part.select(*current.columns).unionByName(out)
-    return out
+        through = merged_to
+    return closed.select(*current.columns).unionByName(current)
