@@ -46,6 +46,7 @@ MIN_ODDS = 4.0  # times more frequent in toxic documents, to label tokens
 STEPS = 40
 CACHE_WORDS = 300_000
 SLICE_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 18  # of the sample, to keep the driver's arrays small
 SCORES = (
     "doc_id bigint, held_out boolean, score double, predicted int, "
     "n_toxic_tokens bigint, spans array<struct<start:int,end:int>>"
@@ -82,7 +83,7 @@ class Ragged:
         rank[self.order] = np.arange(len(lengths))
         starts = np.cumsum(lengths) - lengths
         step = np.arange(int(lengths.sum())) - np.repeat(starts, lengths)
-        self.place = self.at[step] + np.repeat(rank, lengths)
+        self.place = (self.at[step] + np.repeat(rank, lengths)).astype(np.int32)
 
     def lay(self, flat: np.ndarray) -> np.ndarray:
         out = np.empty(len(flat))
@@ -90,16 +91,15 @@ class Ragged:
         return out
 
 
-def marginals(emission: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pairs: bool = False):
+def marginals(emission: np.ndarray, grid: Ragged, trans: np.ndarray, pairs: bool = False):
     """P(toxic) of each token, and the expected transitions if ``pairs``.
 
-    ``emission``: log odds of the toxic state, sequence after sequence; ``trans``:
-    2 x 2 log potentials. Forward and backward messages are kept as the ratio of
+    ``emission``: log odds of the toxic state, sequence after sequence, laid out as
+    ``grid`` says; ``trans``: 2 x 2 log potentials. Forward and backward messages are kept as the ratio of
     the two states, which neither under- nor overflows.
     """
     if not len(emission):
         return np.empty(0), np.zeros((2, 2))
-    grid = Ragged(lengths)
     e = grid.lay(np.exp(np.clip(emission, -30, 30)))
     (t00, t01), (t10, t11) = np.exp(trans)
     f, b = np.empty_like(e), np.ones_like(e)
@@ -154,14 +154,37 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(self.score[0] + x @ np.array(self.score[1:]), -500, 500)))
 
 
-@dataclass
 class Sequences:
-    """Training documents as token counts and their (token, feature) pairs."""
-
-    toxic: np.ndarray
-    lengths: np.ndarray
-    of_token: np.ndarray
-    of_feature: np.ndarray
+    """Some training documents as token counts and their (token, feature) pairs."""
+
+    def __init__(self, toxic: np.ndarray, lengths: np.ndarray, of_token: np.ndarray, of_feature: np.ndarray):
+        self.toxic, self.lengths, self.of_token, self.of_feature = toxic, lengths, of_token, of_feature
+        self.n = int(lengths.sum())
+        self.grid = Ragged(lengths)
+
+    def label(self, marks: np.ndarray) -> None:
+        """A token of a toxic document is toxic if one of its features marks it."""
+        labels = np.zeros(self.n, bool)
+        labels[self.of_token[marks[self.of_feature]]] = True
+        labels &= np.repeat(self.toxic > 0, self.lengths)
+        first = (np.cumsum(self.lengths) - self.lengths)[self.lengths > 0]
+        follows = np.ones(self.n, bool)
+        follows[first] = False
+        at = np.flatnonzero(follows)
+        here, before = labels[at], labels[at - 1]
+        self.labels = labels
+        self.pairs = np.array([[(a & b).sum() for b in (~here, here)] for a in (~before, before)], float)
+
+    def marginals(self, w: np.ndarray, pairs: bool = False):
+        """Under weights of the features, the bias and the four transitions."""
+        emission = w[-5] + np.bincount(self.of_token, w[self.of_feature], minlength=self.n)
+        return marginals(emission, self.grid, w[-4:].reshape(2, 2), pairs)
+
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        p, expected = self.marginals(w, pairs=True)
+        gap = self.labels - p
+        by_feature = np.bincount(self.of_feature, gap[self.of_token], minlength=len(w) - 5)
+        return np.concatenate([by_feature, [gap.sum()], (self.pairs - expected).ravel()])
 
 
 def constant(shares: tuple[float, float]) -> Tagger:
@@ -170,36 +193,24 @@ def constant(shares: tuple[float, float]) -> Tagger:
     return Tagger(score=(float(np.log(p / (1 - p))), 0.0, 0.0, 0.0))
 
 
-def fit(docs: Sequences, telling: dict[str, float], shares: tuple[float, float]) -> Tagger:
-    """A tagger from sequences; ``telling``: features in order, with how many times more
+def fit(docs: list[Sequences], telling: dict[str, float], shares: tuple[float, float]) -> Tagger:
+    """A tagger from sequences in chunks; ``telling``: features in order, with how many times more
     frequent they are in toxic documents; ``shares``: labelled rows of class 0 and 1."""
-    y, lengths, of_token, of_feature = docs.toxic, docs.lengths, docs.of_token, docs.of_feature
     odds = np.array(list(telling.values()))
-    n0, n1 = float((y == 0).sum()), float((y == 1).sum())
-    # A token of a toxic document is toxic if one of its features marks it.
-    labels = np.zeros(int(lengths.sum()))
-    labels[of_token[odds[of_feature] >= MIN_ODDS]] = 1
-    labels *= np.repeat(y, lengths)
-    first = (np.cumsum(lengths) - lengths)[lengths > 0]
-    follows = np.ones(len(labels), bool)
-    follows[first] = False
-    here, before = labels[follows], labels[np.flatnonzero(follows) - 1]
-    seen_pairs = np.array([[(a * b).sum() for b in (1 - here, here)] for a in (1 - before, before)])
+    for d in docs:
+        d.label(odds >= MIN_ODDS)
     # Adam on the penalised log likelihood: feature weights, bias, transitions.
     w = np.concatenate([np.minimum(3.0, np.log(odds)) / 3, [-4.0], np.zeros(4)])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        emission = w[-5] + np.bincount(of_token, w[of_feature], minlength=len(labels))
-        p, expected = marginals(emission, lengths, w[-4:].reshape(2, 2), pairs=True)
-        gap = labels - p
-        by_feature = np.bincount(of_feature, gap[of_token], minlength=len(odds))
-        grad = np.concatenate([by_feature, [gap.sum()], (seen_pairs - expected).ravel()]) - 0.1 * w
+        grad = sum(d.gradient(w) for d in docs) - 0.1 * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         w = w + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     model = Tagger(dict(zip(telling, w[:-5].tolist(), strict=True)), float(w[-5]), w[-4:].reshape(2, 2))
-    emission = w[-5] + np.bincount(of_token, w[of_feature], minlength=len(labels))
-    p, _ = marginals(emission, lengths, model.trans)
-    x = np.column_stack([np.ones(len(y)), model.documents(p, lengths)])
+    x = np.concatenate([model.documents(d.marginals(w)[0], d.lengths) for d in docs])
+    x = np.column_stack([np.ones(len(x)), x])
+    y = np.concatenate([d.toxic for d in docs])
+    n0, n1 = float((y == 0).sum()), float((y == 1).sum())
     weight = np.where(y == 1, shares[1] / n1, shares[0] / n0)
     weight *= len(y) / weight.sum()
     beta = np.zeros(x.shape[1])
@@ -261,7 +272,7 @@ def telling_features(sample: DataFrame, sizes: tuple[int, int]) -> dict[str, flo
     return {r["feature"]: r["odds"] for r in rows}
 
 
-def encoded(sample: DataFrame, telling: dict[str, float]) -> Sequences:
+def encoded(sample: DataFrame, telling: dict[str, float]) -> list[Sequences]:
     """The sample's documents as sequences: only telling features reach the driver."""
     ids = sample.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(telling)})
 
@@ -287,12 +298,22 @@ def encoded(sample: DataFrame, telling: dict[str, float]) -> Sequences:
 
     found = sample.mapInArrow(run, "doc_id bigint, toxic int, n bigint, at binary, of binary").collect()
     found.sort(key=lambda r: (r["doc_id"], r["n"], r["at"], r["of"]))
-    lengths = np.array([r["n"] for r in found], np.int64)
+    chunks, at = [], 0
+    ends = np.cumsum([r["n"] for r in found])
+    while at < len(found):  # chunks of at most CHUNK_TOKENS tokens, or one document
+        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_TOKENS, side="right")))
+        chunks.append(sequences(found[at:last]))
+        at = last
+    return chunks
+
+
+def sequences(rows: list) -> Sequences:
+    lengths = np.array([r["n"] for r in rows], np.int64)
     starts = np.cumsum(lengths) - lengths
-    at = [start + np.frombuffer(r["at"], np.int32) for start, r in zip(starts, found, strict=True)]
-    of = [np.frombuffer(r["of"], np.int32) for r in found]
-    toxic = np.array([r["toxic"] for r in found], float)
-    return Sequences(toxic, lengths, np.concatenate(at).astype(np.int64), np.concatenate(of).astype(np.int64))
+    at = [start + np.frombuffer(r["at"], np.int32) for start, r in zip(starts, rows, strict=True)]
+    of = [np.frombuffer(r["of"], np.int32) for r in rows]
+    toxic = np.array([r["toxic"] for r in rows], float)
+    return Sequences(toxic, lengths, np.concatenate(at).astype(np.int32), np.concatenate(of))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tagger:
@@ -359,9 +380,9 @@ def _score_rows(tagger: Tagger, batches: Iterator[pa.RecordBatch]) -> Iterator[t
     n = 0
 
     def flush() -> Iterator[tuple]:
-        lengths = np.array([len(h[2]) for h in held])
+        lengths = np.array([len(h[2]) for h in held], np.int64)
         flat = np.concatenate([h[2] for h in held]) if held else np.empty(0)
-        toxic, _ = marginals(flat, lengths, tagger.trans)
+        toxic, _ = marginals(flat, Ragged(lengths), tagger.trans)
         x = tagger.documents(toxic, lengths)
         scores = tagger.scores(x)
         starts = np.cumsum(lengths) - lengths
