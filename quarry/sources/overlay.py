@@ -17,9 +17,9 @@ from quarry.functions.normalize import batch_increment, batch_key, month_floor
 
 # Overlay parameters (the overlay picks element ``key % len`` of a domain; the
 # contract domains come from ``quarry.fixed``).
-INCOME_BANDS = ["LOW", "MID", "HIGH", "PREMIUM"]
-RISK_CLASSES = ["STANDARD", "PREFERRED", "SUBSTANDARD"]
-TERMS = [12, 24, 36, 60, 120]
+INCOME_BANDS = ["UNDER_1K", "1K_TO_3K", "3K_TO_9K", "OVER_9K"]
+RISK_CLASSES = ["USUAL", "LOWERED", "RAISED"]
+TERMS = [6, 18, 30, 48, 90]
 SNAPSHOT_START = "1995-01-01"
 SNAPSHOT_MONTHS = 84
 HIRE_START = "2015-01-01"
