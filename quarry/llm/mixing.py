@@ -10,7 +10,8 @@ the mix takes: so many whole passes, and a seeded part of one more.
 That part is found without sorting a source in one task: documents are dealt into
 SLICES slices by a seeded hash, summed per (pattern, slice); slices before the cut
 are taken whole, later ones are not, and only the slice at the cut, one in SLICES
-of the pattern's rows, is put in order.
+of the pattern's rows, is put in order. The words that are then still open go to
+the document whose size is closest to them.
 
 Defined cases: a null source is a source of its own, ranked last; a document
 without sources (null or empty list) belongs to that source; a document of no
@@ -186,14 +187,38 @@ def plan_mix(
         .groupBy("_mix_key")
         .agg(F.max(F.struct("_mix_slice", "_mix_before")).alias("cut"))
     )
-    located = plan.join(cuts, "_mix_key", "left").select(
-        "_mix_key",
-        "_mix_whole",
-        F.lit(most).alias("_mix_most"),
-        F.col("cut._mix_slice").alias("_mix_cut"),
-        (F.col("_mix_rest") - F.col("cut._mix_before")).alias("_mix_open"),
+    located = checkpointed(
+        plan.join(cuts, "_mix_key", "left").select(
+            "_mix_key",
+            "_mix_whole",
+            F.lit(most).alias("_mix_most"),
+            F.col("cut._mix_slice").alias("_mix_cut"),
+            (F.col("_mix_rest") - F.col("cut._mix_before")).alias("_mix_open"),
+        )
+    )
+    columns = ["_mix_key", "_mix_size", "_mix_hash", "_mix_id", "_mix_slice"]
+    edge = checkpointed(in_order(keyed.select(*columns).join(F.broadcast(located), "_mix_key")))
+    in_edge = F.max(F.when(F.col("_mix_run") <= F.col("_mix_open"), F.col("_mix_run")))
+    gaps = edge.groupBy("_mix_key", "_mix_open").agg(F.coalesce(in_edge, F.lit(0)).alias("n"))
+    gaps = checkpointed(gaps.select("_mix_key", (F.col("_mix_open") - F.col("n")).alias("_mix_gap")))
+    later = keyed.select(*columns).join(F.broadcast(located), "_mix_key").filter("_mix_slice > _mix_cut")
+    left_out = later.select(*columns).unionByName(edge.filter("_mix_run > _mix_open").select(*columns))
+    off = F.abs(F.col("_mix_size") - F.col("_mix_gap"))
+    last = (
+        left_out.join(F.broadcast(gaps), "_mix_key")
+        .filter(off < F.col("_mix_gap"))
+        .groupBy("_mix_key")
+        .agg(F.min(F.struct(off, "_mix_hash", "_mix_id")).alias("last"))
+        .select("_mix_key", F.col("last._mix_hash").alias("_mix_last_hash"), F.col("last._mix_id").alias("_mix_last_id"))
     )
-    return mix, checkpointed(located)
+    return mix, checkpointed(located.join(last, "_mix_key", "left"))
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows of the slices at the cut with _mix_run, the words of their slice up to them."""
+    order = Window.partitionBy("_mix_key").orderBy("_mix_hash", "_mix_id", "_mix_size")
+    run = F.sum("_mix_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.filter("_mix_slice = _mix_cut").withColumn("_mix_run", run)
 
 
 def with_copies(keyed: DataFrame, plan: DataFrame) -> DataFrame:
@@ -203,13 +228,13 @@ def with_copies(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     rows of the slices at the cut are shuffled.
     """
     rows = keyed.join(F.broadcast(plan), "_mix_key")
-    before = F.col("_mix_slice") < F.col("_mix_cut")
+    last = F.coalesce(
+        (F.col("_mix_hash") == F.col("_mix_last_hash")) & F.col("_mix_id").eqNullSafe(F.col("_mix_last_id")), F.lit(False)
+    )
+    before = (F.col("_mix_slice") < F.col("_mix_cut")) | last
     sure = rows.filter("_mix_slice <> _mix_cut").withColumn("_mix_copies", F.col("_mix_whole") + before.cast("int"))
-    order = Window.partitionBy("_mix_key").orderBy("_mix_hash", "_mix_id", "_mix_size")
-    run = F.sum("_mix_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # The document that the cut runs through is in if more than half of it is.
-    within = (run - F.col("_mix_size") / 2) <= F.col("_mix_open")
-    edge = rows.filter("_mix_slice = _mix_cut").withColumn("_mix_copies", F.col("_mix_whole") + within.cast("int"))
+    within = (F.col("_mix_run") <= F.col("_mix_open")) | last
+    edge = in_order(rows).withColumn("_mix_copies", F.col("_mix_whole") + within.cast("int")).drop("_mix_run")
     # Documents without words lie before any cut; they too are taken no more than the most times.
     return sure.unionByName(edge).withColumn("_mix_copies", F.least("_mix_copies", "_mix_most"))
 
