@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.plans import gold, silver
+from quarry.session import ensure_checkpoint_dir
 from quarry.sources import bronze, overlay, parquet
 
 
@@ -37,10 +38,25 @@ def _builder(v: DataFrame | Callable[[], DataFrame]) -> Callable[[], DataFrame]:
     return (lambda: v) if isinstance(v, DataFrame) else v
 
 
+def _stored(tables: LazyTables) -> LazyTables:
+    def builder(name: str) -> DataFrame:
+        df = tables[name]
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+
+    return LazyTables({n: (lambda n=n: builder(n)) for n in tables})
+
+
 class Layers:
-    """Bronze, silver and gold over five raw extracts (frames or frame builders)."""
+    """Bronze, silver and gold over five raw extracts (frames or frame builders).
+
+    ``stored``: each silver and gold table is computed once, on first access, and kept
+    as a reliable checkpoint, for consumers that read many of them many times.
+    """
 
-    def __init__(self, raw: Mapping[str, DataFrame | Callable[[], DataFrame]]) -> None:
+    def __init__(
+        self, raw: Mapping[str, DataFrame | Callable[[], DataFrame]], stored: bool = False
+    ) -> None:
         self.raw = raw if isinstance(raw, LazyTables) else LazyTables(
             {name: _builder(v) for name, v in raw.items()}
         )
@@ -56,6 +72,8 @@ class Layers:
                 "silver_claims": lambda: silver.silver_claims(b["claims"]),
             }
         )
+        if stored:
+            self.silver = _stored(self.silver)
         s = self.silver
         self.gold = LazyTables(
             {
@@ -77,6 +95,8 @@ class Layers:
                 ),
             }
         )
+        if stored:
+            self.gold = _stored(self.gold)
 
     def tables(self) -> LazyTables:
         """Silver and gold together (what the checks read)."""
@@ -85,9 +105,9 @@ class Layers:
         return LazyTables(both)
 
 
-def from_driver_tables(spark: SparkSession, sf_dir: str) -> Layers:
+def from_driver_tables(spark: SparkSession, sf_dir: str, stored: bool = False) -> Layers:
     """Layers over the overlay of the driver's TPC-H-like tables."""
-    return Layers({n: (lambda fn=fn: fn(spark, sf_dir)) for n, fn in overlay.EXTRACTS.items()})
+    return Layers({n: (lambda fn=fn: fn(spark, sf_dir)) for n, fn in overlay.EXTRACTS.items()}, stored)
 
 
 def from_landing(spark: SparkSession, root: str) -> Layers:
