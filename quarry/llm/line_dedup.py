@@ -70,17 +70,26 @@ def probes(n: int, edits: int, min_chars: int) -> list[tuple[int, int, list[int]
     return out
 
 
+def seed_of(n: int, k: int) -> int:
+    return n * 64 + k
+
+
 def key_of(n: int, k: int, piece: str) -> int:
-    return xxhash.xxh3_64_intdigest(piece, seed=n * 64 + k)
+    return xxhash.xxh3_64_intdigest(piece, seed=seed_of(n, k))
+
+
+@lru_cache(maxsize=4096)
+def slices(n: int, edits: int, min_chars: int) -> list[tuple[int, int, int]]:
+    """(seed, start, end) of every probe of a line of n characters."""
+    return [
+        (seed_of(other, k), at, at + size) for other, k, places, size in probes(n, edits, min_chars) for at in places
+    ]
 
 
 def line_keys(line: str, edits: int, min_chars: int) -> set[int]:
     """Probe keys of a line, its own index keys among them."""
-    return {
-        key_of(other, k, line[at : at + size])
-        for other, k, places, size in probes(len(line), edits, min_chars)
-        for at in places
-    }
+    digest = xxhash.xxh3_64_intdigest
+    return {digest(line[a:b], s) for s, a, b in slices(len(line), edits, min_chars)}
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -186,20 +195,33 @@ def shared_keys(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            seen: set[int] = set()  # a line's copies in a task need no keys of their own
-            for _, lines in _lines(batches):
-                for line in lines:
-                    if len(line) >= min_chars:
-                        line_id = short_id(line_hash(line))
-                        if line_id not in seen:
-                            if len(seen) >= 1 << 17:
-                                seen.clear()
-                            seen.add(line_id)
-                            for key in line_keys(line, edits, min_chars):
-                                yield key - (1 << 63), line_id
-
-        yield from _batches(rows(), ["key", "id"], [pa.int64(), pa.int64()])
+        seen: set[int] = set()  # a line's copies in a task need no keys of their own
+        made: list[int] = []
+        ids: list[int] = []
+        counts: list[int] = []
+
+        def batch() -> pa.RecordBatch:
+            key = np.array(made, np.uint64).view(np.int64)
+            line = np.repeat(np.array(ids, np.int64), counts)
+            for x in (made, ids, counts):
+                x.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(line)], names=["key", "id"])
+
+        for _, lines in _lines(batches):
+            for line in lines:
+                if len(line) >= min_chars:
+                    line_id = short_id(line_hash(line))
+                    if line_id not in seen:
+                        if len(seen) >= 1 << 17:
+                            seen.clear()
+                        seen.add(line_id)
+                        own = line_keys(line, edits, min_chars)
+                        made.extend(own)
+                        ids.append(line_id)
+                        counts.append(len(own))
+            if len(made) >= 1 << 14:
+                yield batch()
+        yield batch()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The rows of the key that is being read are judged when it is over.
@@ -295,7 +317,7 @@ def verified(texts: DataFrame, shared: DataFrame, edits: int, min_chars: int, bl
 
     def check(group: tuple, rows: list[dict]) -> Iterator[tuple]:
         rows = list({r["id"]: r for r in rows}.values())  # copies of a line met from several tasks
-        key = group[0] + (1 << 63)
+        key = group[0] % (1 << 64)
         which = next((w for r in rows for w in key_places(r["text"], key, edits, min_chars)), None)
         if which is None or len(rows) < 2:
             return
