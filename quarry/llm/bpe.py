@@ -4,8 +4,8 @@
 out, the rest is split by the pre-token pattern, and the symbols of each pre-token
 are merged by rank with a priority queue over a doubly linked list. Entries of the
 queue whose symbols have changed are skipped. Decoding concatenates vocabulary
-strings. Both work per pre-token, so their results are kept in two bounded caches
-that the tasks of a Python worker share.
+strings. Both work per pre-token, so a pre-token's ids and their decoded bytes are kept
+in a bounded cache that the tasks of a Python worker share.
 
 The tokenizer file is read on the driver and broadcast: its size does not depend
 on the data. ``encode`` and ``decode`` add real ids and texts to a table; each row
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_types, rows_of, table, to_batches
+from quarry.llm.common import arrow_types, rows_of, table, to_batches, worker_state
 
 #: Fixed value: how byte-level BPE splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -78,10 +79,7 @@ class BpeCodec:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
         self.split = regex.compile(PATTERN)
-        # A pre-token's ids as text ("12,345"), and the bytes of such a run of ids.
-        self.runs = _Cache(lambda w: ",".join(map(str, self.merge(w.encode("utf-8", "replace")))))
-        self.bytes_of = _Cache(lambda run: b"".join([self.strings[int(i)] for i in run.split(",")]))
-        self.packed = _Cache(lambda run: np.array(run.split(","), np.int32).tobytes())
+        self.runs = _Cache(lambda w: self.run(self.merge(w.encode("utf-8", "replace"))))
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -112,36 +110,30 @@ class BpeCodec:
                 heapq.heappush(queue, (found[0], i, ids[i], new, found[1]))
         return [i for i in ids if i >= 0]
 
-    def encode_runs(self, text: str) -> list[str]:
-        """The ids of each pre-token and added token, as comma-separated text."""
+    def run(self, ids: list[int]) -> tuple[bytes, str, bytes]:
+        """A run of ids: as 32-bit integers, as text ("12,345"), and decoded."""
+        return array("i", ids).tobytes(), ",".join(map(str, ids)), b"".join([self.strings[i] for i in ids])
+
+    def encode_runs(self, text: str) -> list[tuple[bytes, str, bytes]]:
+        """The runs of ids of each pre-token and added token."""
         if self.cut is None or not any(t in text for t in self.added):
             return [self.runs[w] for w in self.split.findall(text)]
         out = []
         for k, part in enumerate(self.cut.split(text)):
-            out += [str(self.added[part])] if k % 2 else [self.runs[w] for w in self.split.findall(part)]
+            out += [self.run([self.added[part]])] if k % 2 else [self.runs[w] for w in self.split.findall(part)]
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for run in self.encode_runs(text) for i in run.split(",")]
-
-    def decode_runs(self, runs: list[str]) -> bytes:
-        bytes_of = self.bytes_of
-        return b"".join([bytes_of[run] for run in runs])
+        return np.frombuffer(b"".join([run[0] for run in self.encode_runs(text)]), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.strings[i] for i in ids]).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, BpeCodec] = {}
-
-
 def codec_of(spec: Broadcast) -> BpeCodec:
-    """The worker's codec for a tokenizer; tasks that run in one worker share its caches."""
+    """The worker's codec for a tokenizer; tasks that run in one worker share its cache."""
     key = hashlib.sha256(spec.value.encode()).hexdigest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = BpeCodec(spec.value)
-    return _CODECS[key]
+    return worker_state(f"bpe {key}", lambda: BpeCodec(spec.value))
 
 
 def tokenizer_file(path: str | None = None) -> str:
@@ -190,13 +182,13 @@ def token_digests(docs: DataFrame, with_ids: bool = False, tokenizer: str | None
 
     def row(codec: BpeCodec, r: dict) -> tuple:
         runs = codec.encode_runs(r["text"] or "")
-        ids = ",".join(runs)
-        decoded = codec.decode_runs(runs).decode("utf-8", "replace").encode()
+        ids = ",".join([run[1] for run in runs])
+        decoded = b"".join([run[2] for run in runs]).decode("utf-8", "replace").encode()
         n = ids.count(",") + 1 if ids else 0
         found = r["doc_id"], n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
         if not with_ids:
             return found
-        return *found, np.frombuffer(b"".join([codec.packed[run] for run in runs]), np.int32)
+        return *found, np.frombuffer(b"".join([run[0] for run in runs]), np.int32)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

@@ -102,6 +102,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+_STATE: dict[str, object] = {}
+
+
+def worker_state(key: str, make: Callable[[], object]) -> object:
+    """What the tasks of a Python worker share, such as a cache of words.
+
+    A worker keeps the state of one operator only: another one's is let go.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """The rows of Arrow batches, a slice at a time."""
     for batch in batches:
