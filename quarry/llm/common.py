@@ -1,10 +1,11 @@
 """Helpers shared by the training-data operators.
 
-* ``table`` / ``columns_or_null``: inputs with defined columns.
-* ``checkpointed``: cuts lineage into the shared folder of ``spark.checkpoint.dir``.
+* ``table``: a table of the input folder.
+* ``checkpointed``, ``stored``: cut lineage into the shared folder of ``spark.checkpoint.dir``.
 * ``attach``: joins rows to their group's row without a hot group in one task.
 * ``connected_components``: distributed components of an edge table.
 * ``map_groups``: streams bounded groups through a Python function.
+* ``worker_state``: caches that the tasks of a Python worker share.
 """
 
 from __future__ import annotations

@@ -49,6 +49,7 @@ from quarry.llm.common import (
     rows_of,
     table,
     to_batches,
+    worker_state,
 )
 from quarry.llm.shingles import WordHashes, linked_pairs, mixed, odd_numbers, shingle_hashes, word_hashes
 
@@ -82,7 +83,8 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     names = [c.split()[0] for c in SIGNATURES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, factors = WordHashes(), odd_numbers(SEED, 2 * COLLECTION * ROWS)
+        hashes = worker_state("words", WordHashes)
+        factors = odd_numbers(SEED, 2 * COLLECTION * ROWS)
 
         def rows() -> Iterator[tuple]:
             for r in rows_of(batches):
@@ -153,7 +155,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, words: i
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = worker_state("words", WordHashes)
 
         def rows() -> Iterator[tuple]:
             for r in rows_of(batches):

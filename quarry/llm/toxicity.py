@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_types, checkpointed, rows_of, table, to_batches
+from quarry.llm.common import arrow_types, checkpointed, rows_of, table, to_batches, worker_state
 
 SAMPLE = 2500  # labelled rows of each class that the model is fitted on, at most
 FOLDS, HELD_OUT = 5, 0
@@ -375,7 +375,7 @@ class _Emissions(dict):
 
 
 def _score_rows(tagger: Tagger, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    emission = _Emissions(tagger)
+    emission = worker_state(f"toxicity {hash(tagger.score)} {len(tagger.weights)}", lambda: _Emissions(tagger))
     held: list[tuple] = []
     n = 0
 
