@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 class WordHashes(dict):

@@ -44,7 +44,7 @@ MAX_FEATURES = 50_000
 MIN_DOCS = 4  # toxic documents that a feature must occur in
 MIN_ODDS = 4.0  # times more frequent in toxic documents, to label tokens
 STEPS = 40
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 SLICE_TOKENS = 1 << 20
 CHUNK_TOKENS = 1 << 18  # of the sample, to keep the driver's arrays small
 SCORES = (
