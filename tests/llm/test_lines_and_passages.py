@@ -217,3 +217,26 @@ def test_messy_passages(spark):
     rows = repeated_passages(messy(spark)).collect()
     assert {r["doc_id"] for r in rows} == {10} and rows[0]["others"] == [9] and rows[0]["n_words"] == 30_000
     assert repeated_passages(empty(spark)).count() == 0
+
+
+def test_recall_of_fuzzy_passages(spark):
+    """Passages with a share of their words substituted, one partner each; their ends stay."""
+    r = random.Random(21)
+    cases = [(n, percent) for n in (50, 55, 75, 100) for percent in (0, 5, 10, 15, 20) for _ in range(100)]
+    docs = []
+    for k, (n, percent) in enumerate(cases):
+        passage = prose(r, n)
+        copy = list(passage)
+        for at in r.sample(range(1, n - 1), n * percent // 100):
+            copy[at] = f"edit{k}x{at}"
+        docs += [prose(r, 60) + passage + prose(r, 60), prose(r, 50) + copy + prose(r, 50)]
+    texts = [(d, " ".join(w)) for d, w in enumerate(docs)]
+    rows = repeated_passages(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    found = Counter(cases[d // 2] for d in {x["doc_id"] for x in rows})
+    print({c: found[c] for c in sorted(set(cases))})
+    for x in rows:
+        n, _ = cases[x["doc_id"] // 2]
+        assert x["others"] == [x["doc_id"] - 1] and 45 <= x["start_word"] and x["end_word"] <= n + 55
+    assert all(found[c] == 100 for c in cases if c[1] == 0)
+    assert all(found[c] >= (97 if c[1] < 20 else 90) for c in cases if c[0] > 50)
+    assert all(found[c] >= 90 for c in cases if c[1] < 20)
