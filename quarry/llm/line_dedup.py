@@ -15,6 +15,9 @@ that is no longer than itself.
    with a banded bit-parallel edit distance. A pair is counted under its first common
    segment only. Counts and links that connect lines leave a group, never all pairs.
 4. Components of the links. Of a component the line that comes first stays.
+5. ``line_members`` names the class and the component of every occurrence of a line, and
+   ``without_repeated_lines`` gives the texts with the occurrences that stay: one of each
+   component. A text of which no line stays is empty; null texts stay null.
 
 Defined cases: null texts have no lines, an empty text has one empty line; shorter
 lines link with no other lines; rows that repeat an id are texts of their own; a null id
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_types, attach, checkpointed, connected_components, map_groups, table
+from quarry.llm.common import arrow_types, attach, checkpointed, connected_components, map_groups, stored, table
 
 EDITS = 2
 MIN_CHARS = 20
@@ -138,14 +141,13 @@ def short_id(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "big", signed=True)
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[str]]]:
-    """(doc_id, lines) of every row with a text."""
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """doc_id, the columns after the text, and the lines of every row with a text."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            for doc_id, text, *more in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
                 if text is not None:
-                    yield doc_id, text.split("\n")
+                    yield doc_id, *more, text.split("\n")
 
 
 def _batches(rows: Iterator[tuple], names: list[str], types: list, size: int = 1 << 14) -> Iterator[pa.RecordBatch]:
@@ -159,22 +161,30 @@ def _batches(rows: Iterator[tuple], names: list[str], types: list, size: int = 1
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
 
 
-def line_classes(texts: DataFrame) -> DataFrame:
-    """(digest, id, doc_id, line, n_chars, copies): distinct lines with their first occurrence."""
-    schema = "digest binary, doc_id bigint, line int, n_chars int, copies bigint"
+def occurrences(texts: DataFrame) -> DataFrame:
+    """(digest, doc_id, line, n_chars, copies) of every line of every text, and its row if texts have one."""
+    row = [c for c in texts.columns if c == "row"]
+    schema = "digest binary, doc_id bigint, line int, n_chars int, copies bigint" + ", row bigint" * len(row)
     types = arrow_types(texts.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for doc_id, lines in _lines(batches):
+            for doc_id, *more, lines in _lines(batches):
                 for k, line in enumerate(lines):
-                    yield line_hash(line), doc_id, k, len(line), 1
+                    yield line_hash(line), doc_id, k, len(line), 1, *more
+
+        yield from _batches(rows(), ["digest", "doc_id", "line", "n_chars", "copies", *row], types)
 
-        yield from _batches(rows(), ["digest", "doc_id", "line", "n_chars", "copies"], types)
+    return texts.mapInArrow(run, schema)
 
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line")).alias("first")
+
+def line_classes(texts: DataFrame) -> DataFrame:
+    """(digest, id, doc_id, line, n_chars, copies): distinct lines with their first occurrence,
+    and its row if texts have one."""
+    row = [c for c in texts.columns if c == "row"]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line", *row)).alias("first")
     return (
-        texts.mapInArrow(run, schema)
+        occurrences(texts)
         .groupBy("digest", "n_chars")
         .agg(first, F.sum("copies").alias("copies"))
         .select(
@@ -182,6 +192,7 @@ def line_classes(texts: DataFrame) -> DataFrame:
             F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("bigint").alias("id"),
             F.col("first.doc_id").alias("doc_id"),
             F.col("first.line").alias("line"),
+            *[F.col("first.row").alias(c) for c in row],
             "n_chars",
             "copies",
         )
@@ -207,7 +218,7 @@ def shared_keys(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
                 x.clear()
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(line)], names=["key", "id"])
 
-        for _, lines in _lines(batches):
+        for *_, lines in _lines(batches):
             for line in lines:
                 if len(line) >= min_chars:
                     line_id = short_id(line_hash(line))
@@ -282,7 +293,7 @@ def verified(texts: DataFrame, shared: DataFrame, edits: int, min_chars: int, bl
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             seen: set[int] = set()
-            for _, found in _lines(batches):
+            for *_, found in _lines(batches):
                 for line in found:
                     if len(line) >= min_chars:
                         line_id = short_id(line_hash(line))
@@ -380,14 +391,19 @@ def near_lines(
 ) -> DataFrame:
     """One row per distinct line: its first place (doc_id, line), n_chars, n_copies, n_links
     (other distinct lines linked directly), the first place of its component, and kept."""
-    min_chars = max(min_chars, edits + 1)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return near_classes(texts, edits, min_chars, block)
+
+
+def near_classes(texts: DataFrame, edits: int, min_chars: int, block: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``near_lines`` of (doc_id, text), with ``extra`` columns of ``line_classes``."""
+    min_chars = max(min_chars, edits + 1)
     classes = checkpointed(line_classes(texts))
     found = checkpointed(verified(texts, checkpointed(shared_keys(texts, edits, min_chars)), edits, min_chars, block))
     groups = connected_components(found.filter("b is not null").select("a", "b"))
     counts = found.filter("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
     named = checkpointed(
-        classes.drop("digest").join(groups.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
+        classes.drop(*{"digest"}.difference(extra)).join(groups.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
     )
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line")
     heads = checkpointed(
@@ -399,6 +415,7 @@ def near_lines(
     linked = attach(named.filter("component is not null"), heads, "component", "size", total).drop("size")
     alone = named.filter("component is null").withColumn("head", place)
     return linked.unionByName(alone).select(
+        *extra,
         "doc_id",
         "line",
         "n_chars",
@@ -410,5 +427,71 @@ def near_lines(
     )
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, stored, with a number of each row in ``_row``: ids may repeat."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def members(rows: DataFrame, edits: int, min_chars: int, block: int) -> DataFrame:
+    """``line_members`` of ``numbered`` documents, with ``row``."""
+    texts = rows.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.col("_row").alias("row"),
+    )
+    classes = checkpointed(
+        near_classes(texts, edits, min_chars, block, ("digest", "row")).select(
+            "digest",
+            "n_copies",
+            F.col("doc_id").alias("class_doc_id"),
+            F.col("line").alias("class_line"),
+            F.col("row").alias("class_row"),
+            "component_doc_id",
+            "component_line",
+            F.col("kept").alias("class_kept"),
+        )
+    )
+    total = classes.agg(F.sum("n_copies")).first()[0] or 0
+    places = occurrences(texts).select("digest", "doc_id", "line", "row")
+    first = (F.col("row") == F.col("class_row")) & (F.col("line") == F.col("class_line"))
+    return attach(places, classes, "digest", "n_copies", total).select(
+        "row",
+        "doc_id",
+        "line",
+        "class_doc_id",
+        "class_line",
+        "component_doc_id",
+        "component_line",
+        (F.col("class_kept") & first).alias("kept"),
+    )
+
+
+def line_members(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK
+) -> DataFrame:
+    """One row per occurrence of a line: its place (doc_id, line), the first place of the
+    lines equal to it, the first place of its component, and kept: one of a component."""
+    return members(numbered(docs), edits, min_chars, block).drop("row")
+
+
+def without_repeated_lines(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK
+) -> DataFrame:
+    """``docs``, their texts without the lines that aren't kept."""
+    rows = numbered(docs)
+    flags = (
+        members(rows, edits, min_chars, block)
+        .groupBy(F.col("row").alias("_row"))
+        .agg(F.sort_array(F.collect_list(F.struct("line", "kept"))).alias("_lines"))
+    )
+    parts = F.split(F.col("text").cast("string"), "\n")
+    text = F.array_join(F.zip_with(parts, F.col("_lines"), lambda part, line: F.when(line["kept"], part)), "\n")
+    return rows.join(flags, "_row", "left").withColumn("text", text).select(*docs.columns)
+
+
+def op5_line_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_members(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_lines(table(spark, sf_dir, "documents"))

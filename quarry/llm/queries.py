@@ -10,7 +10,7 @@ from quarry.llm.bpe import op9_bpe
 from quarry.llm.chat_format import OP1_SQL, op1_chat_format
 from quarry.llm.embedding_dedup import op3_embedding_dedup
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
-from quarry.llm.line_dedup import op5_line_dedup
+from quarry.llm.line_dedup import op5_line_dedup, op5_line_members
 from quarry.llm.minhash_dedup import op4_minhash_dedup
 from quarry.llm.mixing import op10_mix_sources
 from quarry.llm.passages import op7_repeated_passages
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op5_line_members": op5_line_members,
     "op6_toxicity": op6_toxicity,
     "op7_repeated_passages": op7_repeated_passages,
     "op8_exact_dedup": op8_exact_dedup,

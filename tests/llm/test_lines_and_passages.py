@@ -6,7 +6,17 @@ from itertools import combinations
 
 import pytest
 
-from quarry.llm.line_dedup import first_common, line_keys, near_lines, op5_line_dedup, probes, segments, within
+from quarry.llm.line_dedup import (
+    first_common,
+    line_keys,
+    line_members,
+    near_lines,
+    op5_line_dedup,
+    probes,
+    segments,
+    within,
+    without_repeated_lines,
+)
 from quarry.llm.passages import MIN_WORDS, PrefixMax, chains, common_words, op7_repeated_passages, repeated_passages
 from tests.conftest import SF_SMALL
 from tests.llm.brute import components
@@ -108,6 +118,38 @@ def test_messy_lines(spark):
     assert near_lines(empty(spark)).count() == 0
 
 
+def test_every_occurrence_of_a_line_has_a_class(spark):
+    one, near, other = "the very same line in many texts", "the very same line in many tests", "another line of its own"
+    docs = [(1, f"{one}\n{other}"), (2, one), (3, f"x\n{one}\n{near}\n"), (3, f"x\n{one}\n{near}\n"), (4, None)]
+    docs += [(5, ""), (None, f"{near}\nlast line of a text without id")]
+    df = spark.createDataFrame([(*d, k) for k, d in enumerate(docs)], "doc_id bigint, text string, k int")
+    rows = [(d, text) for d, text in docs]
+    places = {(r["doc_id"], r["line"]): r for r in near_lines(df, 2, 20).collect()}
+    got = [r.asDict() for r in line_members(df, 2, 20).collect()]
+    lines = [(d, k, x) for d, text in rows if text is not None for k, x in enumerate(text.split("\n"))]
+    assert Counter((r["doc_id"], r["line"]) for r in got) == Counter((d, k) for d, k, _ in lines)
+    text_at = {(d, k): x for d, k, x in lines}
+    for r in got:
+        assert text_at[r["doc_id"], r["line"]] == text_at[r["class_doc_id"], r["class_line"]]
+        of = places[r["class_doc_id"], r["class_line"]]
+        assert (r["component_doc_id"], r["component_line"]) == (of["component_doc_id"], of["component_line"])
+    heads = Counter((r["component_doc_id"], r["component_line"]) for r in got if r["kept"])
+    assert set(heads.values()) == {1} and set(heads) == {(r["component_doc_id"], r["component_line"]) for r in got}
+    left = without_repeated_lines(df, 2, 20)
+    assert left.columns == df.columns
+    texts = {r["k"]: r["text"] for r in left.collect()}
+    assert [texts[k] for k in (0, 1, 4, 5, 6)] == [docs[0][1], "", None, "", "last line of a text without id"]
+    assert sorted([texts[2], texts[3]]) == ["", "x\n"]
+    assert without_repeated_lines(empty(spark)).count() == line_members(empty(spark)).count() == 0
+
+
+def test_hot_lines_keep_all_members(spark):
+    docs = [(d, f"one line that all the texts hold\nown {d}") for d in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = line_members(df).filter("line = 0").collect()
+    assert len(got) == 3000 and {r["class_doc_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
+
+
 def test_prefix_maxima():
     r = random.Random(3)
     tree, best = PrefixMax(20), [float("-inf")] * 20
