@@ -10,10 +10,12 @@ from quarry.llm.bpe import op9_bpe
 from quarry.llm.chat_format import OP1_SQL, op1_chat_format
 from quarry.llm.embedding_dedup import op3_embedding_dedup
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from quarry.llm.lexical_search import OP12_SQL, op12_lexical_search
 from quarry.llm.line_dedup import op5_line_dedup, op5_line_members
 from quarry.llm.minhash_dedup import op4_minhash_dedup
 from quarry.llm.mixing import op10_mix_sources
 from quarry.llm.passages import op7_repeated_passages
+from quarry.llm.sharding import OP11_SQL, op11_shards
 from quarry.llm.token_counts import op2_token_counts
 from quarry.llm.toxicity import op6_toxicity
 
@@ -29,9 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_mix_sources": op10_mix_sources,
+    "op11_shards": op11_shards,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op11_shards": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
