@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.bpe import op9_bpe
 from quarry.llm.chat_format import OP1_SQL, op1_chat_format
+from quarry.llm.collocations import OP13_SQL, op13_collocations
 from quarry.llm.embedding_dedup import op3_embedding_dedup
 from quarry.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from quarry.llm.lexical_search import OP12_SQL, op12_lexical_search
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_shards": op11_shards,
     "op12_lexical_search": op12_lexical_search,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -40,4 +42,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": OP8_SQL,
     "op11_shards": OP11_SQL,
     "op12_lexical_search": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
