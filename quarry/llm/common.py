@@ -61,46 +61,59 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int)
     return on_map_side.unionByName(others.join(groups.filter(~hot), key))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: list | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the
     smallest node that links reach. Null ends are ignored; repeated, reversed
     and self links are harmless; no links give no rows.
 
-    Each round hooks every node to its smallest neighbour, shortens the chains
-    by two jumps and contracts the links, so the links left shrink by a large
-    factor. Minima are pre-aggregated on the map side; joins are plain shuffle
-    joins of stored tables, whose hot keys AQE can split. Nothing but the number
-    of links left reaches the driver.
+    Each round gives every node a new random rank (a hash of the node and the round),
+    hooks it to the node of lowest rank at most two links away and contracts the links.
+    Whatever the order of the ids, nodes that are nobody's lowest go: a star goes in one
+    round, a chain shrinks to a third or less, and rounds grow with the logarithm of the
+    longest path. Then the rounds' hooks are
+    put together from the last to the first, each a table that shrinks like the links,
+    and the smallest node of each root is found with partial aggregation.
+
+    Joins are plain shuffle joins of stored tables, whose hot keys AQE can split. Nothing
+    but the emptiness of the links left reaches the driver. ``rounds`` receives an entry
+    per round.
     """
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    left = checkpointed(pairs.filter("a is not null and b is not null").distinct())
-    labels = checkpointed(left.select("a").union(left.select("b")).distinct().toDF("node"))
-    labels = labels.withColumn("component", F.col("node"))
-    left = left.filter("a <> b")
+    start = checkpointed(pairs.filter("a is not null and b is not null").distinct())
+    left = start.filter("a <> b")
+    hooks: list[DataFrame] = []
     while not left.isEmpty():
-        both = left.union(left.select("b", "a"))
-        hook = checkpointed(
-            both.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m")).select("x", F.least("x", "m").alias("p"))
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ranked = [F.struct(F.xxhash64(F.lit(len(hooks)), F.col(c)).alias("r"), F.col(c).alias("x")) for c in "ab"]
+        near = both.select("a", ranked[0].alias("me"), ranked[1].alias("other")).groupBy("a").agg(
+            F.least(F.min("other"), F.first("me")).alias("low")
         )
-        for _ in range(2):
-            up = hook.select(F.col("x").alias("p"), F.col("p").alias("pp"))
-            hook = hook.join(up, "p").select("x", F.col("pp").alias("p"))
-        hook = checkpointed(hook)
-        to_a = hook.toDF("a", "pa")
-        to_b = hook.toDF("b", "pb")
+        near = checkpointed(near)
+        far = both.join(near.toDF("b", "m"), "b").groupBy("a").agg(F.min("m").alias("m"))
+        hook = checkpointed(near.join(far, "a").select(F.col("a").alias("x"), F.least("low", "m")["x"].alias("p")))
         left = checkpointed(
-            left.join(to_a, "a")
-            .join(to_b, "b")
+            left.join(hook.toDF("a", "pa"), "a")
+            .join(hook.toDF("b", "pb"), "b")
             .filter("pa <> pb")
             .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
             .distinct()
         )
-        labels = checkpointed(
-            labels.join(hook.toDF("component", "p"), "component", "left").select(
-                "node", F.coalesce("p", "component").alias("component")
-            )
-        )
-    return labels
+        hooks.append(hook)
+        if rounds is not None:
+            rounds.append(len(hooks))
+    nodes = start.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if not hooks:
+        return nodes.withColumn("component", F.col("node"))
+    # Roots of the nodes of a round: those of the next round, reached by one more hook.
+    roots = hooks[-1]
+    for hook in reversed(hooks[:-1]):
+        up = roots.toDF("p", "root")
+        roots = checkpointed(hook.join(up, "p", "left").select("x", F.coalesce("root", "p").alias("p")))
+    # Every linked node is in the first round; the others are linked with themselves only.
+    smallest = roots.groupBy("p").agg(F.min("x").alias("component"))
+    linked = checkpointed(roots.join(smallest, "p").select(F.col("x").alias("node"), "component"))
+    alone = nodes.join(linked.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))
+    return linked.unionByName(alone)
 
 
 _STATE: dict[str, object] = {}

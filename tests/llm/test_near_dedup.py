@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from quarry.llm import minhash_dedup
 from quarry.llm.common import connected_components
@@ -47,6 +48,23 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["ascending", "shuffled", "star"])
+def test_components_take_few_rounds_whatever_the_order(spark, shape):
+    n = 10_000
+    ids = list(range(n))
+    if shape == "shuffled":
+        random.Random(4).shuffle(ids)
+    links = list(zip(ids, ids[1:]))
+    if shape == "star":
+        links = [(5000, k) for k in ids]
+    rounds = []
+    got = connected_components(spark.createDataFrame(links, "a bigint, b bigint"), rounds)
+    nodes = {x for link in links for x in link}
+    assert got.count() == len(nodes)
+    assert {r["component"] for r in got.select("component").distinct().collect()} == {min(nodes)}
+    assert len(rounds) <= 12
+
+
 def test_linked_pairs_connect_what_is_linked():
     r = random.Random(2)
     for _ in range(100):
