@@ -16,7 +16,6 @@ import sys
 from quarry.plans import gold, warehouse
 from quarry.plans.layers import from_driver_tables, from_landing
 from quarry.session import get_session
-from quarry.sources.parquet import table_path
 
 
 def _build(args) -> int:
@@ -36,8 +35,10 @@ def _build(args) -> int:
 def _report(args) -> int:
     spark = get_session(app_name="quarry-report")
 
+    paths = warehouse.published(spark, args.warehouse)
+
     def table(layer: str, name: str):
-        return spark.read.parquet(table_path(args.warehouse, layer, name))
+        return spark.read.parquet(paths[layer, name])
 
     print("Pipeline reconciliation (bronze -> silver)")
     table("gold", "gold_rpt_reconciliation").orderBy("stream").show(truncate=False)

@@ -45,13 +45,16 @@ def asof_join(
 
 
 def payments_asof_customer(
-    payments: DataFrame, policies: DataFrame, dim: DataFrame
+    payments: DataFrame, policies: DataFrame, dim: DataFrame, join=asof_join
 ) -> DataFrame:
-    """Payments with the customer attributes in force on the due date."""
+    """Payments with the customer attributes in force on the due date.
+
+    ``join``: ``asof_join``, or ``operators.asof.asof_sweep`` for keys of many spans.
+    """
     facts = payments.select("payment_id", "policy_id", "due_date").join(
         policies.select("policy_id", "customer_id"), "policy_id", "left"
     )
-    out = asof_join(
+    out = join(
         facts,
         dim,
         key="customer_id",

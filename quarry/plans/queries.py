@@ -10,23 +10,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import fixed
 from quarry.functions.normalize import batch_increment, batch_key, month_add, month_floor
-from quarry.operators import checks, sequential
+from quarry.operators import checks, fuzzy, sequential, splice
+from quarry.operators.asof import asof_sweep
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.plans import extras, gold, silver, warehouse
-from quarry.plans.layers import from_driver_tables, from_landing
+from quarry.plans.layers import Layers, from_driver_tables, from_landing
 from quarry.schemas import RAW_PREMIUM_PAYMENTS, RAW_SCHEMAS
 from quarry.session import ensure_checkpoint_dir, shared_dir
 from quarry.sources import overlay, parquet
 from quarry.sources.bronze import register_views
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
-from quarry.streaming import incremental
+from quarry.streaming import generations, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +74,14 @@ def x01_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def x01_asof_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The as-of join by a sweep over facts and span starts."""
+    s = from_driver_tables(spark, sf_dir).silver
+    return extras.payments_asof_customer(
+        s["silver_premium_payments"], s["silver_policies"], s["silver_dim_customer"], asof_sweep
+    )
+
+
 def fuzzy_sources(layers) -> list:
     b = layers.bronze
     return [
@@ -88,6 +98,25 @@ def x04_fuzzy_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extras.fuzzy_repair_report(fuzzy_sources(from_driver_tables(spark, sf_dir)))
 
 
+def x04_deletion_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same repairs, against domain tables through a stored deletion index."""
+    sources = fuzzy_sources(from_driver_tables(spark, sf_dir))
+    values = [(label, v) for label, _, _, accepted in sources for v in accepted]
+    path = f"{shared_dir(spark, 'domains')}/deletion_index"
+    fuzzy.deletion_index(spark.createDataFrame(values, "domain string, value string")).write.parquet(path)
+    parts = [
+        df.groupBy(F.col(col).alias("raw_value"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("domain", F.lit(label))
+        for label, df, col, _ in sources
+    ]
+    raw = reduce(DataFrame.unionByName, parts)
+    return fuzzy.repair_by_index(raw, spark.read.parquet(path)).select(
+        F.col("domain").alias("column_name"), "raw_value", "repaired_value",
+        F.col("distance").cast("long").alias("distance"), "rows",
+    )
+
+
 def x05_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = from_driver_tables(spark, sf_dir).bronze
     return extras.freshness(
@@ -195,6 +224,23 @@ def s13_build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def s13_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build that passes, then one of faulty extracts that fails its checks: the live
+    policies and their published scorecard are those of the first."""
+    layers, root = from_driver_tables(spark, sf_dir), shared_dir(spark, "warehouse")
+    prefix = f"q{uuid.uuid4().hex[:8]}_"
+    result = warehouse.build(spark, layers, root, db_prefix=prefix)
+    faulty = dict(layers.raw)
+    faulty["policies"] = faulty["policies"].withColumn("currency", F.lit("???"))
+    try:
+        warehouse.build(spark, Layers(faulty), root, db_prefix=prefix)
+        raise AssertionError("a build with wrong currencies passed its checks")
+    except warehouse.CheckFailure:
+        out = spark.table(result.tables["silver_policies"]).checkpoint()
+    warehouse.drop(spark, result)
+    return out
+
+
 def m17_report_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build; the stored scorecard as the report reads it, with each row's place."""
     result = _build(spark, sf_dir)
@@ -286,6 +332,24 @@ def x02_resend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(incremental.BUCKET)
 
 
+def x02_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver payments from a stream of landed batches that append generations."""
+    root = shared_dir(spark, "x02")
+    landing = f"{root}/landing/premium_payments"
+    parquet.write_batches(from_driver_tables(spark, sf_dir).bronze["premium_payments"], landing)
+    table = generations.GenerationTable(
+        spark, f"{root}/silver/premium_payments", "payment_id", silver.FACT_LATEST_BY, silver.normalized_payments
+    )
+    stream = (
+        spark.readStream.schema(RAW_PREMIUM_PAYMENTS)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", 12)
+        .parquet(landing)
+    )
+    generations.merge_stream(stream, table, f"{root}/_stream")
+    return table.read()
+
+
 # Merge the last three years of snapshots into a history built from the first four.
 X03_HISTORY_END = "1999-01-01"
 X03_SLICES = [("1999-01-01", "2000-01-01"), ("2000-01-01", "2001-01-01"), ("2001-01-01", None)]
@@ -315,6 +379,30 @@ def x03_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapshot_merge(spark, sf_dir, again, "1998-12-01")
 
 
+def x03_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension of all snapshots but a tenth, which then come late in two slices and
+    are spliced into the history without reading the others again."""
+    ensure_checkpoint_dir(spark)
+    snaps = silver.normalized_snapshots(from_driver_tables(spark, sf_dir).bronze["customer_snapshots"])
+    args = dict(key="customer_id", period="snapshot_month")
+    dealt = snaps.withColumn("_slice", F.pmod(F.xxhash64("customer_id", "snapshot_month"), F.lit(20)))
+    path = shared_dir(spark, "landing", "customer_snapshots")
+    dealt.write.parquet(path)
+    dealt = spark.read.parquet(path)
+    early = dealt.filter("_slice > 1").drop("_slice")
+    history = scd2_from_snapshots(early, tracked=silver.DIM_TRACKED, carried=silver.DIM_CARRIED, **args).checkpoint()
+    periods = splice.periods_of(early, **args).checkpoint()
+    for k in (0, 1):
+        late = dealt.filter(F.col("_slice") == k).drop("_slice")
+        history, periods = (
+            df.checkpoint()
+            for df in splice.splice_late(
+                history, periods, late, tracked=silver.DIM_TRACKED, carried=silver.DIM_CARRIED, **args
+            )
+        )
+    return history
+
+
 def m16_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sample_history(from_driver_tables(spark, sf_dir).silver["silver_dim_customer"])
 
@@ -362,6 +450,11 @@ CORE: dict[str, Query] = {
     "w05_segmented_dim": w05_segmented_dim,
     "x02_resend": x02_resend,
     "x03_rerun": x03_rerun,
+    "x01_asof_sweep": x01_asof_sweep,
+    "x02_generations": x02_generations,
+    "x03_splice": x03_splice,
+    "x04_deletion_index": x04_deletion_index,
+    "s13_publish": s13_publish,
 }
 
 

@@ -10,6 +10,7 @@ the namespace (a catalog database per layer, see ``plans.warehouse``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,3 +84,30 @@ def read_batches(spark: SparkSession, path: str, schema, batches: list[int] | No
     if batches is not None:
         df = df.filter(F.col(BATCH_PARTITION).isin([int(b) for b in batches]))
     return df.drop(BATCH_PARTITION)
+
+
+def append_log(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
+    """Commit ``row`` to a log: a folder of Parquet files, one per commit. Whatever a row
+    names has to be complete before; readers see the commit when its file appears."""
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All commits of a log; none if nothing was committed yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def newest(log: DataFrame, by: str = "version"):
+    """The newest commit of a log as a row, or None."""
+    return next(iter(log.orderBy(F.desc(by)).limit(1).collect()), None)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of whatever store Spark reads ``path`` from."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
