@@ -6,11 +6,12 @@ that occur LEAST times or more are found in four passes over the whole texts:
 
 1. Words are counted. Those with LEAST occurrences or more go on, with their 64-bit
    hashes; a bitmap of fixed size marks the hashes.
-2. Pairs of neighbours that are both marked are counted by their words' hashes; pairs
-   that reach LEAST are marked in a second bitmap.
-3. Runs of 3 to LONGEST words whose pairs are all marked are counted likewise. A phrase
-   can't occur more often than a part of it, so no frequent one is missed (Apriori); a
-   wrong mark of a bitmap only lets another run through.
+2. Pairs of neighbours that are both marked are counted by a hash of KEY_BITS bits, which
+   can only count too much: a slice sends sorted arrays of hashes and counts, cut into
+   ranges that are merged one by one. Hashes that reach LEAST are marked in a second bitmap.
+3. Runs of 2 to LONGEST words whose pairs are all marked are counted by their words'
+   hashes. A phrase can't occur more often than a part of it, so no frequent one is missed
+   (Apriori); a wrong mark only lets another run through.
 4. The candidates, by name, are laid out as double-array tries of at most SHARD phrases
    and broadcast. numpy advances the states of all positions of a slice of text at once,
    one word deeper per level, and bincounts the states that accept; the counts of all
@@ -25,9 +26,9 @@ at a time; neither grows with the input. More than SHARD candidates are counted
 several passes. Beyond that, bitmaps fill up with the number of frequent words: they
 then prune less, and pass 3 shuffles more, but nothing is lost.
 
-Two pairs of words with equal pairs of 64-bit hashes would be counted together in passes
-2 and 3, which adds a candidate; two with the same 64-bit hash of a whole run within one
-slice would be taken for one, at a chance of about SLICE^2 / 2^65 a slice.
+Words with equal 64-bit hashes are counted together in pass 3, which adds a candidate;
+two runs with the same 64-bit hash within one slice would be taken for one, at a chance
+of about SLICE^2 / 2^65 a slice.
 
 Arithmetic: 1000 * a * n and l * r are decimals of 38 digits, divided whole.
 
@@ -59,6 +60,10 @@ SLICE = 1 << 21  # positions that a task works on at once
 SHARD = 1_000_000  # phrases of one trie
 BITMAP = 1 << 27  # bits
 BLOCK = 32768  # bits of one row of a bitmap
+KEY_BITS = 40  # of the hash that pairs are counted by
+RANGES = 256  # of these hashes, at least; more where a range would hold more than SLICE * 2 positions
+COUNTERS = 4096  # of a trie in one row
+FEW_LANGS = 1000  # languages whose totals are broadcast
 
 _STOP = b"."
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -149,7 +154,7 @@ def bitmap_of(rows: DataFrame, bits: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ passes 1 to 3
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, f, hash); the row with a null word has all words of the language."""
+    """(lang, word, f); the row with a null word has all words of the language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
@@ -160,10 +165,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 found.pop(_STOP, None)
                 words = [w.decode("utf-8") for w in found]
                 columns = [[lang] * (len(words) + 1), [*words, None], [*found.values(), found.total()]]
-                columns.append([*(word_hash(w) - (1 << 63) for w in words), None])
+                types = (pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)],
-                    names=["lang", "word", "f", "hash"],
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "word", "f"]
                 )
             held.clear()
 
@@ -178,39 +182,106 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     seen = 0
         yield from flush()
 
-    counted = docs.mapInArrow(count, "lang string, word string, f long, hash long")
-    return counted.groupBy("lang", "word").agg(F.sum("f").alias("f"), F.min("hash").alias("hash"))
+    counted = docs.mapInArrow(count, "lang string, word string, f long")
+    return counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
-def run_counts(docs: DataFrame, bitmap, shortest: int, longest: int, least: int) -> DataFrame:
-    """(lang, h1, ..., f) of the runs of words that occur ``least`` times or more.
+def with_hashes(words: DataFrame) -> DataFrame:
+    """(lang, word, f, hash); hashes are stored less 2^63."""
 
-    Runs of two words whose words are marked, or longer ones whose pairs all are. Hashes
-    are stored less 2^63; those beyond a run's length are null.
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = pa.array([word_hash(w) - (1 << 63) for w in batch.column("word").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["lang", "word", "f", "hash"])
+
+    return words.select("lang", "word", "f").mapInArrow(add, "lang string, word string, f long, hash long")
+
+
+def neighbours(codes: np.ndarray, langs: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Where two words of one piece stand side by side."""
+    return np.flatnonzero(alone[:-1] & alone[1:] & (langs[:-1] == langs[1:]))
+
+
+def pair_keys(docs: DataFrame, bitmap, least: int, positions: int) -> DataFrame:
+    """(key) of the pairs of marked words whose hash, cut to KEY_BITS bits, is met ``least`` times.
+
+    Slices send one row per range of hashes: the hashes' lower bits and the counts. A
+    range is merged by one task and holds a few million positions at most, as the number
+    of ranges grows with ``positions``, the words of all texts.
     """
+    ranges = RANGES
+    while ranges * SLICE * 2 < positions:
+        ranges *= 2
+    low_bits = np.uint64(KEY_BITS - (ranges.bit_length() - 1))
+    schema = "range int, low binary, f binary"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
+        stop = np.uint64(xxhash.xxh3_64_intdigest(_STOP))
+        for codes, langs, languages in hashed(batches):
+            at = neighbours(codes, langs, (codes != stop) & marked(keyed([codes], langs, languages), bits))
+            if not len(at):
+                continue
+            key = keyed([codes[at], codes[at + 1]], langs[at], languages) & np.uint64((1 << KEY_BITS) - 1)
+            key, f = np.unique(key, return_counts=True)
+            # Counts of more than a byte holds are sent in parts.
+            full, rest = (f - 1) // 255, (f - 1) % 255 + 1
+            key, f = np.append(key, np.repeat(key, full)), np.append(rest, np.full(int(full.sum()), 255))
+            order = np.argsort(key, kind="stable")
+            key, f = key[order], f[order].astype(np.uint8)
+            which = (key >> low_bits).astype(np.int32)
+            cuts = np.flatnonzero(np.diff(which, prepend=-1))
+            low = (key & np.uint64((1 << int(low_bits)) - 1)).astype(np.uint32)
+            ends = np.append(cuts[1:], len(key))
+            columns = [
+                pa.array(which[cuts]),
+                pa.array([low[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                pa.array([f[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["range", "low", "f"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, lows, counts = None, [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            low, which = np.unique(np.concatenate(lows), return_inverse=True)
+            often = np.bincount(which, np.concatenate(counts)) >= least
+            key = (np.uint64(now) << low_bits) + low[often].astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64))], names=["key"])
+
+        for batch in batches:
+            for which, low, f in zip(*batch.columns, strict=True):
+                if now is not None and which.as_py() != now:
+                    yield from done()
+                    lows, counts = [], []
+                now = which.as_py()
+                lows.append(np.frombuffer(low.as_py(), np.uint32))
+                counts.append(np.frombuffer(f.as_py(), np.uint8))
+        if lows:
+            yield from done()
+
+    dealt = docs.mapInArrow(count, schema).repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(merge, "key long")
+
+
+def run_counts(docs: DataFrame, bitmap, longest: int, least: int) -> DataFrame:
+    """(lang, h1, ..., f) of the runs of 2 to ``longest`` words whose pairs are all marked
+    that occur ``least`` times or more. Hashes beyond a run's length are null."""
     names = ["lang", *(f"h{k}" for k in range(1, longest + 1)), "f"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         stop = np.uint64(xxhash.xxh3_64_intdigest(_STOP))
         for codes, langs, languages in hashed(batches):
-            alone = codes != stop
-            step = 1 if shortest == 2 else 2  # words that a mark is for
-            if step == 1:
-                ok = alone & marked(keyed([codes], langs, languages), bits)
-            else:
-                pair = np.flatnonzero(alone[:-1] & alone[1:] & (langs[:-1] == langs[1:]))
-                ok = np.zeros(len(codes), bool)
-                ok[pair] = marked(keyed([codes[pair], codes[pair + 1]], langs[pair], languages), bits)
+            pair = neighbours(codes, langs, codes != stop)
+            ok = np.zeros(len(codes), bool)
+            ok[pair] = marked(keyed([codes[pair], codes[pair + 1]], langs[pair], languages), bits)
             # Where runs of k words begin: all marks inside them hold.
             at = np.flatnonzero(ok)
-            for k in range(step + 1, longest + 1):
-                at = at[at + k - 1 < len(codes)]
-                at = at[ok[at + k - step]]
-                if step == 1:
-                    at = at[langs[at] == langs[at + 1]]
-                if k < shortest or not len(at):
-                    continue
+            for k in range(2, longest + 1):
+                at = at[ok[at + k - 2]]
+                if not len(at):
+                    break
                 key = keyed([codes[at + j] for j in range(k)], langs[at], languages)
                 _, first, f = np.unique(key, return_index=True, return_counts=True)
                 place = at[first]
@@ -229,17 +300,17 @@ def run_counts(docs: DataFrame, bitmap, shortest: int, longest: int, least: int)
     return counted.groupBy(*names[:-1]).agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
 
-def with_keys(rows: DataFrame, hashes: list[str]) -> DataFrame:
-    """``key`` of each row of hashes, as ``keyed`` makes it."""
+def word_keys(words: DataFrame) -> DataFrame:
+    """``key`` of each word (lang, hash), as ``keyed`` makes it."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang = batch.column("lang").dictionary_encode()
-            codes = [batch.column(h).to_numpy().view(np.uint64) ^ np.uint64(1 << 63) for h in hashes]
-            key = keyed(codes, lang.indices.to_numpy(), lang.dictionary.to_pylist())
+            codes = batch.column("hash").to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
+            key = keyed([codes], lang.indices.to_numpy(), lang.dictionary.to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
 
-    return rows.select("lang", *hashes).mapInArrow(add, "key long")
+    return words.select("lang", "hash").mapInArrow(add, "key long")
 
 
 def named(runs: DataFrame, words: DataFrame, longest: int) -> DataFrame:
@@ -389,6 +460,27 @@ class PhraseTrie:
         return out
 
 
+def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, f): the sums of all tasks' counters, block by block."""
+    now, total = None, None
+
+    def done() -> pa.RecordBatch:
+        hit = np.flatnonzero(total)
+        return pa.RecordBatch.from_arrays([pa.array(hit + now), pa.array(total[hit])], names=["number", "f"])
+
+    for batch in batches:
+        for first, counts in zip(*batch.columns, strict=True):
+            part = np.frombuffer(counts.as_py(), np.int64)
+            if first.as_py() == now:
+                total = total + part
+            else:
+                if now is not None:
+                    yield done()
+                now, total = first.as_py(), part
+    if now is not None:
+        yield done()
+
+
 def trie_counts(docs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame:
     """(lang, phrase, f) of ``candidates`` (lang, phrase), a shard of them at a time."""
     spark, out = docs.sparkSession, None
@@ -405,11 +497,14 @@ def trie_counts(docs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame
 
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             f = shared.value.count(batches)
-            hit = np.flatnonzero(f)
-            if len(hit):
-                yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(f[hit])], names=["number", "f"])
-
-        summed = docs.mapInArrow(count, "number long, f long").groupBy("number").agg(F.sum("f").alias("f"))
+            blocks = [(k, f[k : k + COUNTERS]) for k in range(0, len(f), COUNTERS)]
+            blocks = [(k, part.tobytes()) for k, part in blocks if part.any()]
+            if blocks:
+                columns = [pa.array([k for k, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["first", "counts"])
+
+        counted = docs.mapInArrow(count, "first long, counts binary")
+        summed = counted.repartition("first").sortWithinPartitions("first").mapInArrow(sum_blocks, "number long, f long")
         names = spark.createDataFrame(
             pa.table({"number": pa.array(range(len(phrases)), pa.int64()), "lang": langs, "phrase": phrases})
         )
@@ -432,7 +527,9 @@ def scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame
     cuts = cuts.withColumn("rest", F.array_join(F.slice(w, F.col("k") + 1, F.size(w) - F.col("k")), " "))
     cuts = cuts.join(parts.toDF("lang", "first", "l"), ["lang", "first"])
     cuts = cuts.join(parts.toDF("lang", "rest", "r"), ["lang", "rest"])
-    cuts = cuts.join(totals, "lang")
+    # A hot language's rows stay where they are, unless there are very many languages.
+    few = totals.limit(FEW_LANGS + 1).count() <= FEW_LANGS
+    cuts = cuts.join(F.broadcast(totals) if few else totals, "lang")
     number = "cast(cast({} as decimal(20,0)) as decimal({},0))"
     over = f"{number.format('a * 1000', 19)} * {number.format('n', 19)}"
     under = f"{number.format('l', 19)} * {number.format('r', 19)}"
@@ -460,16 +557,14 @@ def frequent_phrases(
     spark = docs.sparkSession
     counted = checkpointed(word_counts(docs).filter((F.col("f") >= least) | F.col("word").isNull()))
     totals = counted.filter("word is null").select("lang", F.col("f").alias("n"))
-    words = counted.filter(F.col("word").isNotNull() & (F.col("f") >= least))
+    words = checkpointed(with_hashes(counted.filter(F.col("word").isNotNull() & (F.col("f") >= least))))
 
-    def mark(rows: DataFrame, hashes: list[str]):
-        return spark.sparkContext.broadcast(bitmap_of(with_keys(rows, hashes), bits))
+    def mark(keys: DataFrame):
+        return spark.sparkContext.broadcast(bitmap_of(keys, bits))
 
-    pairs = checkpointed(run_counts(docs, mark(words, ["hash"]), 2, 2, least))
-    runs = pairs
-    if longest > 2:
-        longer = run_counts(docs, mark(pairs, ["h1", "h2"]), 3, longest, least)
-        runs = pairs.unionByName(longer, allowMissingColumns=True)
+    positions = totals.agg(F.sum("n")).first()[0] or 0
+    pairs = pair_keys(docs, mark(word_keys(words)), least, positions)
+    runs = run_counts(docs, mark(pairs), longest, least)
     candidates = checkpointed(named(runs, words, longest))
     phrases = trie_counts(docs, candidates, shard).filter(F.col("f") >= least)
     return phrases.withColumnRenamed("f", "a"), words.select("lang", "word", "f"), totals
