@@ -28,7 +28,7 @@ from quarry.session import ensure_checkpoint_dir, shared_dir
 from quarry.sources import overlay, parquet
 from quarry.sources.bronze import register_views
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
-from quarry.streaming import generations, incremental
+from quarry.streaming import counters, generations, incremental, kept_checks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,6 +253,77 @@ def m17_report_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Batches of a stream, for queries that keep state: rows by a hash of their key, then a part once more.
+KEPT_BATCHES = 3
+
+
+def _in_batches(df: DataFrame, key: str) -> list[DataFrame]:
+    dealt = F.pmod(F.xxhash64(key, *[c for c in ("_batch",) if c in df.columns]), F.lit(KEPT_BATCHES))
+    return [df.filter(dealt == k) for k in range(KEPT_BATCHES)]
+
+
+def k_unique_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K01, K07, K14 and K20 from key indexes that take in batches."""
+    layers, root = from_driver_tables(spark, sf_dir), shared_dir(spark, "kept")
+    out = []
+    for check in checks.CATALOG:
+        if check.check_id not in ("K01", "K07", "K14", "K20"):
+            continue
+        name = f"key_index_{uuid.uuid4().hex}"
+        index = kept_checks.KeyIndex(spark, name, f"{root}/{check.check_id}", 8)
+        column = check.columns[0]
+        for k, batch in enumerate(_in_batches(layers.tables()[check.table], column)):
+            index.add(batch, column, k)
+        found = index.offenders().agg(F.count(F.lit(1)).alias("violations"))
+        out.append(found.select(F.lit(check.check_id).alias("check_id"), F.lit(check.target).alias("target"), "violations"))
+        index.drop()
+    return reduce(DataFrame.unionByName, out)
+
+
+def k_relationships_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines against a part of the orders that comes late: open orphans after all
+    children and two of three batches of parents, with their rows."""
+    root = shared_dir(spark, "kept")
+    lines = overlay.driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = overlay.driver_table(spark, sf_dir, "orders").select("o_orderkey")
+    kept = kept_checks.OpenOrphans(spark, f"parent_keys_{uuid.uuid4().hex}", root, 8)
+    early, late = orders.filter("o_orderkey % 3 = 0"), orders.filter("o_orderkey % 3 = 1")
+    for k in range(2):  # children before, with and after their parents
+        part = lines.filter(F.col("l_linenumber") % 2 == k)
+        kept.add((part, "l_orderkey"), (early, "o_orderkey") if k == 0 else None)
+    kept.add(None, (late, "o_orderkey"))
+    out = kept.offenders().select(F.col("key").cast("bigint").alias("l_orderkey"), F.col("_rows").alias("orphan_rows"))
+    kept.drop()
+    return out
+
+
+def m14_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation from counters that batches are merged into."""
+    bronze, root = from_driver_tables(spark, sf_dir).bronze, shared_dir(spark, "counters")
+    late = {"late_arrival_rows": F.col("is_late_arrival")}
+    streams = {
+        fixed.STREAM_PAYMENTS: ("premium_payments", "payment_id", silver.normalized_payments),
+        fixed.STREAM_CLAIMS: ("claims", "claim_id", silver.normalized_claims),
+    }
+    kept = {}
+    for stream, (table, key, normalize) in streams.items():
+        kept[stream] = counters.StreamCounters(spark, f"{root}/{stream}", key, silver.FACT_LATEST_BY, normalize, late)
+        for k, batch in enumerate(_in_batches(bronze[table], key)):
+            kept[stream].merge(batch, k)
+    return counters.reconciliation(kept)
+
+
+def m13_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The policy mart kept up to date by the policies that three batches touch."""
+    layers = from_driver_tables(spark, sf_dir)
+    mart = counters.PolicyMart(spark, shared_dir(spark, "mart"))
+    payments, claims = (layers.bronze[t] for t in ("premium_payments", "claims"))
+    both = zip(_in_batches(payments, "payment_id"), _in_batches(claims, "claim_id"), strict=True)
+    for k, (p, c) in enumerate(both):
+        mart.merge(p, c, k)
+    return mart.read(layers.silver["silver_policies"])
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """The five extracts landed as files, as ``from_landing`` reads them."""
     root = shared_dir(spark, "landing")
@@ -455,6 +526,10 @@ CORE: dict[str, Query] = {
     "x03_splice": x03_splice,
     "x04_deletion_index": x04_deletion_index,
     "s13_publish": s13_publish,
+    "k_unique_kept": k_unique_kept,
+    "k_relationships_kept": k_relationships_kept,
+    "m14_counters": m14_counters,
+    "m13_by_policy": m13_by_policy,
 }
 
 

@@ -79,9 +79,10 @@ class GenerationTable:
         self.writes = Writes()
 
     # -------------------------------------------------------------- state
-    def state(self) -> State:
-        """The newest committed state; an empty one for a table that was never written."""
-        r = parquet.newest(self._log())
+    def state(self, before: int | None = None) -> State:
+        """The newest committed state (of the batches before ``before``); an empty one if there is none."""
+        log = self._log()
+        r = parquet.newest(log if before is None else log.filter(F.col("batch") < before))
         if r is None:
             return State()
         return State(r.version, r.base, r.base_rows, tuple((d.path, d.rows) for d in r.deltas), r.batch)
@@ -104,13 +105,16 @@ class GenerationTable:
         paths = [p for p in (state.base, *(p for p, _ in state.deltas)) if p]
         return self.spark.read.parquet(*paths) if paths else None
 
-    def read(self) -> DataFrame:
-        """The current table. With deltas, the latest row per key: each task passes one row
-        per key on, before the shuffle."""
-        state = self.state()
+    def read(self, before: int | None = None, like: DataFrame | None = None) -> DataFrame:
+        """The current table, or as it was before batch ``before`` (unless that was vacuumed).
+        With deltas, the latest row per key: each task passes one row per key on, before the
+        shuffle. A table without a batch has the columns of ``like``."""
+        state = self.state(before)
         rows = self._generations(state)
         if rows is None:
-            raise ValueError(f"{self.path} holds no batch yet")
+            if like is None:
+                raise ValueError(f"{self.path} holds no batch yet")
+            return like.limit(0)
         return keep_latest(rows, self.key, self.latest_by) if state.deltas else rows
 
     # -------------------------------------------------------------- writes

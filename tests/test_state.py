@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 import random
 import time
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -17,7 +18,9 @@ from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.operators.splice import periods_of, splice_late
 from quarry.plans import extras, silver, warehouse
 from quarry.plans.layers import Layers
+from quarry.streaming.counters import PolicyMart, StreamCounters
 from quarry.streaming.generations import GenerationTable
+from quarry.streaming.kept_checks import KeyIndex, OpenOrphans
 from tests.conftest import SF_SMALL, canon
 
 D0 = dt.date(2020, 1, 1)
@@ -115,6 +118,122 @@ def test_a_batch_that_fails_before_its_commit_changes_nothing(spark, tmp_path, m
     assert canon(table.read().collect()) == canon(again.read().collect())
 
 
+# ------------------------------------------------------------------ uniqueness, relationships
+def test_key_index_equals_the_full_check_after_every_batch(spark, tmp_path):
+    r = random.Random(8)
+    index = KeyIndex(spark, f"ki_{random.randrange(10**9)}", str(tmp_path / "ki"), 4)
+    seen = Counter()
+    for k in range(4):
+        keys = [r.choice([None, *range(60)]) for _ in range(25)] if k != 2 else []
+        batch = spark.createDataFrame([(x, k) for x in keys], "id int, b int")
+        assert index.add(batch, "id", k)
+        seen.update(str(x) for x in keys if x is not None)
+        got = {o.key: o.n_records for o in index.offenders().collect()}
+        assert got == {x: n for x, n in seen.items() if n > 1}
+    assert not index.add(batch, "id", 3)
+    asked = spark.createDataFrame([("3",), ("99",), (None,)], "key string")
+    want = {x for x in ("3", "99", None) if x not in seen}
+    assert {x.key for x in index.missing(asked).collect()} == want
+    probe = asked.groupBy("key").count().join(index.entries(9).hint("merge"), "key", "left")
+    plan = probe._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "Bucketed: true" in plan  # none on the index side
+    index.drop()
+
+
+def test_a_key_batch_that_fails_before_its_commit_can_be_run_again(spark, tmp_path, monkeypatch):
+    index = KeyIndex(spark, f"ki_{random.randrange(10**9)}", str(tmp_path / "ki"), 2)
+    one, two = (spark.createDataFrame([(x,) for x in xs], "id int") for xs in ([1, 2], [2, 3]))
+    index.add(one, "id", 0)
+    with monkeypatch.context() as m:
+        m.setattr(index.repeated, "merge", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            index.add(two, "id", 1)
+    assert index.offenders().count() == 0
+    index.add(two, "id", 1)
+    assert [tuple(o) for o in index.offenders().collect()] == [("2", 2)]
+    index.drop()
+
+
+def test_open_orphans_equal_the_full_check_after_every_batch(spark, tmp_path):
+    r = random.Random(6)
+    kept = OpenOrphans(spark, f"oo_{random.randrange(10**9)}", str(tmp_path / "oo"), 2)
+    children, parents = Counter(), set()
+    for k in range(4):
+        c = [r.choice([None, *range(12)]) for _ in range(15)]
+        p = [r.choice([None, *range(12)]) for _ in range(2)]
+        some = (spark.createDataFrame([(x,) for x in c], "fk int"), "fk") if k != 3 else None
+        more = (spark.createDataFrame([(x,) for x in p], "pk int"), "pk") if k != 1 else None
+        assert kept.add(some, more, k)
+        children.update(str(x) for x in c if x is not None and some)
+        parents |= {str(x) for x in p if more}
+        assert {o.key: o._rows for o in kept.offenders().collect()} == {
+            x: n for x, n in children.items() if x not in parents
+        }
+    assert not kept.add(some, more, 2)
+    kept.drop()
+
+
+# ------------------------------------------------------------------ M13, M14
+def test_counters_equal_a_recount_after_resends_and_failures(spark, tmp_path, monkeypatch):
+    r = random.Random(2)
+    flags = {"odd": F.col("v") % 2 == 1}
+    kept = StreamCounters(spark, str(tmp_path / "c"), "id", ["seen"], lambda df: df, flags)
+    every = []
+    for k in range(3):
+        made = [(r.randrange(12), r.randrange(20), k if r.random() < 0.8 else 0, r.randrange(9)) for _ in range(20)]
+        batch = spark.createDataFrame(made, "id int, seen int, _batch int, v int")
+        if k == 1:  # lost after the winners were stored, before the commit
+            with monkeypatch.context() as m:
+                m.setattr("quarry.streaming.counters.parquet.append_log", _lost_for(kept.path))
+                with pytest.raises(RuntimeError):
+                    kept.merge(batch, k)
+        assert kept.merge(batch, k)
+        every += made
+        best = {}
+        for i, seen, b, v in sorted(every, key=lambda x: (x[0], -x[1], x[2], x[3])):
+            best.setdefault(i, (b, v))
+        want = {b: [n, 0, 0] for b, n in Counter(x[2] for x in every).items()}
+        for b, v in best.values():
+            want[b][1] += 1
+            want[b][2] += v % 2
+        got = {x["_batch"]: [x.bronze_rows, x.silver_rows, x.odd] for x in kept.per_batch().collect()}
+        assert got == want
+    assert not kept.merge(batch, 2)
+
+
+def _lost_for(path):
+    from quarry.sources import parquet
+
+    real = parquet.append_log
+
+    def append(spark, log, schema, row):
+        if log == f"{path}/log":
+            raise RuntimeError("lost")
+        return real(spark, log, schema, row)
+
+    return append
+
+
+def test_policy_mart_equals_a_rebuild_after_every_batch(spark, small_layers, tmp_path):
+    from quarry.plans import gold
+
+    mart = PolicyMart(spark, str(tmp_path / "m"))
+    pay, clm = small_layers.bronze["premium_payments"], small_layers.bronze["claims"]
+    policies = small_layers.silver["silver_policies"]
+    cut = [F.col("_batch") % 2 == 0, F.col("_batch") % 2 == 1]
+    mart.merge(pay.filter(cut[0]), clm.filter(cut[0]))
+    half = [silver.silver_premium_payments(pay.filter(cut[0])), silver.silver_claims(clm.filter(cut[0]))]
+    assert canon(mart.read(policies).collect()) == canon(gold.gold_policy_performance(policies, *half).collect())
+    # A re-send that moves a payment to another policy changes both policies.
+    one = policies.agg(F.max("policy_id")).first()[0]
+    moved = pay.filter("pmod(xxhash64(payment_id), 50) = 0").withColumns(
+        {"policy_id": F.lit(one), "_ingested_at": F.col("_ingested_at") + F.expr("interval 9 years")}
+    )
+    mart.merge(pay.filter(cut[1]).unionByName(moved), clm.filter(cut[1]))
+    whole = [silver.silver_premium_payments(pay.unionByName(moved)), silver.silver_claims(clm)]
+    assert canon(mart.read(policies).collect()) == canon(gold.gold_policy_performance(policies, *whole).collect())
+
+
 # ------------------------------------------------------------------ X03
 @pytest.mark.parametrize("seed", range(3))
 def test_splice_equals_a_rebuild_on_random_late_months(spark, seed):
