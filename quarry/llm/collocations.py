@@ -2,33 +2,34 @@
 
 Texts are cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and pieces into words ``[^\\x20\\x09]+``,
 with A-Z in lower case; everything is counted per language. Phrases of 2 to LONGEST words
-that occur LEAST times or more are found in four passes over the whole texts:
-
-1. Words are counted. Those with LEAST occurrences or more go on, with their 64-bit
-   hashes; a bitmap of fixed size marks the hashes.
-2. Pairs of neighbours that are both marked are counted by a hash of KEY_BITS bits, which
-   can only count too much: a slice sends sorted arrays of hashes and counts, cut into
-   ranges that are merged one by one. Hashes that reach LEAST are marked in a second bitmap.
-3. Runs of 2 to LONGEST words whose pairs are all marked are counted by their words'
-   hashes. A phrase can't occur more often than a part of it, so no frequent one is missed
-   (Apriori); a wrong mark only lets another run through.
-4. The candidates, by name, are laid out as double-array tries of at most SHARD phrases
-   and broadcast. numpy advances the states of all positions of a slice of text at once,
-   one word deeper per level, and bincounts the states that accept; the counts of all
-   slices are summed. They are exact counts of words, whatever the hashes did.
+that occur LEAST times or more are found in five passes over the whole texts:
+
+1. Words are counted by a hash of KEY_BITS bits, which can only count too much: a slice
+   of text sends sorted arrays of hashes and counts, cut into ranges that are merged one
+   by one. Hashes that reach LEAST are marked in a bitmap of fixed size.
+2. Pairs of neighbours that are both marked are counted likewise.
+3. So are runs of 3 to LONGEST words whose pairs are all marked. A phrase can't occur more
+   often than a part of it, so no frequent one is missed (Apriori); a wrong mark only lets
+   another run through.
+4. Candidates are the words and runs whose hashes reached LEAST, and whose parts did; a
+   pass collects their names.
+5. They are laid out as double-array tries of at most SHARD phrases and broadcast. numpy
+   advances the states of all positions of a slice at once, one word deeper per level, and
+   bincounts the states that accept; the counts of all slices are summed. All counts of
+   the result are those of the tries, exact whatever the hashes did.
 
 Phrases of one word and more are then joined with the counts of their parts for the
 scores, and with the longer phrases that contain them.
 
 Memory: a task holds slices of at most SLICE positions (one text cut at its separators),
-a trie and one counter per phrase. The driver holds one bitmap (BITMAP bits) or one trie
-at a time; neither grows with the input. More than SHARD candidates are counted in
-several passes. Beyond that, bitmaps fill up with the number of frequent words: they
-then prune less, and pass 3 shuffles more, but nothing is lost.
+a bitmap or a trie with one counter per phrase, or one range of hashes, whose number grows
+with the texts. The driver holds one bitmap (BITMAP bits) or one trie at a time; neither
+grows with the input. More than SHARD candidates are counted in several passes. Beyond
+that, bitmaps fill up with the number of frequent words: they then prune less, and more
+is shuffled and tried, but nothing is lost.
 
-Words with equal 64-bit hashes are counted together in pass 3, which adds a candidate;
-two runs with the same 64-bit hash within one slice would be taken for one, at a chance
-of about SLICE^2 / 2^65 a slice.
+Two candidates with the same 64-bit hash within one task would be taken for one in pass
+4, at a chance of about candidates^2 / 2^65.
 
 Arithmetic: 1000 * a * n and l * r are decimals of 38 digits, divided whole.
 
@@ -61,7 +62,7 @@ SHARD = 1_000_000  # phrases of one trie
 BITMAP = 1 << 27  # bits
 BLOCK = 32768  # bits of one row of a bitmap
 KEY_BITS = 40  # of the hash that pairs are counted by
-RANGES = 256  # of these hashes, at least; more where a range would hold more than SLICE * 2 positions
+RANGES = 256  # of these hashes, at least; more for more text
 COUNTERS = 4096  # of a trie in one row
 FEW_LANGS = 1000  # languages whose totals are broadcast
 
@@ -93,7 +94,9 @@ def texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], encode: Callable, dtype) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+def slices(
+    batches: Iterator[pa.RecordBatch], encode: Callable, dtype, size: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
     """(codes, number of the language, languages) of slices of text; ``encode(words)`` gives codes.
 
     The code of _STOP ends every piece, so that no phrase spans two of them.
@@ -106,7 +109,7 @@ def slices(batches: Iterator[pa.RecordBatch], encode: Callable, dtype) -> Iterat
                 codes.append(np.fromiter(encode(words), dtype, len(words)))
                 langs.append(np.full(len(words), number, np.int32))
                 held += len(words)
-                if held >= SLICE:
+                if held >= size:
                     yield np.concatenate(codes), np.concatenate(langs), list(names)
                     codes, langs, names, held = [], [], {}, 0
     if held:
@@ -115,11 +118,7 @@ def slices(batches: Iterator[pa.RecordBatch], encode: Callable, dtype) -> Iterat
 
 def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
     hashes = worker_state("collocations", WordHashes)
-    yield from slices(batches, lambda words: map(hashes.__getitem__, words), np.uint64)
-
-
-def word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode())
+    yield from slices(batches, lambda words: map(hashes.__getitem__, words), np.uint64, SLICE)
 
 
 def lang_seed(lang: str) -> int:
@@ -152,77 +151,46 @@ def bitmap_of(rows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-# ------------------------------------------------------------------ passes 1 to 3
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, f); the row with a null word has all words of the language."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-        seen = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, found in held.items():
-                found.pop(_STOP, None)
-                words = [w.decode("utf-8") for w in found]
-                columns = [[lang] * (len(words) + 1), [*words, None], [*found.values(), found.total()]]
-                types = (pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "word", "f"]
-                )
-            held.clear()
-
-        for batch in batches:
-            for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
-                found = held.setdefault(lang.as_py(), Counter())
-                for words in words_of(text.as_py()):
-                    found.update(words)
-                    seen += len(words)
-                if seen >= SLICE:
-                    yield from flush()
-                    seen = 0
-        yield from flush()
-
-    counted = docs.mapInArrow(count, "lang string, word string, f long")
-    return counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
-
-
-def with_hashes(words: DataFrame) -> DataFrame:
-    """(lang, word, f, hash); hashes are stored less 2^63."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = pa.array([word_hash(w) - (1 << 63) for w in batch.column("word").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["lang", "word", "f", "hash"])
-
-    return words.select("lang", "word", "f").mapInArrow(add, "lang string, word string, f long, hash long")
-
-
-def neighbours(codes: np.ndarray, langs: np.ndarray, alone: np.ndarray) -> np.ndarray:
-    """Where two words of one piece stand side by side."""
-    return np.flatnonzero(alone[:-1] & alone[1:] & (langs[:-1] == langs[1:]))
-
-
-def pair_keys(docs: DataFrame, bitmap, least: int, positions: int) -> DataFrame:
-    """(key) of the pairs of marked words whose hash, cut to KEY_BITS bits, is met ``least`` times.
+# ------------------------------------------------------------------ candidates
+def runs(
+    codes: np.ndarray, langs: np.ndarray, languages: list[str], bits: np.ndarray | None, known: int, longest: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, places, keys) of the runs of ``known`` + 1 to ``longest`` words of one piece whose
+    parts of ``known`` words are all marked; single words if ``known`` is 0."""
+    alone = codes != np.uint64(xxhash.xxh3_64_intdigest(_STOP))
+    whole = [alone]  # whether a run of k words begins at a place
+    for k in range(2, known + 2):
+        whole.append(np.append(whole[-1][:-1] & whole[-1][1:] & (langs[:-1] == langs[1:]), False)[: len(codes)])
+    at = np.flatnonzero(whole[max(known - 1, 0)])
+    if known:
+        ok = np.zeros(len(codes), bool)
+        ok[at] = marked(keyed([codes[at + j] for j in range(known)], langs[at], languages), bits)
+        at = at[ok[at]]
+    for k in range(known + 1, longest + 1):
+        if known:
+            # The part that begins k - known words later; it ends the run inside the piece.
+            inside = at[at + k - known < len(codes)]
+            at = inside[ok[inside + k - known]]
+        if known == 1:
+            at = at[whole[1][at + k - 2]]
+        yield k, at, keyed([codes[at + j] for j in range(k)], langs[at], languages)
+
+
+def often_keys(docs: DataFrame, bitmap, known: int, longest: int, least: int, ranges: int) -> DataFrame:
+    """(key) of the runs whose hash, cut to KEY_BITS bits, is met ``least`` times or more.
 
     Slices send one row per range of hashes: the hashes' lower bits and the counts. A
-    range is merged by one task and holds a few million positions at most, as the number
-    of ranges grows with ``positions``, the words of all texts.
+    range is merged by one task.
     """
-    ranges = RANGES
-    while ranges * SLICE * 2 < positions:
-        ranges *= 2
     low_bits = np.uint64(KEY_BITS - (ranges.bit_length() - 1))
-    schema = "range int, low binary, f binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-        stop = np.uint64(xxhash.xxh3_64_intdigest(_STOP))
+        bits = bitmap.value if bitmap is not None else None
         for codes, langs, languages in hashed(batches):
-            at = neighbours(codes, langs, (codes != stop) & marked(keyed([codes], langs, languages), bits))
-            if not len(at):
+            keys = [key for _, _, key in runs(codes, langs, languages, bits, known, longest)]
+            key = np.concatenate(keys) & np.uint64((1 << KEY_BITS) - 1)
+            if not len(key):
                 continue
-            key = keyed([codes[at], codes[at + 1]], langs[at], languages) & np.uint64((1 << KEY_BITS) - 1)
             key, f = np.unique(key, return_counts=True)
             # Counts of more than a byte holds are sent in parts.
             full, rest = (f - 1) // 255, (f - 1) % 255 + 1
@@ -235,98 +203,101 @@ def pair_keys(docs: DataFrame, bitmap, least: int, positions: int) -> DataFrame:
             ends = np.append(cuts[1:], len(key))
             columns = [
                 pa.array(which[cuts]),
-                pa.array([low[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-                pa.array([f[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                pa.array([low[i:j].tobytes() for i, j in zip(cuts, ends, strict=True)], pa.binary()),
+                pa.array([f[i:j].tobytes() for i, j in zip(cuts, ends, strict=True)], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["range", "low", "f"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, lows, counts = None, [], []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            low, which = np.unique(np.concatenate(lows), return_inverse=True)
-            often = np.bincount(which, np.concatenate(counts)) >= least
-            key = (np.uint64(now) << low_bits) + low[often].astype(np.uint64)
+        for which, group in grouped(batches):
+            low = np.concatenate([np.frombuffer(x, np.uint32) for x, _ in group])
+            f = np.concatenate([np.frombuffer(x, np.uint8) for _, x in group])
+            low, place = np.unique(low, return_inverse=True)
+            often = np.bincount(place, f) >= least
+            key = (np.uint64(which) << low_bits) + low[often].astype(np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64))], names=["key"])
 
-        for batch in batches:
-            for which, low, f in zip(*batch.columns, strict=True):
-                if now is not None and which.as_py() != now:
-                    yield from done()
-                    lows, counts = [], []
-                now = which.as_py()
-                lows.append(np.frombuffer(low.as_py(), np.uint32))
-                counts.append(np.frombuffer(f.as_py(), np.uint8))
-        if lows:
-            yield from done()
+    dealt = docs.mapInArrow(count, "range int, low binary, f binary").repartition("range")
+    return dealt.sortWithinPartitions("range").mapInArrow(merge, "key long")
 
-    dealt = docs.mapInArrow(count, schema).repartition("range").sortWithinPartitions("range")
-    return dealt.mapInArrow(merge, "key long")
 
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[tuple]]]:
+    """Rows of equal first column, one group at a time, from sorted batches."""
+    now, held = None, []
+    for batch in batches:
+        for first, *others in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and first != now:
+                yield now, held
+                held = []
+            now = first
+            held.append(tuple(others))
+    if held:
+        yield now, held
 
-def run_counts(docs: DataFrame, bitmap, longest: int, least: int) -> DataFrame:
-    """(lang, h1, ..., f) of the runs of 2 to ``longest`` words whose pairs are all marked
-    that occur ``least`` times or more. Hashes beyond a run's length are null."""
-    names = ["lang", *(f"h{k}" for k in range(1, longest + 1)), "f"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-        stop = np.uint64(xxhash.xxh3_64_intdigest(_STOP))
-        for codes, langs, languages in hashed(batches):
-            pair = neighbours(codes, langs, codes != stop)
-            ok = np.zeros(len(codes), bool)
-            ok[pair] = marked(keyed([codes[pair], codes[pair + 1]], langs[pair], languages), bits)
-            # Where runs of k words begin: all marks inside them hold.
-            at = np.flatnonzero(ok)
-            for k in range(2, longest + 1):
-                at = at[ok[at + k - 2]]
-                if not len(at):
-                    break
+def named(docs: DataFrame, bitmap, longest: int, ranges: int) -> DataFrame:
+    """(lang, phrase) of the runs of 1 to ``longest`` words that are marked, as all their parts
+    are, and for each language the phrase of no words.
+
+    Tasks send each phrase once (or once per many), in lists by range of its hash and language.
+    """
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, hashes = bitmap.value, worker_state("collocations", WordHashes)
+        sent: dict[tuple[int, str], list[bytes]] = {}
+        seen: set[int] = set()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if sent:
+                columns = [pa.array([r for r, _ in sent], pa.int32()), pa.array([lang for _, lang in sent], pa.string())]
+                columns.append(pa.array([b"\n".join(found) for found in sent.values()], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["range", "lang", "phrases"])
+            sent.clear()
+            seen.clear()
+
+        every: list[bytes] = []
+
+        def encode(words: list[bytes]):
+            every.extend(words)
+            return map(hashes.__getitem__, words)
+
+        for codes, langs, languages in slices(batches, encode, np.uint64, SLICE // 4):  # words are held, too
+            if len(seen) > SLICE // 4:
+                yield from flush()
+            stop = np.uint64(xxhash.xxh3_64_intdigest(_STOP))
+            at, ok = np.flatnonzero(codes != stop), None
+            for k in range(1, longest + 1):
+                if ok is not None:  # both parts of k - 1 words are marked
+                    at = np.flatnonzero(ok[:-1] & ok[1:] & (langs[:-1] == langs[1:]))
                 key = keyed([codes[at + j] for j in range(k)], langs[at], languages)
-                _, first, f = np.unique(key, return_index=True, return_counts=True)
-                place = at[first]
-                columns = [pa.DictionaryArray.from_arrays(pa.array(langs[place]), languages).cast(pa.string())]
-                for j in range(longest):
-                    if j < k:
-                        columns.append(pa.array((codes[place + j] ^ np.uint64(1 << 63)).view(np.int64)))
-                    else:
-                        columns.append(pa.nulls(len(place), pa.int64()))
-                columns.append(pa.array(f))
-                for lo in range(0, len(place), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([c.slice(lo, 1 << 16) for c in columns], names=names)
-
-    schema = ", ".join(["lang string", *(f"h{k} long" for k in range(1, longest + 1)), "f long"])
-    counted = docs.mapInArrow(count, schema)
-    return counted.groupBy(*names[:-1]).agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-
-
-def word_keys(words: DataFrame) -> DataFrame:
-    """``key`` of each word (lang, hash), as ``keyed`` makes it."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lang = batch.column("lang").dictionary_encode()
-            codes = batch.column("hash").to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
-            key = keyed([codes], lang.indices.to_numpy(), lang.dictionary.to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
-
-    return words.select("lang", "hash").mapInArrow(add, "key long")
-
-
-def named(runs: DataFrame, words: DataFrame, longest: int) -> DataFrame:
-    """(lang, phrase) of runs of hashes. Words with equal hashes give a candidate each."""
-    out = runs
-    for k in range(1, longest + 1):
-        word = words.select(F.col("lang"), F.col("hash").alias(f"h{k}"), F.col("word").alias(f"w{k}"))
-        out = out.join(word, ["lang", f"h{k}"], "inner" if k <= 2 else "left")
-    # A run whose later word is not among the frequent ones (a wrong mark) isn't frequent.
-    whole = [F.col(f"h{k}").isNull() | F.col(f"w{k}").isNotNull() for k in range(3, longest + 1)]
-    for test in whole:
-        out = out.filter(test)
-    return out.select("lang", F.concat_ws(" ", *[f"w{k}" for k in range(1, longest + 1)]).alias("phrase")).distinct()
-
-
-# ------------------------------------------------------------------ pass 4: tries
+                hit = marked(key, bits)
+                at, key = at[hit], key[hit]
+                ok = np.zeros(len(codes), bool)
+                ok[at] = True
+                key, first = np.unique(key, return_index=True)
+                for h, p in zip(key.tolist(), at[first].tolist(), strict=True):
+                    if h not in seen:
+                        seen.add(h)
+                        sent.setdefault((h % ranges, languages[langs[p]]), []).append(b" ".join(every[p : p + k]))
+            for lang in languages:
+                sent.setdefault((0, lang), []).append(b"")
+            every.clear()
+        yield from flush()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in grouped(batches):
+            found: dict[str, set[bytes]] = {}
+            for lang, phrases in group:
+                found.setdefault(lang, set()).update(phrases.split(b"\n"))
+            for lang, phrases in found.items():
+                names = pa.array([p.decode() for p in sorted(phrases)], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), names], names=["lang", "phrase"])
+
+    dealt = docs.mapInArrow(name, "range int, lang string, phrases binary").repartition("range")
+    return dealt.sortWithinPartitions("range").mapInArrow(merge, "lang string, phrase string")
+
+
+# ------------------------------------------------------------------ tries
 class DoubleArray:
     """A trie of sequences of codes (1 and up): state t = base[s] + c follows s by c if
     check[t] is s. ``accepts[s]`` is the number of the sequence that ends at s, or -1."""
@@ -427,27 +398,28 @@ class PhraseTrie:
     """Phrases of one shard: languages and words by code, and their double array."""
 
     def __init__(self, langs: list[str], phrases: list[str]):
-        split = [p.split(" ") for p in phrases]
+        split = [p.split(" ") if p else [] for p in phrases]
         often = Counter(w for s in split for w in s)
         # Frequent words have small codes, so that wide nodes are dense.
         self.langs = {lang: k for k, lang in enumerate(sorted(set(langs)), 1)}
         first = len(self.langs) + 1
         self.words = {w: k for k, (w, _) in enumerate(often.most_common(), first)}
-        self.codes = {w.encode(): k for w, k in self.words.items()}
+        self.codes = {w.encode(): k for w, k in self.words.items()} | {_STOP: -1}
         self.trie = DoubleArray(
             [(self.langs[lang], *(self.words[w] for w in s)) for lang, s in zip(langs, split, strict=True)]
         )
         self.n, self.longest = len(phrases), max(map(len, split), default=0)
 
     def count(self, batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        """How often each phrase occurs."""
+        """How often each phrase occurs; that of no words as often as its language has words."""
         states_n, code = len(self.trie.accepts), self.codes.get
         counts = np.zeros(states_n, np.int64)
-        for codes, langs, names in slices(batches, lambda words: [code(w, 0) for w in words], np.int32):
+        for codes, langs, names in slices(batches, lambda words: [code(w, 0) for w in words], np.int32, SLICE):
             lang = np.array([self.langs.get(name, 0) for name in names], np.int32)[langs]
-            at = np.arange(len(codes))
-            states, alive = self.trie.advance(np.zeros(len(codes), np.int32), lang)
+            at = np.flatnonzero(codes >= 0)  # words, known or not
+            states, alive = self.trie.advance(np.zeros(len(at), np.int32), lang[at])
             at = at[alive]
+            counts += np.bincount(states, minlength=states_n)
             for _ in range(self.longest):
                 inside = at < len(codes)
                 at, states = at[inside], states[inside]
@@ -462,23 +434,10 @@ class PhraseTrie:
 
 def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(number, f): the sums of all tasks' counters, block by block."""
-    now, total = None, None
-
-    def done() -> pa.RecordBatch:
+    for first, group in grouped(batches):
+        total = sum(np.frombuffer(counts, np.int64) for (counts,) in group)
         hit = np.flatnonzero(total)
-        return pa.RecordBatch.from_arrays([pa.array(hit + now), pa.array(total[hit])], names=["number", "f"])
-
-    for batch in batches:
-        for first, counts in zip(*batch.columns, strict=True):
-            part = np.frombuffer(counts.as_py(), np.int64)
-            if first.as_py() == now:
-                total = total + part
-            else:
-                if now is not None:
-                    yield done()
-                now, total = first.as_py(), part
-    if now is not None:
-        yield done()
+        yield pa.RecordBatch.from_arrays([pa.array(hit + first), pa.array(total[hit])], names=["number", "f"])
 
 
 def trie_counts(docs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame:
@@ -555,19 +514,26 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, phrase, a) of phrases, (lang, word, f) of frequent words, (lang, n) of all words."""
     spark = docs.sparkSession
-    counted = checkpointed(word_counts(docs).filter((F.col("f") >= least) | F.col("word").isNull()))
-    totals = counted.filter("word is null").select("lang", F.col("f").alias("n"))
-    words = checkpointed(with_hashes(counted.filter(F.col("word").isNotNull() & (F.col("f") >= least))))
+    # A word and its separator are two bytes at least: a range holds at most 4 * SLICE positions.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = RANGES
+    while ranges * SLICE * 8 < size:
+        ranges *= 2
 
     def mark(keys: DataFrame):
         return spark.sparkContext.broadcast(bitmap_of(keys, bits))
 
-    positions = totals.agg(F.sum("n")).first()[0] or 0
-    pairs = pair_keys(docs, mark(word_keys(words)), least, positions)
-    runs = run_counts(docs, mark(pairs), longest, least)
-    candidates = checkpointed(named(runs, words, longest))
-    phrases = trie_counts(docs, candidates, shard).filter(F.col("f") >= least)
-    return phrases.withColumnRenamed("f", "a"), words.select("lang", "word", "f"), totals
+    often = checkpointed(often_keys(docs, None, 0, 1, least, ranges))
+    pairs = checkpointed(often_keys(docs, mark(often), 1, 2, least, ranges))
+    often = often.unionByName(pairs)
+    if longest > 2:
+        often = often.unionByName(often_keys(docs, mark(pairs), 2, longest, least, ranges))
+    candidates = checkpointed(named(docs, mark(often), longest, ranges))
+    counted = checkpointed(trie_counts(docs, candidates, shard).filter((F.col("f") >= least) | (F.col("phrase") == "")))
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    phrases = counted.filter(size > 1).select("lang", "phrase", F.col("f").alias("a"))
+    words = counted.filter((size == 1) & (F.col("f") >= least)).select("lang", F.col("phrase").alias("word"), "f")
+    return phrases, words, counted.filter(size == 0).select("lang", F.col("f").alias("n"))
 
 
 def collocations(
