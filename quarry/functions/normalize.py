@@ -24,7 +24,10 @@ OUTER_SPACES = r"^\p{Zs}+|\p{Zs}+$"
 
 def clean(c: ColumnOrName) -> Column:
     """``trim`` only (names, occupation). Strips spaces, Unicode ones included."""
-    return F.regexp_replace(_col(c), OUTER_SPACES, "")
+    c = _col(c)
+    # Text of one byte per character has no space but the ASCII one: no regular expression.
+    plain = F.octet_length(c) == F.char_length(c)
+    return F.when(plain, F.trim(c)).otherwise(F.regexp_replace(c, OUTER_SPACES, ""))
 
 
 def token(c: ColumnOrName) -> Column:

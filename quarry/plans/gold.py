@@ -198,27 +198,16 @@ def gold_rpt_data_quality(
 def sample_history(dim_customer: DataFrame, min_versions: int = 3) -> DataFrame:  # M16
     """All versions of the first customer (by id) with ``>= min_versions`` spans.
 
-    One pass over the dimension: each customer's spans are gathered into one
-    row (bounded by the number of snapshot periods), customers with enough
-    versions are kept, and the first by id is a distributed top-1 (each task
-    keeps its own first, then the smallest wins); its spans are exploded back.
+    Versions are numbered from 1 without gaps, so such a customer has a row of version
+    ``min_versions`` (A10) and the smallest id among those rows (O03) is one aggregate of
+    one row, which is broadcast to pick that customer's rows (P19). Nothing is gathered
+    per customer, and a stored dimension is filtered before anything is shuffled.
     """
     cols = ["customer_id", "scd_version", "city", "income_band", "risk_class",
             "valid_from", "valid_to", "is_current"]
-    per_customer = (
-        dim_customer.groupBy("customer_id")
-        .agg(
-            F.max("scd_version").alias("_mv"),  # A10
-            F.collect_list(F.struct(*cols)).alias("_spans"),
-        )
-        .filter(F.col("_mv") >= min_versions)
-    )
-    first = per_customer.orderBy("customer_id").limit(1)  # O03: top-1 is the feature
-    return (
-        first.select(F.explode("_spans").alias("s"))  # P19: that customer's rows
-        .select("s.*")
-        .orderBy("scd_version")
-    )
+    enough = dim_customer.filter(F.col("scd_version") == min_versions)
+    first = enough.agg(F.min("customer_id").alias("customer_id"))  # one row
+    return dim_customer.select(*cols).join(F.broadcast(first), "customer_id", "left_semi").orderBy("scd_version")
 
 
 def gold_layer(bronze: dict[str, DataFrame], silver: dict[str, DataFrame]) -> dict[str, DataFrame]:

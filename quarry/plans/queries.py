@@ -253,6 +253,23 @@ def m17_report_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _placed_read(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
+    """A report as it is read from the published tables, each row with its place."""
+    result = _build(spark, sf_dir)
+    read = warehouse.report(spark, result)[report].coalesce(1)  # two streams, or one customer's versions
+    out = read.withColumn("place", (F.monotonically_increasing_id() + 1).cast("int")).checkpoint()
+    warehouse.drop(spark, result)
+    return out
+
+
+def m17_reconciliation_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed_read(spark, sf_dir, "reconciliation")
+
+
+def m17_history_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed_read(spark, sf_dir, "sample_history")
+
+
 #: Batches of a stream, for queries that keep state: rows by a hash of their key, then a part once more.
 KEPT_BATCHES = 3
 
@@ -526,6 +543,8 @@ CORE: dict[str, Query] = {
     "x03_splice": x03_splice,
     "x04_deletion_index": x04_deletion_index,
     "s13_publish": s13_publish,
+    "m17_reconciliation_read": m17_reconciliation_read,
+    "m17_history_read": m17_history_read,
     "k_unique_kept": k_unique_kept,
     "k_relationships_kept": k_relationships_kept,
     "m14_counters": m14_counters,
