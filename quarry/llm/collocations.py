@@ -23,8 +23,8 @@ scores, and with the longer phrases that contain them.
 
 Memory: a task holds slices of at most SLICE positions (one text cut at its separators),
 a bitmap or a trie with one counter per phrase, or one range of hashes, whose number grows
-with the texts. The driver holds one bitmap (BITMAP bits) or one trie at a time; neither
-grows with the input. More than SHARD candidates are counted in several passes. Beyond
+with the texts. The driver holds one bitmap (BITMAP bits) or the bytes of one trie at a
+time; neither grows with the input. More than SHARD candidates are counted in several passes. Beyond
 that, bitmaps fill up with the number of frequent words: they then prune less, and more
 is shuffled and tried, but nothing is lost.
 
@@ -40,6 +40,7 @@ phrase give no rows; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -58,7 +59,7 @@ TOP = 2000
 PERCENT = 100  # of a phrase's occurrences in a longer one, for it to be dropped
 UNKNOWN_LANG = "und"
 SLICE = 1 << 21  # positions that a task works on at once
-SHARD = 1_000_000  # phrases of one trie
+SHARD = 500_000  # phrases of one trie
 BITMAP = 1 << 27  # bits
 BLOCK = 32768  # bits of one row of a bitmap
 KEY_BITS = 40  # of the hash that pairs are counted by
@@ -340,6 +341,7 @@ class DoubleArray:
         self.base = self.base[:used]
         self.check = np.append(self.check[:used], np.full(pad, -1, np.int32))
         self.accepts = self.accepts[:used]
+        del self.free
 
     def _grow(self, size: int) -> None:
         more = max(size - len(self.check), 0)
@@ -403,10 +405,10 @@ class PhraseTrie:
         # Frequent words have small codes, so that wide nodes are dense.
         self.langs = {lang: k for k, lang in enumerate(sorted(set(langs)), 1)}
         first = len(self.langs) + 1
-        self.words = {w: k for k, (w, _) in enumerate(often.most_common(), first)}
-        self.codes = {w.encode(): k for w, k in self.words.items()} | {_STOP: -1}
+        codes = {w: k for k, (w, _) in enumerate(often.most_common(), first)}
+        self.codes = {w.encode(): k for w, k in codes.items()} | {_STOP: -1}
         self.trie = DoubleArray(
-            [(self.langs[lang], *(self.words[w] for w in s)) for lang, s in zip(langs, split, strict=True)]
+            [(self.langs[lang], *(codes[w] for w in s)) for lang, s in zip(langs, split, strict=True)]
         )
         self.n, self.longest = len(phrases), max(map(len, split), default=0)
 
@@ -432,44 +434,58 @@ class PhraseTrie:
         return out
 
 
-def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(number, f): the sums of all tasks' counters, block by block."""
-    for first, group in grouped(batches):
-        total = sum(np.frombuffer(counts, np.int64) for (counts,) in group)
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit + first), pa.array(total[hit])], names=["number", "f"])
+def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row: the pickled trie of all phrases (lang, phrase), and the phrases in its order."""
+    langs, phrases = [], []
+    for batch in batches:
+        langs += batch.column("lang").to_pylist()
+        phrases += batch.column("phrase").to_pylist()
+    if phrases:
+        blobs = [pickle.dumps(PhraseTrie(langs, phrases)), pickle.dumps((langs, phrases))]
+        yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], names=["trie", "names"])
 
 
 def trie_counts(docs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame:
-    """(lang, phrase, f) of ``candidates`` (lang, phrase), a shard of them at a time."""
+    """(lang, phrase, f) of ``candidates`` (lang, phrase), a shard of them at a time.
+
+    A shard's trie is built by one task, which is bounded by the shard, and broadcast; the
+    driver only passes its bytes on.
+    """
     spark, out = docs.sparkSession, None
     shards = -(-candidates.count() // shard)
     if shards > 1:
         shards += 1 + shards // 4  # so that no shard gets much more than its share
     for k in range(shards):
         part = candidates.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)) == k)
-        rows = part.toArrow()
-        langs, phrases = rows.column("lang").to_pylist(), rows.column("phrase").to_pylist()
-        if not phrases:
+        row = part.coalesce(1).mapInArrow(built, "trie binary, names binary").first()
+        if row is None:
             continue
-        shared = spark.sparkContext.broadcast(PhraseTrie(langs, phrases))
+        trie, names = (spark.sparkContext.broadcast(bytes(blob)) for blob in row)
 
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            f = shared.value.count(batches)
-            blocks = [(k, f[k : k + COUNTERS]) for k in range(0, len(f), COUNTERS)]
-            blocks = [(k, part.tobytes()) for k, part in blocks if part.any()]
+        def count(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
+            f = pickle.loads(trie.value).count(batches)
+            blocks = [(at, f[at : at + COUNTERS]) for at in range(0, len(f), COUNTERS)]
+            blocks = [(at, part.tobytes()) for at, part in blocks if part.any()]
             if blocks:
-                columns = [pa.array([k for k, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.binary())]
+                columns = [pa.array([at for at, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["first", "counts"])
 
-        counted = docs.mapInArrow(count, "first long, counts binary")
-        summed = counted.repartition("first").sortWithinPartitions("first").mapInArrow(sum_blocks, "number long, f long")
-        names = spark.createDataFrame(
-            pa.table({"number": pa.array(range(len(phrases)), pa.int64()), "lang": langs, "phrase": phrases})
-        )
-        found = checkpointed(names.join(summed, "number").select("lang", "phrase", "f"))
+        def add(batches: Iterator[pa.RecordBatch], names=names) -> Iterator[pa.RecordBatch]:
+            langs, phrases = None, None
+            for first, group in grouped(batches):
+                if langs is None:
+                    langs, phrases = pickle.loads(names.value)
+                total = sum(np.frombuffer(counts, np.int64) for (counts,) in group)
+                hit = np.flatnonzero(total)
+                columns = [pa.array([of[first + i] for i in hit.tolist()], pa.string()) for of in (langs, phrases)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(total[hit])], names=["lang", "phrase", "f"])
+
+        counted = docs.mapInArrow(count, "first long, counts binary").repartition("first")
+        found = counted.sortWithinPartitions("first").mapInArrow(add, "lang string, phrase string, f long")
+        found = checkpointed(found)
         out = found if out is None else out.unionByName(found)
-        shared.unpersist()
+        trie.unpersist()
+        names.unpersist()
     return out if out is not None else spark.createDataFrame([], "lang string, phrase string, f long")
 
 
