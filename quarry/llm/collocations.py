@@ -300,41 +300,44 @@ def named(docs: DataFrame, bitmap, longest: int, ranges: int) -> DataFrame:
 
 # ------------------------------------------------------------------ tries
 class DoubleArray:
-    """A trie of sequences of codes (1 and up): state t = base[s] + c follows s by c if
-    check[t] is s. ``accepts[s]`` is the number of the sequence that ends at s, or -1."""
+    """A trie of distinct sequences of codes (1 and up): state t = base[s] + c follows s by
+    c if check[t] is s. ``accepts[s]`` is the number of the sequence that ends at s, or -1.
 
-    def __init__(self, sequences: list[tuple[int, ...]]):
-        order = sorted(range(len(sequences)), key=sequences.__getitem__)
-        codes = max((max(s) for s in sequences if s), default=0) + 1
+    ``sequences``: a row per sequence, 0 behind its end.
+    """
+
+    def __init__(self, sequences: np.ndarray):
+        n, depth = sequences.shape
+        order = np.lexsort(sequences.T[::-1]) if depth else np.arange(n)
+        rows = sequences[order]
+        codes = int(rows.max(initial=0)) + 1
         self.base = np.zeros(codes, np.int32)
         self.check = np.full(codes, -1, np.int32)
         self.accepts = np.full(codes, -1, np.int32)
         self.codes, self.free = codes, np.ones(codes, bool)
         self.free[0] = False  # the root
         self.low, self.top = 1, 0  # the first free place and the last taken one
-        # Nodes of one depth at a time: (state, first and last sequence, all of them sorted).
-        level, depth = [(0, 0, len(order))], 0
-        while level:
-            heads, deeper = [], []
-            for state, lo, hi in level:
-                while lo < hi and len(sequences[order[lo]]) == depth:
-                    self.accepts[state] = order[lo]
-                    lo += 1
-                children = []
-                while lo < hi:
-                    code, at = sequences[order[lo]][depth], lo
-                    while lo < hi and sequences[order[lo]][depth] == code:
-                        lo += 1
-                    children.append((code, at, lo))
-                if children:
-                    heads.append((state, children))
+        at, states = np.arange(n), np.zeros(n, np.int32)  # sequences that go on, and where they are
+        for d in range(depth + 1):
+            code = rows[at, d] if d < depth else np.zeros(len(at), np.int32)
+            ends = code == 0
+            self.accepts[states[ends]] = order[at[ends]]
+            at, states, code = at[~ends], states[~ends], code[~ends]
+            if not len(at):
+                break
+            # Children lie side by side, as the sequences are sorted.
+            new = np.append(True, (np.diff(states) != 0) | (np.diff(code) != 0))
+            parent, child = states[new], code[new]
+            first = np.flatnonzero(np.append(True, np.diff(parent) != 0))
+            width = np.diff(np.append(first, len(parent)))
+            placed = np.empty(len(parent), np.int32)
             # Wide nodes first: what is left between their children fits narrow ones.
-            heads.sort(key=lambda h: -len(h[1]))
-            narrow = next((i for i, h in enumerate(heads) if len(h[1]) == 1), len(heads))
-            for state, children in heads[:narrow]:
-                deeper += self._place(state, children)
-            deeper += self._place_single(heads[narrow:])
-            level, depth = deeper, depth + 1
+            for i in np.argsort(-width, kind="stable")[: int((width > 1).sum())].tolist():
+                part = slice(first[i], first[i] + width[i])
+                placed[part] = self._place(int(parent[first[i]]), child[part])
+            single = first[width == 1]
+            placed[single] = self._place_single(parent[single], child[single])
+            states = placed[np.cumsum(new) - 1]
         used = int(np.flatnonzero(self.check >= 0).max(initial=0)) + 1
         # Any state and code can be looked up without a test of the bounds.
         pad = max(0, int(self.base.max(initial=0)) + codes - used)
@@ -352,14 +355,13 @@ class DoubleArray:
             self.accepts = np.append(self.accepts, np.full(more, -1, np.int32))
             self.free = np.append(self.free, np.ones(more, bool))
 
-    def _place(self, state: int, children: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        codes = np.array([c for c, _, _ in children])
+    def _place(self, state: int, codes: np.ndarray) -> np.ndarray:
         base = self._fit(codes)
         self._grow(base + int(codes[-1]) + 1)
         at = base + codes
         self.base[state], self.check[at], self.free[at] = base, state, False
         self.top = max(self.top, int(at[-1]))
-        return [(int(t), lo, hi) for t, (_, lo, hi) in zip(at, children, strict=True)]
+        return at
 
     def _fit(self, codes: np.ndarray) -> int:
         """The first base among the next free places whose children's places are free;
@@ -369,25 +371,21 @@ class DoubleArray:
         if start == self.low and len(places):
             self.low = int(places[0])
         near = places - codes[0]
-        near = near[near + codes[-1] < len(self.free)]
+        near = near[near + codes[-1] < len(self.free)][: max(1, (1 << 20) // len(codes))]
         if len(near):
             fits = self.free[near[:, None] + codes[None, :]].all(axis=1)
             if fits.any():
                 return int(near[fits.argmax()])
         return max(self.top + 1 - int(codes[0]), 0)
 
-    def _place_single(self, heads: list) -> list[tuple[int, int, int]]:
+    def _place_single(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Nodes with one child, all at once: each takes the next free place."""
-        if not heads:
-            return []
-        state = np.array([s for s, _ in heads])
-        code = np.array([c[0][0] for _, c in heads])
-        self._grow(self.codes + len(heads) + int((~self.free).sum()))
+        self._grow(self.codes + len(states) + int((~self.free).sum()))
         # Behind the largest code, so that no base is below 0.
-        at = self.codes + np.flatnonzero(self.free[self.codes :])[: len(heads)]
-        self.base[state], self.check[at], self.free[at] = at - code, state, False
-        self.top = max(self.top, int(at[-1]))
-        return [(int(t), c[0][1], c[0][2]) for t, (_, c) in zip(at, heads, strict=True)]
+        at = self.codes + np.flatnonzero(self.free[self.codes :])[: len(states)]
+        self.base[states], self.check[at], self.free[at] = at - codes, states, False
+        self.top = max(self.top, int(at.max(initial=0)))
+        return at
 
     def advance(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states that follow, and which of the given ones they follow."""
@@ -400,17 +398,21 @@ class PhraseTrie:
     """Phrases of one shard: languages and words by code, and their double array."""
 
     def __init__(self, langs: list[str], phrases: list[str]):
-        split = [p.split(" ") if p else [] for p in phrases]
-        often = Counter(w for s in split for w in s)
-        # Frequent words have small codes, so that wide nodes are dense.
         self.langs = {lang: k for k, lang in enumerate(sorted(set(langs)), 1)}
-        first = len(self.langs) + 1
-        codes = {w: k for k, (w, _) in enumerate(often.most_common(), first)}
-        self.codes = {w.encode(): k for w, k in codes.items()} | {_STOP: -1}
-        self.trie = DoubleArray(
-            [(self.langs[lang], *(codes[w] for w in s)) for lang, s in zip(langs, split, strict=True)]
-        )
-        self.n, self.longest = len(phrases), max(map(len, split), default=0)
+        sizes = np.array([p.count(" ") + 1 if p else 0 for p in phrases], np.int64)
+        known: dict[str, int] = {}
+        flat = np.fromiter((known.setdefault(w, len(known)) for p in phrases if p for w in p.split(" ")), np.int32)
+        # Frequent words have small codes, so that wide nodes are dense.
+        code = np.empty(len(known), np.int32)
+        code[np.argsort(-np.bincount(flat, minlength=len(known)), kind="stable")] = np.arange(len(known))
+        code += len(self.langs) + 1
+        self.codes = {w.encode(): int(code[k]) for w, k in known.items()} | {_STOP: -1}
+        self.n, self.longest = len(phrases), int(sizes.max(initial=0))
+        sequences = np.zeros((self.n, 1 + self.longest), np.int32)
+        sequences[:, 0] = [self.langs[lang] for lang in langs]
+        row = np.repeat(np.arange(self.n), sizes)
+        sequences[row, 1 + np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = code[flat]
+        self.trie = DoubleArray(sequences)
 
     def count(self, batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         """How often each phrase occurs; that of no words as often as its language has words."""

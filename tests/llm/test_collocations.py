@@ -76,7 +76,8 @@ def test_double_array_accepts_its_sequences_only(seed):
     width = r.choice([2, 30, 2000])
     made = {tuple(r.randint(1, width) for _ in range(r.randint(1, 5))) for _ in range(r.choice([0, 1, 50, 3000]))}
     sequences = list(made)
-    trie = DoubleArray(sequences)
+    rows = np.array([s + (0,) * (5 - len(s)) for s in sequences], np.int32).reshape(len(sequences), 5)
+    trie = DoubleArray(rows)
     tried = sequences + [tuple(r.randint(0, width) for _ in range(r.randint(1, 5))) for _ in range(500)]
     for s in tried:
         state = np.zeros(1, np.int32)
