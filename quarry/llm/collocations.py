@@ -317,6 +317,7 @@ class DoubleArray:
         self.codes, self.free = codes, np.ones(codes, bool)
         self.free[0] = False  # the root
         self.low, self.top = 1, 0  # the first free place and the last taken one
+        self.random = np.random.default_rng(13)
         at, states = np.arange(n), np.zeros(n, np.int32)  # sequences that go on, and where they are
         for d in range(depth + 1):
             code = rows[at, d] if d < depth else np.zeros(len(at), np.int32)
@@ -344,7 +345,7 @@ class DoubleArray:
         self.base = self.base[:used]
         self.check = np.append(self.check[:used], np.full(pad, -1, np.int32))
         self.accepts = self.accepts[:used]
-        del self.free
+        del self.free, self.random
 
     def _grow(self, size: int) -> None:
         more = max(size - len(self.check), 0)
@@ -364,12 +365,15 @@ class DoubleArray:
         return at
 
     def _fit(self, codes: np.ndarray) -> int:
-        """The first base among the next free places whose children's places are free;
-        behind everything if there is none nearby."""
+        """The first base among some free places whose children's places are free; behind
+        everything if there is none among them."""
         start = max(int(codes[0]), self.low)
-        places = np.flatnonzero(self.free[start : start + (1 << 16)])[:512] + start
+        places = np.flatnonzero(self.free[start : start + (1 << 12)])[:256] + start
         if start == self.low and len(places):
             self.low = int(places[0])
+        # Others all over the array: what wide nodes have left free is far apart.
+        others = self.random.integers(start, max(self.top, start) + 1, 1024)
+        places = np.append(places, others[self.free[np.minimum(others, len(self.free) - 1)]])
         near = places - codes[0]
         near = near[near + codes[-1] < len(self.free)][: max(1, (1 << 20) // len(codes))]
         if len(near):

@@ -88,6 +88,15 @@ def test_double_array_accepts_its_sequences_only(seed):
         assert (found >= 0 and sequences[found] == s) == (s in made)
 
 
+def test_double_array_stays_compact():
+    """Phrases of words by Zipf's law: few wide nodes, many narrow ones with codes far apart."""
+    r = np.random.default_rng(3)
+    words = np.minimum(r.zipf(1.3, (60_000, 3)), 20_000)
+    rows = np.unique(np.vstack([words * [1, 1, 0], words, np.arange(1, 20_001)[:, None] * [1, 0, 0]]), axis=0)
+    trie = DoubleArray(rows.astype(np.int32))
+    assert len(trie.check) < 8 * len(rows) + 20 * trie.codes
+
+
 def random_docs(n: int) -> list[tuple]:
     r = random.Random(n)
     words = ["the", "of", "New", "york", "city", "hall", "a", "b", "é", "日本", "x-y"]
