@@ -160,21 +160,27 @@ def _map_rows(df: DataFrame, fn, schema: str, tokenizer: str | None, size: int)
     return df.mapInArrow(run, schema)
 
 
-def _with_column(df: DataFrame, made: str, kind: str, fn, tokenizer: str | None) -> DataFrame:
-    kept = [f for f in df.schema.fields if f.name != made]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{made}` {kind}"])
-    names = [f.name for f in kept]
-    return _map_rows(df, lambda codec, r: (*[r[c] for c in names], fn(codec, r)), schema, tokenizer, 256)
+def _with_column(df: DataFrame, read: str, made: str, kind: str, fn, tokenizer: str | None) -> DataFrame:
+    """``df`` with ``made`` = fn(codec, value of ``read``); rows pass by place, whatever their names."""
+    names, kept = df.columns, [k for k, f in enumerate(df.schema.fields) if f.name != made]
+    schema = ", ".join([*(f"c{k} {df.schema.fields[k].dataType.simpleString()}" for k in kept), f"made {kind}"])
+    value = f"c{names.index(read)}"
+
+    def row(codec: BpeCodec, r: dict) -> tuple:
+        return *[r[f"c{k}"] for k in kept], fn(codec, r[value])
+
+    placed = df.toDF(*[f"c{k}" for k in range(len(names))])
+    return _map_rows(placed, row, schema, tokenizer, 256).toDF(*[names[k] for k in kept], made)
 
 
 def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", tokenizer: str | None = None) -> DataFrame:
     """``df`` with the token ids of its texts (array<int>)."""
-    return _with_column(df, ids_col, "array<int>", lambda c, r: c.encode(r[text_col] or ""), tokenizer)
+    return _with_column(df, text_col, ids_col, "array<int>", lambda c, text: c.encode(text or ""), tokenizer)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", tokenizer: str | None = None) -> DataFrame:
     """``df`` with the text that its ids stand for."""
-    return _with_column(df, text_col, "string", lambda c, r: c.decode(r[ids_col] or []), tokenizer)
+    return _with_column(df, ids_col, text_col, "string", lambda c, ids: c.decode(ids or []), tokenizer)
 
 
 def token_digests(docs: DataFrame, with_ids: bool = False, tokenizer: str | None = None) -> DataFrame:

@@ -129,11 +129,11 @@ def drop_exact(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_stay_id"), F.unhex("text_sha256").alias("_stay_digest")
     )
     stays = checkpointed(stays.groupBy("_stay_id", "_stay_digest").agg(F.count(F.lit(1)).alias("_stay_rows")))
-    marked = docs.withColumns(
-        {
-            "_stay_key": F.col("doc_id").cast("bigint"),
-            "_text_digest": F.unhex(F.sha2(squeezed(F.col("text")), 256)),
-        }
+    # The caller's columns travel in a struct, so none can bear a name used here.
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("bigint").alias("_stay_key"),
+        F.unhex(F.sha2(squeezed(F.col("text")), 256)).alias("_text_digest"),
     )
     found = marked.join(
         stays.hint("shuffle_hash"),
@@ -142,7 +142,7 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     once = found.filter("_stay_rows = 1")
     # The few that repeat an id and a text: one of them.
     repeated = found.filter("_stay_rows > 1").dropDuplicates(["_stay_key", "_text_digest"])
-    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.unionByName(repeated).select("row.*")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -428,15 +428,15 @@ def near_classes(texts: DataFrame, edits: int, min_chars: int, block: int, extra
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs``, stored, with a number of each row in ``_row``: ids may repeat."""
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    """``docs``, stored as structs ``doc``, with a number of each row in ``_row``: ids may repeat."""
+    return stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("_row")), "numbered")
 
 
 def members(rows: DataFrame, edits: int, min_chars: int, block: int) -> DataFrame:
     """``line_members`` of ``numbered`` documents, with ``row``."""
     texts = rows.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
+        F.col("doc.doc_id").cast("bigint").alias("doc_id"),
+        F.col("doc.text").cast("string").alias("text"),
         F.col("_row").alias("row"),
     )
     classes = checkpointed(
@@ -471,7 +471,7 @@ def line_members(
 ) -> DataFrame:
     """One row per occurrence of a line: its place (doc_id, line), the first place of the
     lines equal to it, the first place of its component, and kept: one of a component."""
-    return members(numbered(docs), edits, min_chars, block).drop("row")
+    return members(numbered(docs.select("doc_id", "text")), edits, min_chars, block).drop("row")
 
 
 def without_repeated_lines(
@@ -484,9 +484,11 @@ def without_repeated_lines(
         .groupBy(F.col("row").alias("_row"))
         .agg(F.sort_array(F.collect_list(F.struct("line", "kept"))).alias("_lines"))
     )
-    parts = F.split(F.col("text").cast("string"), "\n")
+    parts = F.split(F.col("doc.text").cast("string"), "\n")
     text = F.array_join(F.zip_with(parts, F.col("_lines"), lambda part, line: F.when(line["kept"], part)), "\n")
-    return rows.join(flags, "_row", "left").withColumn("text", text).select(*docs.columns)
+    # As given but for the text; a struct's fields are found by their names as they are.
+    columns = [(text if c.lower() == "text" else F.col("doc")[c]).alias(c) for c in docs.columns]
+    return rows.join(flags, "_row", "left").select(*columns)
 
 
 def op5_line_members(spark: SparkSession, sf_dir: str) -> DataFrame:

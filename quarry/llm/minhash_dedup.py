@@ -215,8 +215,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT) ->
 def drop_near(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text, ...) with one document of each group, columns as given."""
     stays = checkpointed(near_duplicates(docs, words, percent).filter("kept").select(F.col("doc_id").alias("_stay_id")))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_stay_id"))
-    return docs.join(stays.hint("shuffle_hash"), same, "left_semi")
+    # The caller's columns travel in a struct, so none can bear a name used here.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("_key"))
+    same = F.col("_key").eqNullSafe(F.col("_stay_id"))
+    return rows.join(stays.hint("shuffle_hash"), same, "left_semi").select("row.*")
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

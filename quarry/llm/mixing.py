@@ -150,16 +150,18 @@ def words(text: Column) -> Column:
 
 
 def with_keys(docs: DataFrame, sources: Column, text_col: str, id_col: str, seed: int) -> DataFrame:
-    """``docs`` with _mix_key, _mix_size, _mix_hash, _mix_slice and _mix_id."""
+    """_mix_key, _mix_size, _mix_hash, _mix_slice and _mix_id of each row of ``docs``.
+
+    The row itself is in the struct ``_mix_row``, so that none of its columns can clash.
+    """
     shuffled = F.xxhash64(F.lit(seed), F.col(id_col))
-    return docs.withColumns(
-        {
-            "_mix_key": pattern_key(sources),
-            "_mix_size": words(F.col(text_col)),
-            "_mix_hash": shuffled,
-            "_mix_slice": F.pmod(shuffled, F.lit(SLICES)).cast("int"),
-            "_mix_id": F.col(id_col),
-        }
+    return docs.select(
+        F.struct("*").alias("_mix_row"),
+        pattern_key(sources).alias("_mix_key"),
+        words(F.col(text_col)).alias("_mix_size"),
+        shuffled.alias("_mix_hash"),
+        F.pmod(shuffled, F.lit(SLICES)).cast("int").alias("_mix_slice"),
+        F.col(id_col).alias("_mix_id"),
     )
 
 
@@ -252,12 +254,12 @@ def mix_documents(docs: DataFrame, sources: Column | None = None, seed: int = SE
     _, plan = plan_mix(keyed)
     taken = with_copies(keyed, plan).filter("_mix_copies > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))
-    return taken.withColumn("_mix_copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return taken.withColumn("_mix_copy", copies).select("_mix_row.*")
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    keyed = checkpointed(with_keys(docs, own_source(), "text", "doc_id", SEED).drop("text"))
+    keyed = checkpointed(with_keys(docs, own_source(), "text", "doc_id", SEED).drop("_mix_row"))
     mix, plan = plan_mix(keyed)
     sources = spark.createDataFrame(mix.sources, "source string, source_size bigint, target double").select(
         pattern_key(own_source()).alias("_mix_key"), "source_size", "target"
@@ -266,7 +268,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         with_copies(keyed, plan)
         .join(F.broadcast(sources), "_mix_key")
         .select(
-            "doc_id",
+            F.col("_mix_id").alias("doc_id"),
             F.col("_mix_size").alias("size"),
             "source_size",
             "target",
