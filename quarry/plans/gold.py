@@ -5,7 +5,8 @@ Plan shapes chosen for scale:
 * Facts are enriched through one *policy context* (policy ⟕ agent ⟕ current
   customer, one row per policy). The chain of left joins only references policy
   columns, so it is associative: the big fact is shuffled once (on
-  ``policy_id``) instead of once per dimension.
+  ``policy_id``) instead of once per dimension. Policies are not shuffled on
+  ``agent_id``, a key of few values and NULLs: agents are broadcast once measured.
 * The policy mart aggregates each fact by ``policy_id`` first (partial
   aggregation before the shuffle), so the joins see one row per policy on every
   side: no fan-out and no skew from a hot policy.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry.fixed import SCORECARD_METRICS, SCORECARD_UNIT, STREAM_CLAIMS, STREAM_PAYMENTS
 from quarry.operators.contracts import enforce
-from quarry.operators.joins import left_enrich
+from quarry.operators.joins import enrich_measured, left_enrich
 from quarry.operators.scd2 import current_rows
 from quarry.schemas import RECONCILIATION
 
@@ -46,7 +47,7 @@ def policy_context(
     """One row per policy: customer, agent, branch/region, product line and,
     with ``dim_customer``, the *current* customer attributes (J02/J03/J05)."""
     ctx = policies.select("policy_id", "customer_id", "agent_id", "product_line")
-    ctx = left_enrich(ctx, agents, "agent_id", ["branch", "region"])
+    ctx = enrich_measured(ctx, agents, "agent_id", ["branch", "region"])
     if dim_customer is not None:
         cur = current_rows(dim_customer).select(
             "customer_id",

@@ -96,3 +96,33 @@ def test_segmented_scan_never_windows_a_whole_key(spark):
     assert any("_seg" in w for w in row_windows)
     # Rows and summaries read the same stored segments, which no window spans.
     assert "rangepartitioning" not in p and p.count("ExistingRDD") == 2
+
+
+def test_policies_are_not_shuffled_on_agent_id(spark):
+    """Agents are broadcast after a check of their size, whatever Spark's threshold."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("gold_fct_premium_payments", "gold_fct_claims"):
+            p = plan(fresh(spark).gold[name])
+            assert not re.search(r"Exchange hashpartitioning\(agent_id", p), p
+            assert re.search(r"BroadcastHashJoin \[agent_id", p), p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_side_beyond_the_limit_is_shuffled_with_the_same_result(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.joins import enrich_measured, measured_bytes
+
+    left = spark.range(200).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("k"))
+    right = spark.createDataFrame([(k, f"branch {k}", None) for k in range(4)], "k bigint, branch string, region string")
+    assert measured_bytes(right) == 4 * (64 + 1 + 8)
+    assert measured_bytes(right.limit(0)) == 0
+    small = enrich_measured(left, right, "k", ["branch", "region"])
+    large = enrich_measured(left, right.hint("merge"), "k", ["branch", "region"], limit=0)
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+    want = sorted((i, i % 5 if i % 3 else None, f"branch {i % 5}" if i % 3 and i % 5 < 4 else None) for i in range(200))
+    for got in (small, large):
+        assert sorted(((r["id"], r["k"], r["branch"]) for r in got.collect())) == want
