@@ -49,9 +49,8 @@ from quarry.llm.common import (
     rows_of,
     table,
     to_batches,
-    worker_state,
 )
-from quarry.llm.shingles import WordHashes, linked_pairs, mixed, odd_numbers, shingle_hashes, word_hashes
+from quarry.llm.shingles import linked_pairs, mixed, odd_numbers, shingle_hashes, word_hashes
 
 PERCENT = 80
 COLLECTION = 12  # bands of each of the two collections
@@ -83,12 +82,11 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     names = [c.split()[0] for c in SIGNATURES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = worker_state("words", WordHashes)
         factors = odd_numbers(SEED, 2 * COLLECTION * ROWS)
 
         def rows() -> Iterator[tuple]:
             for r in rows_of(batches):
-                s = np.unique(shingle_hashes(word_hashes(r["text"], hashes), words))
+                s = np.unique(shingle_hashes(word_hashes(r["text"]), words))
                 bands = bands_of(s, factors).view(np.int64).tolist() if len(s) else None
                 yield r["doc_id"], len(s), set_digest(s), bands
 
@@ -155,11 +153,9 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, words: i
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = worker_state("words", WordHashes)
-
         def rows() -> Iterator[tuple]:
             for r in rows_of(batches):
-                s = np.unique(shingle_hashes(word_hashes(r["text"], hashes), words))
+                s = np.unique(shingle_hashes(word_hashes(r["text"]), words))
                 if set_digest(s) == r["digest"]:  # else another row with that id
                     yield r["doc_id"], r["component"], r["blocks"], r["block"], s.tobytes()
 

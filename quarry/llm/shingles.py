@@ -8,6 +8,8 @@ import numpy as np
 import xxhash
 
 CACHE_WORDS = 150_000
+PIECE_BYTES = 1 << 16  # of a text, hashed at once
+LONG_WORD = 64
 
 
 class WordHashes(dict):
@@ -33,10 +35,56 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Hashes of the words of a text: A-Z in lower case, cut at ASCII white space."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    return np.fromiter((hashes[w] for w in words), np.uint64, len(words))
+def _word_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random number per byte (0 for white space), the powers of an odd factor and of its inverse."""
+    letters = odd_numbers(64, 256)
+    letters[[9, 10, 11, 12, 13, 32]] = 0
+    factor = 0x9E3779B97F4A7C15  # odd, so it has an inverse
+    inverse = pow(factor, -1, 1 << 64)
+    powers = [np.full(PIECE_BYTES + LONG_WORD + 1, f, np.uint64) for f in (factor, inverse)]
+    for p in powers:
+        p[0] = 1
+        np.cumprod(p, out=p)
+    return letters, *powers
+
+
+def word_bounds(chars: np.ndarray) -> np.ndarray:
+    """Start and end of each word in turn, as places of ``chars`` (bytes or code points)."""
+    edge = np.ones(len(chars) + 2, bool)
+    edge[1:-1] = (chars == 32) | ((chars >= 9) & (chars <= 13))
+    return np.flatnonzero(edge[1:] != edge[:-1])
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text: A-Z in lower case, cut at ASCII white space.
+
+    A word's hash is the sum of its bytes' numbers times the powers of a factor, counted
+    from the word's start, so that all words of a piece of the text are hashed at once
+    without building them; words of more than LONG_WORD bytes are hashed one by one.
+    """
+    data = (text or "").encode("utf-8", "replace").lower()
+    chars = np.frombuffer(data, np.uint8)
+    bounds = word_bounds(chars)
+    starts, ends = bounds[::2], bounds[1::2]
+    out = np.empty(len(starts), np.uint64)
+    long = ends - starts > LONG_WORD
+    lo = 0
+    while lo < len(starts):
+        # Words that begin in the next PIECE_BYTES, up to a long one.
+        first = int(starts[lo])
+        hi = int(np.searchsorted(starts, first + PIECE_BYTES))
+        if long[lo:hi].any():
+            hi = lo + int(long[lo:hi].argmax())
+        if hi > lo:
+            piece = _LETTERS[chars[first : ends[hi - 1]]]
+            piece *= _POWERS[: len(piece)]
+            at = starts[lo:hi] - first
+            out[lo:hi] = np.add.reduceat(piece, at) * _INVERSES[at]
+            lo = hi
+        else:
+            out[lo] = xxhash.xxh3_64_intdigest(data[first : ends[lo]])
+            lo += 1
+    return mixed(out)
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -51,6 +99,9 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+_LETTERS, _POWERS, _INVERSES = _word_tables()
+
+
 def linked_pairs(sets: Sequence[np.ndarray], block: Sequence[int], percent: int) -> Iterator[tuple[int, int]]:
     """Pairs of sets with 100 * intersection >= percent * union that connect them: a
     spanning forest of all links. Only sets of different blocks are compared if there

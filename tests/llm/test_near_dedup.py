@@ -10,7 +10,7 @@ from quarry.llm import minhash_dedup
 from quarry.llm.common import connected_components
 from quarry.llm.embedding_dedup import near_embeddings, op3_embedding_dedup, passes_for, unit_vector
 from quarry.llm.minhash_dedup import bands_of, drop_near, near_duplicates, op4_minhash_dedup
-from quarry.llm.shingles import WordHashes, linked_pairs, odd_numbers, shingle_hashes, word_hashes
+from quarry.llm.shingles import linked_pairs, odd_numbers, shingle_hashes, word_hashes
 from tests.conftest import SF_MID, SF_SMALL
 from tests.llm.brute import components
 from tests.llm.messy import empty, messy, words_of
@@ -97,11 +97,11 @@ def test_tensored_tables_meet_at_the_threshold():
 
 def test_shingles_are_of_whole_texts():
     text = "One two\tTHREE four  Five É"
-    assert len(shingle_hashes(word_hashes(text, WordHashes()), 4)) == 3
-    assert len(shingle_hashes(word_hashes("a b", WordHashes()), 4)) == 1
-    assert len(shingle_hashes(word_hashes(None, WordHashes()), 4)) == 0
-    same = shingle_hashes(word_hashes("one TWO three four five É", WordHashes()), 4)
-    assert (same == shingle_hashes(word_hashes(text, WordHashes()), 4)).all()
+    assert len(shingle_hashes(word_hashes(text), 4)) == 3
+    assert len(shingle_hashes(word_hashes("a b"), 4)) == 1
+    assert len(shingle_hashes(word_hashes(None), 4)) == 0
+    same = shingle_hashes(word_hashes("one TWO three four five É"), 4)
+    assert (same == shingle_hashes(word_hashes(text), 4)).all()
 
 
 def test_documents_against_brute_force(spark):
