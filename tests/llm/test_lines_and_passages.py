@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from quarry.llm.line_dedup import (
@@ -17,7 +18,19 @@ from quarry.llm.line_dedup import (
     within,
     without_repeated_lines,
 )
-from quarry.llm.passages import MIN_WORDS, PrefixMax, chains, common_words, op7_repeated_passages, repeated_passages
+from quarry.llm.passages import (
+    IDENTITY,
+    MIN_WORDS,
+    WINDOW,
+    PrefixMax,
+    chains,
+    common_words,
+    like,
+    minimizers,
+    op7_repeated_passages,
+    repeated_passages,
+    united,
+)
 from tests.conftest import SF_SMALL
 from tests.llm.brute import components
 from tests.llm.messy import empty, messy, words_of
@@ -173,6 +186,29 @@ def test_chains_ascend_and_keep_every_match():
     assert chains([*line, (500, 130), (3, 900)])[0] == line
 
 
+def test_minimizers_are_the_first_smallest_of_each_window():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 3, 4, 5, 9, 60):
+        h = r.integers(0, 6, n).astype(np.uint64)
+        starts = range(max(1, n - WINDOW + 1))
+        assert minimizers(h).tolist() == sorted({k + int(h[k : k + WINDOW].argmin()) for k in starts})
+
+
+def test_alignment_shortcut_agrees_with_the_alignment():
+    r = np.random.default_rng(6)
+    for _ in range(500):
+        x = r.integers(0, 9, int(r.integers(10, 40)))
+        y = np.delete(x, r.integers(0, len(x), int(r.integers(0, 4))))
+        y[r.integers(0, len(y), int(r.integers(0, 9)))] = 9
+        band = abs(len(x) - len(y)) + 30
+        assert like(x, y, band) == (common_words(x, y, band) >= IDENTITY * len(x))
+
+
+def test_ranges_that_touch_are_united():
+    assert united([(5, 9), (0, 3), (3, 4), (6, 7), (9, 10)]) == [(0, 4), (5, 10)]
+    assert united([]) == []
+
+
 def test_common_words():
     import numpy as np
 
