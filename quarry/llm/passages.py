@@ -5,10 +5,12 @@
    runs of SEED_WORDS + 2 * WINDOW - 1 words have a common seed. K-mers are short, as
    substituted words leave only short runs of a fuzzy repeat equal; pairs of them are
    rare, so that a common phrase doesn't tie a passage to an unrelated document.
-2. Occurrences of a seed are matched in stars with the smallest document that holds
-   it: matches grow with the occurrences, not with their square. Seeds held by
-   thousands of documents are kept, and spread over tasks. A match with no other of
-   the same pair of documents near it is left out, whatever its place.
+2. Occurrences of a seed with the same seed before or after them are matched in stars
+   with the smallest document: matches of copies grow with the occurrences, not with their
+   square. Occurrences in different surroundings are matched with each other where two
+   such seeds are near each other, in blocks. Seeds held by thousands of documents are
+   kept, and spread over tasks. A match with no other of the same pair of documents near
+   it is left out, whatever its place.
 3. The matches of a pair of documents are chained in order in both: the best chain
    into each match is found in a Fenwick tree of prefix maxima, over scores that
    charge gaps by their length; chains are cut where a gap is over MAX_GAP words.
@@ -35,7 +37,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import arrow_types, attach, checkpointed, map_groups, rows_of, stored, table, to_batches
@@ -43,6 +46,8 @@ from quarry.llm.shingles import mixed, odd_numbers, shingle_hashes, word_bounds,
 
 SEED_WORDS = 3  # of each of the two minimizers of a seed
 WINDOW = 4
+BLOCK = 256  # documents that are matched with each other at once
+PART = 20_000  # occurrences of one seed that are held at once
 MAX_GAP = 30  # words between seeds of a chain, in either document
 GAP_COST = 0.25  # of each word by which the gaps differ, in words matched
 SKIP_COST = 0.02  # of each word skipped
@@ -101,52 +106,188 @@ def seeds(docs: DataFrame) -> DataFrame:
 
     # Stored in lists, as range bounds and the rows themselves are read from them.
     found = stored(docs.select("doc_id", "text").mapInArrow(run, schema), "seeds")
-    return found.select("doc_id", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
-        F.col("s.seeds").alias("seed"), "doc_id", F.col("s.places").alias("at")
-    )
+    return found.mapInArrow(with_sides, "seed bigint, doc_id bigint, at int, sides int")
+
+
+def with_sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seed, doc_id, at, sides) of lists of seeds: 16 bits each of the seed before and the one after."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            lists = part.column("seeds")
+            seed = lists.flatten().to_numpy(zero_copy_only=False)
+            n = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            doc = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), n)
+            # At a text's ends there is no seed: the document's own hash is like no other's.
+            ends = np.cumsum(n)
+            short, own = seed.view(np.uint64) >> np.uint64(48), mixed(doc.view(np.uint64)) >> np.uint64(48)
+            left, right = np.roll(short, 1), np.roll(short, -1)
+            first, last = (ends - n)[n > 0], ends[n > 0] - 1
+            left[first], right[last] = own[first], own[last]
+            sides = (left << np.uint64(16) | right).astype(np.uint32).view(np.int32)
+            columns = [pa.array(seed), pa.array(doc), part.column("places").flatten(), pa.array(sides)]
+            yield pa.RecordBatch.from_arrays(columns, names=["seed", "doc_id", "at", "sides"])
+
+
+def hubs(seed: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """For each occurrence, the first one with the same seed and side."""
+    order = np.lexsort((side, seed))
+    same_as = (seed[order][1:] == seed[order][:-1]) & (side[order][1:] == side[order][:-1])
+    starts = np.flatnonzero(np.concatenate([[True], ~same_as]))
+    hub = np.empty(len(seed), np.int64)
+    hub[order] = np.repeat(order[starts], np.diff(np.append(starts, len(seed))))
+    return hub
+
+
+def matched(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, sides: np.ndarray) -> tuple[tuple, np.ndarray]:
+    """Matches (a, b, at_a, at_b) among occurrences sorted by seed, document and place, and
+    the occurrences that are the first of their seed on both sides."""
+    own = np.arange(len(seed))
+    left, right, both = (hubs(seed, x) for x in (sides >> 16, sides & 0xFFFF, sides))
+    second, third = right != left, (both != left) & (both != right)
+    x = np.concatenate([left, right[second], both[third]])
+    y = np.concatenate([own, own[second], own[third]])
+    x, y = (i[doc[x] != doc[y]] for i in (x, y))
+    return (doc[x], doc[y], at[x], at[y]), (left == own) & (right == own)
 
 
 def star_matches(found: DataFrame) -> DataFrame:
-    """(a, b, at_a, at_b): each occurrence of a seed, in b, with one in a smaller document a.
+    """(a, b, at_a, at_b): the occurrences of each seed in different documents, a smaller than b.
+
+    Occurrences with the same seed before them, after them or both are copies there: each
+    is matched with the first of them, a star of its own for each of the three. The same
+    phrase in other surroundings is no copy, and its first document may have nothing else of
+    a passage: occurrences that are the first on both of their sides stand for the
+    surroundings of a seed, and all documents with two such near each other are matched.
 
     Occurrences are range-partitioned and sorted by seed and document, so a frequent seed
-    is spread over tasks; each task matches a seed's occurrences with the first it sees.
-    The first ones of the seeds at the ends of each partition are then matched among
-    themselves, so that all of a seed's documents are connected.
+    is spread over tasks, and a task holds at most PART of one seed at once. Where a seed
+    is cut, what stands for it in each part is matched with the first that does.
     """
-    columns = ["seed", "a", "b", "at_a", "at_b"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    schema = "seed bigint, a bigint, b bigint, at_a int, at_b int, cut boolean"
+    types = arrow_types(found.sparkSession, schema)
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def rows(part: tuple[np.ndarray, ...], begins: bool, ends: bool) -> pa.RecordBatch:
+        """Matches, and what stands for seeds of several surroundings or that may go on
+        elsewhere: the first one if the part ``begins`` there, the last if it ``ends`` there."""
+        seed = part[0]
+        change = seed[1:] != seed[:-1]
+        starts = np.flatnonzero(np.concatenate([[True], change]))
+        cut = (begins & (seed == seed[0])) | (ends & (seed == seed[-1]))
+        shared = cut | np.repeat(np.diff(np.append(starts, len(seed))) > 1, np.diff(np.append(starts, len(seed))))
+        seed, doc, at, sides, cut = (x[shared] for x in (*part, cut))
+        if not len(seed):
+            return pa.RecordBatch.from_arrays([pa.array([], t) for t in types], names=names)
+        matches, stands = matched(seed, doc, at, sides)
+        starts = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+        several = np.repeat(np.add.reduceat(stands, starts) > 1, np.diff(np.append(starts, len(seed))))
+        k = np.flatnonzero(stands & (several | cut))
+        none, n = [pa.nulls(len(k), t) for t in types], len(matches[0])
+        firsts = [pa.array(seed[k]), pa.array(doc[k]), none[2], pa.array(at[k], types[3]), none[4], pa.array(cut[k])]
+        pairs = [pa.nulls(n, types[0]), *(pa.array(x, t) for x, t in zip(matches, types[1:], strict=False)), pa.nulls(n, types[5])]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(pairs, firsts, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub: tuple[np.ndarray, ...] | None = None
-        ends = []
+        held: tuple[np.ndarray, ...] | None = None
+        begins = True
         for batch in batches:
-            seed, doc, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
-            if not len(seed):
+            now = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+            if not len(now[0]):
                 continue
-            if hub is not None and hub[0][0] == seed[0]:
-                seed, doc, at = (np.concatenate(x) for x in zip(hub, (seed, doc, at), strict=True))
-            starts = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
-            of = np.repeat(starts, np.diff(np.concatenate([starts, [len(seed)]])))
-            hub = tuple(x[starts[-1] : starts[-1] + 1] for x in (seed, doc, at))
-            if not ends:
-                ends.append((seed[0], doc[0], at[0]))
-            m = np.flatnonzero(doc != doc[of])
-            arrays = seed[m], doc[of[m]], doc[m], at[of[m]], at[m]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(arrays, types, strict=True)], names=columns)
-        if hub is not None:
-            ends.append(tuple(x[0] for x in hub))
-            rows = [(s, d, None, k, None) for s, d, k in ends]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=columns)
+            if held is not None:
+                now = tuple(np.concatenate(x) for x in zip(held, now, strict=True))
+            end = int(np.searchsorted(now[0], now[0][-1]))  # the last seed may go on in the next batch
+            whole = end > 0
+            if not whole and len(now[0]) > PART:
+                end = len(now[0])
+            if end:
+                yield rows(tuple(x[:end] for x in now), begins, not whole)
+                begins = not whole
+            held = tuple(x[end:] for x in now) if end < len(now[0]) else None
+        if held is not None:
+            yield rows(held, begins, True)
 
     dealt = found.repartitionByRange("seed", "doc_id").sortWithinPartitions("seed", "doc_id", "at")
-    # Stored: both uses below must see the same partitions.
-    out = checkpointed(dealt.mapInArrow(run, "seed bigint, a bigint, b bigint, at_a int, at_b int"))
-    matches = out.filter("b is not null").drop("seed")
-    ends = out.filter("b is null").select("seed", F.col("a").alias("b"), F.col("at_a").alias("at_b"))
-    hubs = ends.groupBy("seed").agg(F.min(F.struct("b", "at_b")).alias("hub"))
-    across = ends.join(hubs, "seed").filter("b <> hub.b").distinct()
-    return matches.unionByName(across.select(F.col("hub.b").alias("a"), "b", F.col("hub.at_b").alias("at_a"), "at_b"))
+    # Stored: the uses below must see the same partitions.
+    out = checkpointed(dealt.select("seed", "doc_id", "at", "sides").mapInArrow(run, schema))
+    columns = ["a", "b", "at_a", "at_b"]
+    firsts = out.filter("b is null").select("seed", F.col("a").alias("b"), F.col("at_a").alias("at_b"), "cut")
+    cuts = firsts.filter("cut")
+    first = cuts.groupBy("seed").agg(F.min(F.struct("b", "at_b")).alias("hub"))
+    across = cuts.join(first, "seed").filter("b <> hub.b")
+    across = across.select(F.col("hub.b").alias("a"), "b", F.col("hub.at_b").alias("at_a"), "at_b")
+    near = near_matches(firsts.select("seed", F.col("b").alias("doc_id"), F.col("at_b").alias("at")))
+    return out.filter("b is not null").select(*columns).unionByName(across).unionByName(near)
+
+
+def near_matches(firsts: DataFrame) -> DataFrame:
+    """(a, b, at_a, at_b) of the documents that hold the same two seeds of ``firsts`` (seed,
+    doc_id, at), in this order and near enough for a chain."""
+    schema = "two bigint, doc_id bigint, at int, to int"
+    types = arrow_types(firsts.sparkSession, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, other = odd_numbers(2, 2)
+        held: tuple[np.ndarray, ...] | None = None
+        # The last rows of a batch are looked at again with the next one, as beginnings.
+        for batch in batches:
+            now = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            kept = len(held[0]) if held is not None else 0
+            if held is not None:
+                now = tuple(np.concatenate(x) for x in zip(held, now, strict=True))
+            seed, doc, at = now
+            k = 1
+            while k < len(seed):
+                ok = (doc[k:] == doc[:-k]) & (at[k:] - at[:-k] <= MAX_GAP + SEED_WORDS)
+                if not ok.any():
+                    break
+                # Ends among the rows of this batch: those before it were seen with the last one.
+                x = np.flatnonzero(ok)
+                x = x[(x + k >= kept) & (at[x + k] > at[x])]
+                two = mixed(seed[x].view(np.uint64) * one + seed[x + k].view(np.uint64) * other).view(np.int64)
+                found = [pa.array(v, t) for v, t in zip((two, doc[x], at[x], at[x + k]), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(found, names=["two", "doc_id", "at", "to"])
+                k += 1
+            if len(seed):
+                back = (doc == doc[-1]) & (at >= at[-1] - MAX_GAP - SEED_WORDS)
+                held = tuple(x[back] for x in now)
+
+    dealt = firsts.repartition("doc_id").sortWithinPartitions("doc_id", "at", "seed").select("seed", "doc_id", "at")
+    twos = checkpointed(dealt.mapInArrow(run, schema))
+    # Rows of the same two seeds in blocks, each of which meets itself and every later one.
+    of_two = Window.partitionBy("two")
+    place = F.row_number().over(of_two.orderBy("doc_id", "at", "to")) - 1
+    numbered = twos.select("*", place.alias("k"), F.count(F.lit(1)).over(of_two).alias("n")).filter("n > 1")
+    block = F.floor(F.col("k") / BLOCK).cast("int")
+    last = F.floor((F.col("n") - 1) / BLOCK).cast("int")
+    blocks = numbered.groupBy("two", block.alias("i"), last.alias("last")).agg(
+        F.collect_list("doc_id").alias("docs"), F.collect_list("at").alias("at"), F.collect_list("to").alias("to")
+    )
+    meets = blocks.withColumn("j", F.explode(F.sequence(F.lit(0), "last")))
+    meets = meets.select("two", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), F.struct("docs", "at", "to").alias("block"))
+    parts = int(firsts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = meets.repartition(parts, "two", "x", "y").groupBy("two", "x", "y").agg(F.collect_list("block").alias("blocks"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            sides = [tuple(np.array(b[c]) for c in ("docs", "at", "to")) for b in row["blocks"]]
+            one, other = sides[0], sides[-1]
+            x, y = np.triu_indices(len(one[0]), 1) if len(sides) == 1 else np.indices((len(one[0]), len(other[0]))).reshape(2, -1)
+            different = one[0][x] != other[0][y]
+            x, y = x[different], y[different]
+            first = one[0][x] < other[0][y]
+            lists = []
+            for k in range(3):
+                u, v = one[k][x], other[k][y]
+                lists.append((np.where(first, u, v), np.where(first, v, u)))
+            (a, b), ats, tos = lists
+            found = [np.concatenate(v) for v in ((a, a), (b, b), (ats[0], tos[0]), (ats[1], tos[1]))]
+            kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32()
+            arrays = [pa.array(v, t) for v, t in zip(found, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "at_a", "at_b"])
+
+    return pairs.select("blocks").mapInArrow(meet, "a bigint, b bigint, at_a int, at_b int")
 
 
 def promising(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int]]:
@@ -156,6 +297,9 @@ def promising(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int]]:
     share of 1 - IDENTITY of its words changed may have all its seeds at one place. Of
     an equal run the outer seeds and one in THIN words are kept.
     """
+    new = np.ones(len(at_a), bool)  # a match may come from several stars and pairs of seeds
+    new[1:] = (np.diff(at_b) != 0) | (np.diff(at_a) != 0)
+    at_a, at_b = at_a[new], at_b[new]
     far = np.diff(at_b) > MAX_GAP + SEED_WORDS
     single = np.concatenate([[True], far]) & np.concatenate([far, [True]])
     at_a, at_b = at_a[~single].astype(np.int64), at_b[~single].astype(np.int64)

@@ -29,6 +29,7 @@ from quarry.llm.passages import (
     minimizers,
     op7_repeated_passages,
     repeated_passages,
+    star_matches,
     united,
 )
 from tests.conftest import SF_SMALL
@@ -318,3 +319,27 @@ def test_recall_of_fuzzy_passages(spark):
     assert all(found[c] == 100 for c in cases if c[1] == 0)
     assert all(found[c] >= (97 if c[1] < 20 else 90) for c in cases if c[0] > 50)
     assert all(found[c] >= 90 for c in cases if c[1] < 20)
+
+
+def test_a_passage_whose_phrases_stand_alone_in_earlier_documents(spark):
+    """Every seed of the passage is also in an earlier document that has nothing else of it."""
+    r = random.Random(31)
+    passage = prose(r, 70)
+    docs = [prose(r, 30) + passage[k : k + 9] + prose(r, 30) for k in range(62)]
+    docs += [prose(r, 40) + passage + prose(r, 40), prose(r, 20) + passage + prose(r, 20)]
+    texts = [(d, " ".join(w)) for d, w in enumerate(docs)]
+    rows = repeated_passages(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    assert covered(rows, 63) >= set(range(22, 88))
+    assert any(62 in x["others"] for x in rows if x["doc_id"] == 63)
+
+
+def test_seeds_cut_between_tasks_and_other_surroundings_are_matched(spark):
+    """Two seeds near each other in ever other surroundings; and one of many copies, cut anywhere."""
+    rows = [(s, d, d % 5 + 9 * (s - 6), d * 65537 * s % 2**31) for d in range(600) for s in (6, 7)]
+    rows += [(8, d, 3, 5) for d in range(300)]
+    found = spark.createDataFrame(rows, "seed bigint, doc_id bigint, at int, sides int")
+    got = {(x["a"], x["b"], x["at_a"], x["at_b"]) for x in star_matches(found).collect()}
+    assert all(a < b for a, b, _, _ in got)
+    for shift in (0, 9):
+        assert {(a, b, a % 5 + shift, b % 5 + shift) for a in range(600) for b in range(a + 1, 600)} <= got
+    assert {b for _, b, at_a, at_b in got if (at_a, at_b) == (3, 3)} >= set(range(1, 300))
