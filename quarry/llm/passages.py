@@ -144,9 +144,11 @@ def matched(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, sides: np.ndarray
     the occurrences that are the first of their seed on both sides."""
     own = np.arange(len(seed))
     left, right, both = (hubs(seed, x) for x in (sides >> 16, sides & 0xFFFF, sides))
-    second, third = right != left, (both != left) & (both != right)
-    x = np.concatenate([left, right[second], both[third]])
-    y = np.concatenate([own, own[second], own[third]])
+    first = hubs(seed, np.zeros_like(sides))
+    # Each pair once, though an occurrence may be the first of several kinds.
+    news = left != first, (right != first) & (right != left), (both != left) & (both != right)
+    x = np.concatenate([first, *(hub[new] for hub, new in zip((left, right, both), news, strict=True))])
+    y = np.concatenate([own, *(own[new] for new in news)])
     x, y = (i[doc[x] != doc[y]] for i in (x, y))
     return (doc[x], doc[y], at[x], at[y]), (left == own) & (right == own)
 
@@ -154,8 +156,8 @@ def matched(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, sides: np.ndarray
 def star_matches(found: DataFrame) -> DataFrame:
     """(a, b, at_a, at_b): the occurrences of each seed in different documents, a smaller than b.
 
-    Occurrences with the same seed before them, after them or both are copies there: each
-    is matched with the first of them, a star of its own for each of the three. The same
+    Each occurrence is matched with the first one of its seed, and, as copies there, with the
+    first that has the same seed before it, after it, or both: four stars. The same
     phrase in other surroundings is no copy, and its first document may have nothing else of
     a passage: occurrences that are the first on both of their sides stand for the
     surroundings of a seed, and all documents with two such near each other are matched.
