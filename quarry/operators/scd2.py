@@ -7,7 +7,8 @@ snapshots exactly once:
    (``lag``; the first row always flags, so versions start at 1);
 2. running ``sum`` of the flags = version number;
 3. collapse each ``(key, version)`` to one span (``min`` of the period start
-   and of every attribute); already clustered by ``key``, so no new exchange;
+   and of every attribute, over rows that a hash aggregate has made few); already
+   clustered by ``key``, so no new exchange;
 4. close spans with ``lead(valid_from)``; the open span is current.
 
 A window partition holds one key's snapshots, bounded by the number of
@@ -70,9 +71,12 @@ def _spans(
         base = F.max(base_col).over(Window.partitionBy(key))
         running = running + F.coalesce(base, F.lit(1)) - 1
     versioned = flagged.withColumn("_ver", running)
-    spans = versioned.groupBy(key, "_ver").agg(
-        F.min(period).alias("valid_from"),
-        *[F.min(c).alias(c) for c in list(tracked) + list(carried)],
+    values = list(dict.fromkeys([*tracked, *carried]))
+    # Equal rows of a version are put together by hash first: minima of strings sort their
+    # input, which then is about a row per span instead of one per snapshot.
+    few = versioned.groupBy(key, "_ver", *values).agg(F.min(period).alias("_from"))
+    spans = few.groupBy(key, "_ver").agg(
+        F.min("_from").alias("valid_from"), *[F.min(c).alias(c) for c in values]
     )
     spans = spans.withColumn(version_col, F.col("_ver").cast("int")).drop("_ver")
     w2 = Window.partitionBy(key).orderBy(version_col)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.fixed import CURRENT_SENTINEL, PREVIOUS_SENTINEL
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, task_count
 
 SEG = "_seg"
 
@@ -65,10 +65,15 @@ def change_versions(
     ``order`` must be a total order within a key (add a unique id to break ties).
     """
     spark = df.sparkSession
-    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
     ensure_checkpoint_dir(spark)
+    # As many segments as asked for, or more if one would hold more rows than a task should sort.
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = task_count(spark, df.count())
+    n = max(segments or session, parts if parts > session else 0)
     seg = df.repartitionByRange(n, key, *order).withColumn(SEG, F.spark_partition_id()).checkpoint()
+    if parts > session:
+        seg = seg.repartition(parts, key, SEG)
 
     w = Window.partitionBy(key, SEG).orderBy(*order)
     lags = [F.lag(c).over(w) for c in tracked]
@@ -168,10 +173,13 @@ def version_spans(
     a version carries the next version's start as ``next_start``, so one
     aggregate gives both ends of the span.
     """
-    spans = versioned.groupBy(key, "version").agg(
-        F.min(start).alias("valid_from"),
-        F.min("next_start").alias("valid_to"),
-        *[F.min(c).alias(c) for c in list(tracked) + list(carried)],
+    values = list(dict.fromkeys([*tracked, *carried]))
+    # Equal rows of a version are put together by hash first: minima of strings sort their input.
+    few = versioned.groupBy(key, "version", *values).agg(
+        F.min(start).alias("_from"), F.min("next_start").alias("_to")
+    )
+    spans = few.groupBy(key, "version").agg(
+        F.min("_from").alias("valid_from"), F.min("_to").alias("valid_to"), *[F.min(c).alias(c) for c in values]
     )
     return spans.select(
         key, "version", *tracked, *carried, "valid_from", "valid_to",

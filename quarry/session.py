@@ -79,10 +79,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Rows that a task sorts, about: what it holds stays the same however many rows there are.
+TASK_ROWS = 500_000
+
+
+def task_count(spark: SparkSession, rows: int, per_task: int = TASK_ROWS) -> int:
+    """Partitions for a shuffle of ``rows`` rows: the session's number, or more for many rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "quarry", *parts, uuid.uuid4().hex[:12]])
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "shared_dir", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "shared_dir", "task_count", "DEFAULT_CONF"]

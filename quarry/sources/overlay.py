@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.fixed import CLAIM_TYPES, PAYMENT_METHODS, PRODUCT_LINES
 from quarry.functions.normalize import batch_increment, batch_key, month_floor
+from quarry.session import task_count
 
 # Overlay parameters (the overlay picks element ``key % len`` of a domain; the
 # contract domains come from ``quarry.fixed``).
@@ -192,7 +193,7 @@ def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Hash-partition the (small) customer rows on the business key *before* the
     # 84x fan-out: the SCD2 window downstream is clustered by customer_id, so the
     # 84x larger snapshot frame is never shuffled.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = task_count(spark, c.count() * SNAPSHOT_MONTHS)  # counted in the files' footers
     keyed = c.withColumn("customer_id", customer_id(key)).repartition(n, "customer_id")
     snaps = keyed.select("*", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_MONTHS - 1))).alias("m"))
     city_idx = (F.col("c_nationkey") + F.floor((key + m) / (key % 17 + 31))) % 25
