@@ -24,7 +24,7 @@ from quarry.operators.scd2 import scd2_from_snapshots
 from quarry.plans import extras, gold, silver, warehouse
 from quarry.plans.layers import Layers, from_driver_tables, from_landing
 from quarry.schemas import RAW_PREMIUM_PAYMENTS, RAW_SCHEMAS
-from quarry.session import ensure_checkpoint_dir, shared_dir
+from quarry.session import ensure_checkpoint_dir, shared_dir, task_count
 from quarry.sources import overlay, parquet
 from quarry.sources.bronze import register_views
 from quarry.sources.overlay import INCOME_BANDS, RISK_CLASSES
@@ -477,7 +477,8 @@ def x03_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "landing", "customer_snapshots")
     dealt.write.parquet(path)
     dealt = spark.read.parquet(path)
-    early = dealt.filter("_slice > 1").drop("_slice")
+    parts = task_count(spark, dealt.count())
+    early = dealt.filter("_slice > 1").drop("_slice").repartition(parts, "customer_id")
     history = scd2_from_snapshots(early, tracked=silver.DIM_TRACKED, carried=silver.DIM_CARRIED, **args).checkpoint()
     periods = splice.periods_of(early, **args).checkpoint()
     for k in (0, 1):
