@@ -159,12 +159,10 @@ def disagreeing_keys(
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
     p = F.col(period)
-    agreeing = (
-        late.join(spans, key)
-        .filter((p >= F.col("valid_from")) & (F.col("valid_to").isNull() | (p < F.col("valid_to"))) & same)
-        .select(key, period)
-    )
-    return late.select(key, period).join(agreeing, [key, period], "left_anti").select(key).distinct()
+    holds = (p >= F.col("valid_from")) & (F.col("valid_to").isNull() | (p < F.col("valid_to")))
+    # One join by key; its rows are put together where they are.
+    said = late.join(spans, key, "left").groupBy(key, period).agg(F.max(holds & same).alias("_said"))
+    return said.filter(~F.coalesce("_said", F.lit(False))).select(key).distinct()
 
 
 def merge_snapshot_periods(
