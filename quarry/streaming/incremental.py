@@ -12,14 +12,16 @@ expression instead: a monthly batch then touches only the few months it
 carries (on-time plus late arrivals), which is what makes the merge incremental
 at scale. A new batch is merged by
 
-1. normalising it and tagging buckets, stored once per batch;
+1. normalising it, keeping its latest row per key (a key re-sent many times is
+   reduced before any shuffle) and storing that with its buckets, once per batch;
 2. reading only the stored partitions whose bucket occurs in the batch (the
    touched bucket ids, at most ``n`` small ints, become a partition filter);
 3. ``keep_latest`` over stored + new rows (a total order, so merging batch by
-   batch equals one global rebuild);
-4. cutting lineage with ``checkpoint()`` into the shared checkpoint folder
-   (the next step overwrites the partitions just read);
-5. overwriting just those partitions (dynamic partition overwrite).
+   batch equals one global rebuild). Now a key has two rows at most: rows are
+   shuffled once, to *slots* of one bucket and some of its keys each, of about
+   ``TASK_ROWS`` rows, and a slot is what one task sorts and writes;
+4. overwriting just those partitions (dynamic partition overwrite): the new files are
+   written beside the table and put in place when the job that reads the old ones is over.
 
 ``stream_silver`` drives the same merge from a Structured Streaming file source
 over the landing folder with ``foreachBatch``: each micro-batch is one merge,
@@ -33,21 +35,42 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarry.operators.dedup import keep_latest
 from quarry.operators.scd2 import scd2_from_snapshots, scd2_merge
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import TASK_ROWS, ensure_checkpoint_dir, shared_dir
+from quarry.sources import parquet
 
 BUCKET = "_bucket"  # storage partition column of an incremental table
+SLOT = "_slot"  # what one task of a merge sorts and writes
 
 
 def bucket_of(key: str, n: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
 
 
+def in_slots(df: DataFrame, key: str, counts: dict, per_slot: int = TASK_ROWS) -> DataFrame:
+    """``df`` with a column ``SLOT``, dealt by it: the rows of a bucket go to as many slots as
+    ``counts`` asks for, by a hash of their key, and each slot is one partition."""
+    kind = df.schema[BUCKET].dataType
+    slots = {b: max(1, -(-n // per_slot)) for b, n in counts.items()}
+    first, total = {}, 0
+    for b, n in slots.items():
+        first[b], total = total, total + n
+
+    def of(values: dict) -> Column:
+        known = [x for b, v in values.items() if b is not None for x in (F.lit(b).cast(kind), F.lit(v))]
+        here = F.element_at(F.create_map(*known), F.col(BUCKET)) if known else F.lit(None)
+        return F.coalesce(here, F.lit(values.get(None, 0)))
+
+    # Another seed than that of `bucket_of`, whose hash is the same for all keys of a bucket.
+    own = F.pmod(F.xxhash64(F.lit(1), F.col(key)), of(slots)).cast("int")
+    return df.withColumn(SLOT, of(first) + own).repartitionById(max(1, total), SLOT)
+
+
 class IncrementalSilver:
     """A keep-latest silver table maintained batch by batch."""
 
@@ -92,26 +115,29 @@ class IncrementalSilver:
         return self.spark.read.parquet(self.path).drop(BUCKET)
 
     def merge(self, bronze_batch: DataFrame) -> None:
-        new = self.normalize(bronze_batch).withColumn(BUCKET, self.partition).checkpoint()  # read twice below
-        if self._exists():
-            # The touched partition ids (at most `buckets`, or the months a batch
-            # carries: a small bound) become a partition filter, so only touched
-            # folders are read and rewritten.
+        batch = keep_latest(self.normalize(bronze_batch), [self.key], self.latest_by)
+        staged = shared_dir(self.spark, "batches")
+        batch.withColumn(BUCKET, self.partition).write.parquet(staged)  # read twice below
+        new = rows = self.spark.read.parquet(staged)
+        # The touched partition ids (at most `buckets`, or the months a batch
+        # carries: a small bound) become a partition filter, so only touched
+        # folders are read and rewritten.
+        merge = self._exists()
+        if merge:
             touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
             stored = self.spark.read.parquet(self.path).filter(F.col(BUCKET).isin(touched))
-            stored = stored.select(*new.columns)
-            merged = keep_latest(stored.unionByName(new), [self.key], self.latest_by)
-        else:
-            merged = keep_latest(new, [self.key], self.latest_by)
-        # Cluster rows by storage partition; the rebalance hint lets AQE split a
-        # hot partition (e.g. a busy month) over several writers.
-        merged = merged.hint("rebalance", BUCKET).checkpoint(eager=True)  # lineage cut before overwrite
+            rows = stored.select(*new.columns).unionByName(new)
+        counts = {r[0]: r[1] for r in rows.groupBy(BUCKET).agg(F.count(F.lit(1))).collect()}
+        dealt = in_slots(rows, self.key, counts)
+        if merge:
+            dealt = keep_latest(dealt, [BUCKET, SLOT, self.key], self.latest_by)
         (
-            merged.write.mode("overwrite")
+            dealt.drop(SLOT).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
             .parquet(self.path)
         )
+        parquet.delete_folder(self.spark, staged)
 
 
 def stream_silver(
