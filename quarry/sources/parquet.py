@@ -107,6 +107,12 @@ def newest(log: DataFrame, by: str = "version"):
     return next(iter(log.orderBy(F.desc(by)).limit(1).collect()), None)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """True if something lies at ``path``, in whatever store Spark reads it from."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder of whatever store Spark reads ``path`` from."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,10 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.dedup import keep_latest
+from quarry.operators.dedup import latest_order
 from quarry.plans import silver
 from quarry.plans.gold import gold_policy_performance
 from quarry.sources import parquet
@@ -46,11 +46,33 @@ class StreamCounters:
         """``flags``: counters by name; each counts the winning rows for which it is true."""
         self.spark, self.path, self.key, self.latest_by = spark, path.rstrip("/"), key, list(latest_by)
         self.normalize, self.flags = normalize, flags
-        self.winners = GenerationTable(spark, f"{self.path}/winners", key, latest_by)
-
-    def _counts(self, rows: DataFrame, sign: int) -> DataFrame:
-        flags = [(F.count_if(flag) * sign).alias(name) for name, flag in self.flags.items()]
-        return rows.groupBy("_batch").agg((F.count(F.lit(1)) * sign).alias("silver_rows"), *flags)
+        self.winners = GenerationTable(spark, f"{self.path}/winners", key, latest_by, normalize)
+
+    def _counts(self, rows: DataFrame) -> DataFrame:
+        """Counts by batch of rows with a ``_sign``: 1 for a winner, -1 for one that it replaces."""
+        flags = [F.sum(F.when(flag, F.col("_sign")).otherwise(0)).alias(name) for name, flag in self.flags.items()]
+        return rows.groupBy("_batch").agg(F.sum("_sign").alias("silver_rows"), *flags)
+
+    def _changes(self, new: DataFrame, number: int) -> DataFrame:
+        """The winners among the keys of ``new`` with ``_sign`` 1, and those before it with -1.
+
+        Stored generations and ``new`` hold a key once each: all are shuffled and sorted once.
+        A winner that stays is there with both signs.
+        """
+        stored = self.winners.generations(self.winners.state(before=number))
+        if stored is None:
+            return new.withColumn("_sign", F.lit(1))
+        both = stored.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+        of_key = Window.partitionBy(self.key)
+        order = of_key.orderBy(*latest_order(new, [self.key], self.latest_by))
+        older = F.sum(F.when(F.col("_new"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        ranked = both.repartition(self.key).withColumns(
+            {"_rank": F.row_number().over(order), "_older": older, "_touched": F.max("_new").over(of_key)}
+        )
+        wins = F.when(F.col("_rank") == 1, F.lit(1))
+        replaced = F.when(~F.col("_new") & (F.col("_older") == 1), F.lit(-1))
+        signs = F.filter(F.array(wins, replaced), lambda s: s.isNotNull())
+        return ranked.filter("_touched").withColumn("_sign", F.explode(signs)).select(*new.columns, "_sign")
 
     def merge(self, bronze: DataFrame, number: int | None = None) -> bool:
         """Count a batch of bronze rows; False if it was counted before."""
@@ -59,18 +81,15 @@ class StreamCounters:
         number = done + 1 if number is None else number
         if number <= done:
             return False
-        new = keep_latest(self.normalize(bronze), [self.key], self.latest_by).checkpoint()
-        before = self.winners.read(before=number, like=new).join(new.select(self.key), self.key, "left_semi").checkpoint()
-        now = keep_latest(before.unionByName(new), [self.key], self.latest_by)
+        new = self.winners.delta(bronze, number)
         sent = bronze.groupBy("_batch").agg(F.count(F.lit(1)).alias("bronze_rows"))
-        change = self._counts(now, 1).unionByName(self._counts(before, -1))
-        change = sent.unionByName(change, allowMissingColumns=True)
+        change = sent.unionByName(self._counts(self._changes(new, number)), allowMissingColumns=True)
         names = [c for c in change.columns if c != "_batch"]
         change = change.groupBy("_batch").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
         change.withColumn("number", F.lit(number).cast("bigint")).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/counts/number={number}"
         )
-        self.winners.merge(new, number)
+        self.winners.merge(bronze, number, delta=new)
         parquet.append_log(self.spark, f"{self.path}/log", LOG, ((last.version if last else 0) + 1, number))
         return True
 
@@ -116,8 +135,11 @@ class PolicyMart:
 
     @staticmethod
     def _touched(table: GenerationTable, key: str, new: DataFrame, number: int) -> DataFrame:
-        """Policies of a batch's rows and of the stored rows that they may replace."""
-        replaced = table.read(before=number, like=new).join(new.select(key), key, "left_semi")
+        """Policies of a batch's latest rows and of the stored rows that they may replace."""
+        stored = table.generations(table.state(before=number))
+        if stored is None:
+            return new.select("policy_id")
+        replaced = stored.select(key, "policy_id").join(new.select(key), key, "left_semi")
         return new.select("policy_id").union(replaced.select("policy_id"))
 
     def merge(self, payments: DataFrame, claims: DataFrame, number: int | None = None) -> bool:
@@ -128,16 +150,17 @@ class PolicyMart:
             return False
         touched = None
         for table, key, batch in ((self.payments, "payment_id", payments), (self.claims, "claim_id", claims)):
-            policies = self._touched(table, key, table.normalize(batch), number)
+            new = table.delta(batch, number)
+            policies = self._touched(table, key, new, number)
             touched = policies if touched is None else touched.union(policies)
-            table.merge(batch, number)
+            table.merge(batch, number, delta=new)
         touched = touched.filter(F.col("policy_id").isNotNull()).distinct().checkpoint()
         facts = [t.read().join(touched, "policy_id", "left_semi") for t in (self.payments, self.claims)]
         # The mart of these policies alone; what describes a policy is joined when it is read.
         names = ["customer_id", "product_line", "status", "currency", "premium_amount", "sum_assured"]
         bare = touched.select("policy_id", *[F.lit(None).cast("string").alias(c) for c in names])
         rows = gold_policy_performance(bare, *facts).select("policy_id", *self.TOTALS)
-        return self.totals.merge(rows.withColumn("number", F.lit(number).cast("bigint")), number)
+        return self.totals.merge(rows.withColumn("number", F.lit(number).cast("bigint")), number, unique=True)
 
     def read(self, policies: DataFrame) -> DataFrame:
         """The mart of ``policies``, as a rebuild from all batches gives it."""

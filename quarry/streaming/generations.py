@@ -3,7 +3,7 @@
 A table is a *base* and a list of *deltas*, one per merged batch:
 
 * ``merge`` normalises a batch, keeps its latest row per key and writes that as a new
-  delta; the base is not read or rewritten. When the deltas together hold more than
+  delta; the base is not read or rewritten. The first delta is the base. When the deltas together hold more than
   ``fold_share`` of the base's rows, base and deltas are folded into a new base.
 * ``read`` keeps the latest over base and deltas (a total order, so this equals a
   rebuild from all batches, in whatever order they came).
@@ -101,7 +101,8 @@ class GenerationTable:
         return path, self.spark.read.parquet(path).count()  # from the files' footers
 
     # -------------------------------------------------------------- reads
-    def _generations(self, state: State) -> DataFrame | None:
+    def generations(self, state: State) -> DataFrame | None:
+        """The rows of all generations: each of them holds a key once."""
         paths = [p for p in (state.base, *(p for p, _ in state.deltas)) if p]
         return self.spark.read.parquet(*paths) if paths else None
 
@@ -110,36 +111,57 @@ class GenerationTable:
         With deltas, the latest row per key: each task passes one row per key on, before the
         shuffle. A table without a batch has the columns of ``like``."""
         state = self.state(before)
-        rows = self._generations(state)
+        rows = self.generations(state)
         if rows is None:
             if like is None:
                 raise ValueError(f"{self.path} holds no batch yet")
             return like.limit(0)
-        return keep_latest(rows, self.key, self.latest_by) if state.deltas else rows
+        return self._folded(rows) if state.deltas else rows
+
+    def _folded(self, rows: DataFrame) -> DataFrame:
+        """The latest row per key of several generations. A key has at most one row in each, so
+        rows are shuffled as they are and sorted once, after it."""
+        return keep_latest(rows.repartition(*self.key), self.key, self.latest_by)
 
     # -------------------------------------------------------------- writes
-    def merge(self, batch: DataFrame, number: int | None = None) -> bool:
-        """Append the batch's latest rows; False if batch ``number`` was merged before."""
+    def delta(self, batch: DataFrame, number: int, unique: bool = False) -> DataFrame:
+        """The latest rows of batch ``number``, written as its delta (over what a failed attempt
+        left) but not committed; those of a batch that was merged before are read as they are."""
+        path = f"{self.path}/delta/{number}"
+        if number > self.state().batch or not parquet.exists(self.spark, path):
+            rows = self.normalize(batch)
+            self._write(rows if unique else keep_latest(rows, self.key, self.latest_by), f"delta/{number}")
+        return self.spark.read.parquet(path)
+
+    def merge(
+        self, batch: DataFrame, number: int | None = None, unique: bool = False, delta: DataFrame | None = None
+    ) -> bool:
+        """Append the batch's latest rows; False if batch ``number`` was merged before.
+
+        ``unique``: the batch holds a key once already. ``delta``: what ``delta`` wrote of it.
+        """
         state = self.state()
         if number is None:
             number = state.batch + 1
         if number <= state.batch:
             return False
-        latest = keep_latest(self.normalize(batch), self.key, self.latest_by)
-        delta = self._write(latest, f"delta/{number}")
+        if delta is None:
+            delta = self.delta(batch, number, unique)
+        added = (f"{self.path}/delta/{number}", delta.count())  # from the files' footers
         version = state.version + 1
-        written = delta[1]
-        deltas = (*state.deltas, delta)
+        written = added[1]
+        deltas = (*state.deltas, added)
         new = State(version, state.base, state.base_rows, deltas, number)
-        if sum(n for _, n in deltas) > self.fold_share * state.base_rows:
-            merged = keep_latest(self._generations(new), self.key, self.latest_by)
-            base, rows = self._write(merged, f"base/{version}")
+        if state.base is None:
+            new = State(version, *added, (), number)
+        elif sum(n for _, n in deltas) > self.fold_share * state.base_rows:
+            base, rows = self._write(self._folded(self.generations(new)), f"base/{version}")
             new = State(version, base, rows, (), number)
             written += rows
             self.writes.folded += rows
         self._commit(new)
         self.writes.merged += 1
-        self.writes.appended += delta[1]
+        self.writes.appended += added[1]
         self.writes.per_batch.append(written)
         return True
 
