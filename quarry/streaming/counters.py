@@ -57,11 +57,12 @@ class StreamCounters:
         """The winners among the keys of ``new`` with ``_sign`` 1, and those before it with -1.
 
         Stored generations and ``new`` hold a key once each: all are shuffled and sorted once.
-        A winner that stays is there with both signs.
+        A winner that stays is there with both signs. A null key replaces nothing.
         """
         stored = self.winners.generations(self.winners.state(before=number))
         if stored is None:
             return new.withColumn("_sign", F.lit(1))
+        stored = stored.filter(F.col(self.key).isNotNull())
         both = stored.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
         of_key = Window.partitionBy(self.key)
         order = of_key.orderBy(*latest_order(new, [self.key], self.latest_by))
