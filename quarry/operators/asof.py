@@ -59,6 +59,9 @@ def asof_sweep(
         F.col(key).alias("key"), F.col(valid_from).alias("time"), F.lit(0).alias("kind"),
         F.lit(0).cast("bigint").alias("tie"), held.alias("span"),
     )
+    # Range bounds are sampled, so that whatever comes after the last shuffle is computed twice.
+    # That of a dimension may be all of it, and its starts are few.
+    starts = starts.checkpoint()
     order = ["time", "kind", "tie"]
     sequence = (
         arrivals.unionByName(starts, allowMissingColumns=True)
@@ -84,9 +87,10 @@ def carried_over(sequence: DataFrame) -> DataFrame:
     Segments are contiguous, so only the first key of a segment can have begun before it:
     at most one row per segment.
     """
-    summary = sequence.groupBy("key", "segment").agg(
-        F.max_by("span", F.when(F.col("kind") == 0, F.col("time"))).alias("last")
-    )
+    # Facts say only which keys a segment holds: none of them is sorted for the last span.
+    held = sequence.select("key", "segment").distinct()
+    lasts = sequence.filter("kind = 0").groupBy("key", "segment").agg(F.max_by("span", "time").alias("last"))
+    summary = held.join(lasts, ["key", "segment"], "left")
     earlier = Window.partitionBy("key").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     before = F.last("last", ignorenulls=True).over(earlier)
     return summary.select("key", "segment", before.alias("before")).filter(F.col("before").isNotNull())
