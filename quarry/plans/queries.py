@@ -289,7 +289,10 @@ def k_unique_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
         name = f"key_index_{uuid.uuid4().hex}"
         index = kept_checks.KeyIndex(spark, name, f"{root}/{check.check_id}", 8)
         column = check.columns[0]
-        for k, batch in enumerate(_in_batches(layers.tables()[check.table], column)):
+        # The keys, and the batch that rows are dealt by, computed once for all batches.
+        table = layers.tables()[check.table]
+        keys = table.select(column, *[c for c in ("_batch",) if c in table.columns]).checkpoint()
+        for k, batch in enumerate(_in_batches(keys, column)):
             index.add(batch, column, k)
         found = index.offenders().agg(F.count(F.lit(1)).alias("violations"))
         out.append(found.select(F.lit(check.check_id).alias("check_id"), F.lit(check.target).alias("target"), "violations"))
