@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.plans import gold, silver
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import shared_dir
 from quarry.sources import bronze, overlay, parquet
 
 
@@ -41,8 +41,9 @@ def _builder(v: DataFrame | Callable[[], DataFrame]) -> Callable[[], DataFrame]:
 def _stored(tables: LazyTables) -> LazyTables:
     def builder(name: str) -> DataFrame:
         df = tables[name]
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        path = f"{shared_dir(df.sparkSession, 'layers')}/{name}"
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
 
     return LazyTables({n: (lambda n=n: builder(n)) for n in tables})
 
@@ -50,8 +51,9 @@ def _stored(tables: LazyTables) -> LazyTables:
 class Layers:
     """Bronze, silver and gold over five raw extracts (frames or frame builders).
 
-    ``stored``: each silver and gold table is computed once, on first access, and kept
-    as a reliable checkpoint, for consumers that read many of them many times.
+    ``stored``: each silver table is computed once, on first access, and kept as files in
+    the shared folder, for consumers that read many of them many times, some columns each.
+    Gold tables are plans over these files.
     """
 
     def __init__(
@@ -95,8 +97,6 @@ class Layers:
                 ),
             }
         )
-        if stored:
-            self.gold = _stored(self.gold)
 
     def tables(self) -> LazyTables:
         """Silver and gold together (what the checks read)."""

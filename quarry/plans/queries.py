@@ -59,7 +59,7 @@ def _gold(name: str) -> Query:
 
 def _checks(kind: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # Ten tables read many times: each is computed once.
+        # Silver tables are read many times: each is computed once. A kind reads a gold table once.
         layers = from_driver_tables(spark, sf_dir, stored=True)
         return checks.check_results(layers.tables(), kinds=[kind])
 
