@@ -4,7 +4,7 @@
 * ``checkpointed``, ``stored``: cut lineage into the shared folder of ``spark.checkpoint.dir``.
 * ``attach``: joins rows to their group's row without a hot group in one task.
 * ``connected_components``: distributed components of an edge table.
-* ``map_groups``: streams bounded groups through a Python function.
+* ``map_groups``, ``map_group_lists``: stream bounded groups through a Python function, one or some at a time.
 * ``worker_state``: caches that the tasks of a Python worker share.
 """
 
@@ -149,20 +149,36 @@ def map_groups(
     Rows are dealt out by ``keys`` and sorted, then groups are cut from the
     sorted stream, one in memory at a time.
     """
+    return map_group_lists(df, keys, order, lambda groups: fn(*groups[0]), schema, 1)
+
+
+def map_group_lists(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    fn: Callable[[list[tuple[tuple, list[dict]]]], Iterator[tuple]],
+    schema: str,
+    size: int,
+) -> DataFrame:
+    """``map_groups`` with ``fn(groups)`` for up to ``size`` neighbouring groups (key, rows)
+    at a time, for work that is done for many groups at once."""
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def results() -> Iterator[tuple]:
-            now, held = None, []
+            now, groups = None, []
             for row in rows_of(batches):
                 key = tuple(row[k] for k in keys)
-                if held and key != now:
-                    yield from fn(now, held)
-                    held = []
+                if groups and key == now:
+                    groups[-1][1].append(row)
+                    continue
+                if len(groups) == size:
+                    yield from fn(groups)
+                    groups = []
                 now = key
-                held.append(row)
-            if held:
-                yield from fn(now, held)
+                groups.append((key, [row]))
+            if groups:
+                yield from fn(groups)
 
         yield from to_batches(results(), names, types)
 

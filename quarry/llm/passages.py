@@ -41,7 +41,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_types, attach, checkpointed, map_groups, rows_of, stored, table, to_batches
+from quarry.llm.common import arrow_types, attach, checkpointed, map_group_lists, map_groups, rows_of, stored, table, to_batches
 from quarry.llm.shingles import mixed, odd_numbers, shingle_hashes, word_bounds, word_hashes
 
 SEED_WORDS = 3  # of each of the two minimizers of a seed
@@ -56,6 +56,7 @@ MIN_WORDS = 50
 IDENTITY = 0.8  # words in common, of the longer side of a chain
 PIECE_WORDS = 2048  # long chains are aligned in pieces of about this length
 REGION_WORDS = 4 * PIECE_WORDS  # words of neighbouring pieces that travel together, at most
+REGIONS = 256  # regions whose ends are aligned at once
 RANGES = 256  # ranges cut out of a document in one row, about
 THIN = 8  # words between the seeds that are kept of an equal run
 #: How far a chain is extended beyond its outer seeds, at most: seeds may be missing for as long as a passage.
@@ -292,30 +293,31 @@ def near_matches(firsts: DataFrame) -> DataFrame:
     return pairs.select("blocks").mapInArrow(meet, "a bigint, b bigint, at_a int, at_b int")
 
 
-def promising(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int]]:
-    """The matches of a pair of documents, in order of at_b, that may be part of a passage.
+def promising(pair: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(pair, at_a, at_b) of the matches that may be part of a passage, pair by pair, of
+    matches in order of pair, at_b and at_a; pairs are numbered.
 
     Matches that stand alone are left out. Their distance says nothing: a passage with a
     share of 1 - IDENTITY of its words changed may have all its seeds at one place. Of
     an equal run the outer seeds and one in THIN words are kept.
     """
-    new = np.ones(len(at_a), bool)  # a match may come from several stars and pairs of seeds
-    new[1:] = (np.diff(at_b) != 0) | (np.diff(at_a) != 0)
-    at_a, at_b = at_a[new], at_b[new]
-    far = np.diff(at_b) > MAX_GAP + SEED_WORDS
+    new = np.ones(len(pair), bool)  # a match may come from several stars and pairs of seeds
+    new[1:] = (np.diff(pair) != 0) | (np.diff(at_b) != 0) | (np.diff(at_a) != 0)
+    pair, at_a, at_b = pair[new], at_a[new].astype(np.int64), at_b[new].astype(np.int64)
+    far = (np.diff(pair) != 0) | (np.diff(at_b) > MAX_GAP + SEED_WORDS)
     single = np.concatenate([[True], far]) & np.concatenate([far, [True]])
-    at_a, at_b = at_a[~single].astype(np.int64), at_b[~single].astype(np.int64)
-    if not len(at_a):
-        return []
-    order = np.lexsort((at_b, at_b - at_a))
-    at_a, at_b = at_a[order], at_b[order]
-    new = np.ones(len(at_a), bool)
-    new[1:] = (np.diff(at_b - at_a) != 0) | (np.diff(at_b) > SEED_WORDS)
+    pair, at_a, at_b = (x[~single] for x in (pair, at_a, at_b))
+    if not len(pair):
+        return pair, at_a, at_b
+    order = np.lexsort((at_b, at_b - at_a, pair))
+    pair, at_a, at_b = (x[order] for x in (pair, at_a, at_b))
+    new = np.ones(len(pair), bool)
+    new[1:] = (np.diff(pair) != 0) | (np.diff(at_b - at_a) != 0) | (np.diff(at_b) > SEED_WORDS)
     starts = np.flatnonzero(new)
-    part = (at_b - np.repeat(at_b[starts], np.diff(np.concatenate([starts, [len(at_b)]])))) // THIN
+    part = (at_b - np.repeat(at_b[starts], np.diff(np.append(starts, len(at_b))))) // THIN
     keep = new | np.concatenate([new[1:], [True]])
     keep[1:] |= part[1:] != part[:-1]
-    return list(zip(at_a[keep].tolist(), at_b[keep].tolist(), strict=True))
+    return pair[keep], at_a[keep], at_b[keep]
 
 
 class PrefixMax:
@@ -449,13 +451,15 @@ def chained(matches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for a, b, at_a, at_b in groups(batches):
-                starts = np.flatnonzero(np.concatenate([[True], (np.diff(a) != 0) | (np.diff(b) != 0)]))
-                ends = np.append(starts[1:], len(a))
-                several = ends - starts > 1
-                for lo, hi in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
-                    found = regions(pieces_of(promising(at_a[lo:hi], at_b[lo:hi])))
+                change = np.concatenate([[False], (np.diff(a) != 0) | (np.diff(b) != 0)])
+                pair, x, y = promising(np.cumsum(change), at_a, at_b)
+                firsts = np.flatnonzero(np.concatenate([[True], change[1:]]))  # rows of ``a`` and ``b``
+                starts = np.flatnonzero(np.concatenate([[True], np.diff(pair) != 0])) if len(pair) else pair
+                ends = np.append(starts[1:], len(pair))
+                for lo, hi, row in zip(starts.tolist(), ends.tolist(), firsts[pair[starts]].tolist(), strict=False):
+                    found = regions(pieces_of(list(zip(x[lo:hi].tolist(), y[lo:hi].tolist(), strict=True))))
                     for k, (a0, a1, b0, b1, pieces) in enumerate(found):
-                        yield int(a[lo]), int(b[lo]), k, a0, a1, b0, b1, np.array(pieces, np.int32).tobytes()
+                        yield int(a[row]), int(b[row]), k, a0, a1, b0, b1, np.array(pieces, np.int32).tobytes()
 
         yield from to_batches(rows(), names, types, 256)
 
@@ -469,6 +473,14 @@ def common_words(x: np.ndarray, y: np.ndarray, band: int) -> int:
         return 0
     if len(x) == len(y) and (x == y).all():
         return len(x)
+    # What both begin and end with is common in the best alignment; it leaves the diagonals as they are.
+    n = min(len(x), len(y))
+    differ = x[:n] != y[:n]
+    begin = int(differ.argmax()) if differ.any() else n
+    x, y, n = x[begin:], y[begin:], n - begin
+    differ = x[len(x) - n :][::-1] != y[len(y) - n :][::-1]
+    end = int(differ.argmax()) if differ.any() else n
+    x, y = x[: len(x) - end], y[: len(y) - end]
     # Longest common subsequence, a bit vector over y for each word of x.
     places: dict[int, int] = {}
     for k, w in enumerate(y.tolist()):
@@ -481,7 +493,7 @@ def common_words(x: np.ndarray, y: np.ndarray, band: int) -> int:
         seen &= ((1 << max(hi, 0)) - 1) & ~((1 << lo) - 1)
         u = row & seen
         row = ((row + u) | (row - u)) & full
-    return len(y) - row.bit_count()
+    return begin + end + len(y) - row.bit_count()
 
 
 def like(x: np.ndarray, y: np.ndarray, band: int) -> bool:
@@ -496,37 +508,75 @@ def like(x: np.ndarray, y: np.ndarray, band: int) -> bool:
     return bool((front + back[::-1]).max() >= needed) or common_words(x, y, band) >= needed
 
 
-def extended(x: np.ndarray, y: np.ndarray, most: int, cost: int) -> tuple[int, int]:
-    """Words of x and of y by which two passages go on: the end of the alignment with the
-    most common words, less ``cost`` for each word that is changed, inserted or left out;
-    the last of equal ends."""
-    x, y = x[:most], y[:most]
-    n = min(len(x), len(y))
-    if not n:
-        return 0, 0
-    same = x[:n] == y[:n]
-    if same.all():
-        return n, n
-    walk = np.where(same, 1, -cost).cumsum()
-    best = n - 1 - int(walk[::-1].argmax())
-    at = best + 1 if walk[best] >= 0 else 0
-    # Words inserted or left out pay only if two words in a row are common beyond that place.
-    p, q = x[at:].tolist(), y[at:].tolist()
-    if set(zip(p, p[1:])).isdisjoint(zip(q, q[1:])):
-        return at, at
-    top, end, low = 0, (0, 0), -(10**6)
-    before = {j: -cost * j for j in range(min(BAND, len(q)) + 1)}
-    for i, w in enumerate(p, 1):
-        now = {}
-        for j in range(max(0, i - BAND), min(len(q), i + BAND) + 1):
-            score = max(before.get(j, low), now.get(j - 1, low)) - cost
-            if j:
-                score = max(score, before.get(j - 1, low) + (1 if w == q[j - 1] else -cost))
-            now[j] = score
-            if score > top:
-                top, end = score, (i, j)
-        before = now
-    return at + end[0], at + end[1]
+def extended(ends: list[tuple[np.ndarray, np.ndarray]], most: int, cost: int) -> np.ndarray:
+    """Words of x and of y by which two passages go on, for each pair (x, y) of what follows
+    them: the end of the alignment with the most common words, less ``cost`` for each word
+    that is changed, inserted or left out; the last of equal ends without gaps."""
+    out = np.zeros((len(ends), 2), np.int64)
+    if not ends or not most:
+        return out
+    sizes = np.array([(min(len(x), most), min(len(y), most)) for x, y in ends])
+    # Padded: what is beyond an end is like no word.
+    xs, ys = np.full((len(ends), most), -1, np.int64), np.full((len(ends), most), -2, np.int64)
+    for k, (x, y) in enumerate(ends):
+        xs[k, : sizes[k, 0]], ys[k, : sizes[k, 1]] = x[:most], y[:most]
+    place, n = np.arange(most), sizes.min(axis=1)
+    same = xs == ys
+    walk = np.where(same, 1, -cost).cumsum(axis=1)
+    walk[place >= n[:, None]] = -(10**6)
+    best = most - 1 - walk[:, ::-1].argmax(axis=1)
+    at = np.where(walk[np.arange(len(ends)), best] >= 0, best + 1, 0)
+    out[:] = at[:, None]
+    # Words inserted or left out, at least one before each run of common words, pay only if
+    # a run is longer than their cost: rows without such a run in common go no further.
+    run = cost + 1
+    some = np.flatnonzero((same.sum(axis=1) < n) & (n - at >= run))
+    if len(some):
+        grams = []
+        for k, w in enumerate((xs[some], ys[some])):
+            hashes = shingle_hashes(w.ravel().view(np.uint64), run)
+            hashes = np.append(hashes, np.zeros(run - 1, np.uint64)).reshape(w.shape)[:, : most - run + 1]
+            inside = (place[: most - run + 1] >= at[some, None]) & (place[run - 1 :] < sizes[some, k : k + 1])
+            # The last bit says whose it is; what lies outside is like nothing.
+            grams.append(np.where(inside, hashes & ~np.uint64(1) | np.uint64(k), np.uint64(3 * k)))
+        both = np.sort(np.concatenate(grams, axis=1), axis=1)
+        k = some[((both[:, 1:] ^ both[:, :-1]) == 1).any(axis=1)]
+        if len(k):
+            out[k] += _gapped(*(_moved(w[k], at[k], fill) for w, fill in ((xs, -1), (ys, -2))), cost)
+    return out
+
+
+def _moved(words: np.ndarray, by: np.ndarray, fill: int) -> np.ndarray:
+    """Each row of ``words`` from its place ``by`` on, filled up."""
+    at = np.arange(words.shape[1]) + by[:, None]
+    return np.where(at < words.shape[1], np.take_along_axis(words, np.minimum(at, words.shape[1] - 1), 1), fill)
+
+
+def _gapped(p: np.ndarray, q: np.ndarray, cost: int) -> np.ndarray:
+    """The first of the best ends of alignments of the rows of p and q within BAND, for all
+    rows at once. A line of the alignments' tables, with what the words of q up to a place
+    cost added, is a prefix maximum of what comes from the line before. Padding is like no
+    word, so no end beyond a row's words is the first of the best."""
+    width, n = q.shape[1], len(p)
+    p, q = (np.ascontiguousarray(w.T) for w in (p, q))
+    paid = cost * np.arange(width + 1, dtype=np.int32)[:, None]
+    line = np.full((width + 1, n), -(10**6), np.int32)
+    line[: BAND + 1] = 0
+    top, end = np.zeros(n, np.int32), np.zeros((n, 2), np.int64)
+    for i in range(1, width + 1):
+        lo, hi = max(0, i - BAND), min(width, i + BAND) + 1
+        first = max(lo, 1)
+        now = line[lo:hi] - cost
+        pays = (p[i - 1] == q[first - 1 : hi - 1]) * np.int32(cost + 1)
+        np.maximum(now[first - lo :], line[first - 1 : hi - 1] + pays, out=now[first - lo :])
+        line[lo:hi] = np.maximum.accumulate(now, axis=0, out=now)
+        now -= paid[lo:hi]
+        score = now.max(axis=0)
+        better = np.flatnonzero(score > top)
+        if len(better):
+            top[better] = score[better]
+            end[better, 0], end[better, 1] = i, now[:, better].argmax(axis=0) + lo
+    return end
 
 
 def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -593,39 +643,50 @@ def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
 
         yield from to_batches(rows(), names, types, 256)
 
-    def align(key: tuple, rows: list[dict]) -> Iterator[tuple]:
-        sides = {r["side"]: r for r in reversed(rows)}
-        x, y = (np.frombuffer(sides[k]["words"], np.uint32) for k in (0, 1))
-        x_at, y_at = (sides[k]["before"] for k in (0, 1))
-        if sides[1]["chars"] is None:
-            return
-        chars = sides[1]["char_start"] + np.concatenate([[0], np.cumsum(unpacked(sides[1]["chars"]))])
-        found: list[tuple[int, int]] = []
-        for a0, a1, b0, b1 in np.frombuffer(sides[1]["pieces"], np.int32).reshape(-1, 4).tolist():
-            x0, x1, y0, y1 = a0 - x_at, a1 - x_at, b0 - y_at, b1 - y_at
-            if x1 > len(x) or y1 > len(y):  # a range of another text with that id
+    def align(groups: list[tuple[tuple, list[dict]]]) -> Iterator[tuple]:
+        regions, todo = [], []
+        for key, rows in groups:
+            sides = {r["side"]: r for r in reversed(rows)}
+            x, y = (np.frombuffer(sides[k]["words"], np.uint32) for k in (0, 1))
+            x_at, y_at = (sides[k]["before"] for k in (0, 1))
+            if sides[1]["chars"] is None:
                 continue
-            # Ends as far as more words are common than not; if that is too much for the
-            # whole chain, as far as the ends hold IDENTITY themselves.
-            for cost in END_COSTS:
-                left = extended(x[:x0][::-1], y[:y0][::-1], REACH, cost)
-                right = extended(x[x1:], y[y1:], REACH, cost)
+            found: list[tuple[int, int]] = []
+            regions.append((key, sides[1], y_at, found))
+            for a0, a1, b0, b1 in np.frombuffer(sides[1]["pieces"], np.int32).reshape(-1, 4).tolist():
+                x0, x1, y0, y1 = a0 - x_at, a1 - x_at, b0 - y_at, b1 - y_at
+                if x1 <= len(x) and y1 <= len(y):  # else a range of another text with that id
+                    todo.append((x, y, x0, x1, y0, y1, found))
+        # Ends as far as more words are common than not; if that is too much for the
+        # whole chain, as far as the ends hold IDENTITY themselves.
+        for cost in END_COSTS:
+            lefts = extended([(x[:x0][::-1], y[:y0][::-1]) for x, y, x0, _, y0, _, _ in todo], REACH, cost)
+            rights = extended([(x[x1:], y[y1:]) for x, y, _, x1, _, y1, _ in todo], REACH, cost)
+            again = []
+            for piece, left, right in zip(todo, lefts.tolist(), rights.tolist(), strict=True):
+                x, y, x0, x1, y0, y1, found = piece
                 u0, u1, v0, v1 = x0 - left[0], x1 + right[0], y0 - left[1], y1 + right[1]
                 n, m = v1 - v0, u1 - u0
                 if n < MIN_CHAIN:
-                    break
+                    continue
                 if like(x[u0:u1], y[v0:v1], abs(m - n) + MAX_GAP):
                     found.append((v0, v1))
-                    break
-        for v0, v1 in united(found):
-            yield key[1], key[0], v0 + y_at, v1 + y_at, int(chars[2 * v0]), int(chars[2 * v1 - 1])
-
-    return map_groups(
+                else:
+                    again.append(piece)
+            todo = again
+        for key, side, y_at, found in regions:
+            if found:
+                chars = side["char_start"] + np.concatenate([[0], np.cumsum(unpacked(side["chars"]))])
+            for v0, v1 in united(found):
+                yield key[1], key[0], v0 + y_at, v1 + y_at, int(chars[2 * v0]), int(chars[2 * v1 - 1])
+
+    return map_group_lists(
         wanted.mapInArrow(cut, schema),
         ["a", "b", "k"],
         ["side", "words"],
         align,
         "doc_id bigint, other bigint, start int, end int, char_start int, char_end int",
+        REGIONS,
     )
 
 

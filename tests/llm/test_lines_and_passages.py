@@ -343,3 +343,40 @@ def test_seeds_cut_between_tasks_and_other_surroundings_are_matched(spark):
     for shift in (0, 9):
         assert {(a, b, a % 5 + shift, b % 5 + shift) for a in range(600) for b in range(a + 1, 600)} <= got
     assert {b for _, b, at_a, at_b in got if (at_a, at_b) == (3, 3)} >= set(range(1, 300))
+
+
+def test_ends_of_many_passages_at_once():
+    """Each end as a plain table of the alignment finds it, whatever else is aligned with it."""
+    from quarry.llm.passages import BAND, extended
+
+    def plain(x, y, cost):
+        n = min(len(x), len(y))
+        walk, best, at = 0, -1, 0
+        for k in range(n):
+            walk += 1 if x[k] == y[k] else -cost
+            if walk >= max(best, 0):
+                best, at = walk, k + 1
+        x, y, top, end = x[at:], y[at:], 0, (0, 0)
+        table = {(0, j): -cost * j for j in range(min(BAND, len(y)) + 1)}
+        for i in range(1, len(x) + 1):
+            for j in range(max(0, i - BAND), min(len(y), i + BAND) + 1):
+                ways = [table[p] - cost for p in ((i - 1, j), (i, j - 1)) if p in table]
+                if (i - 1, j - 1) in table:
+                    ways.append(table[i - 1, j - 1] + (1 if x[i - 1] == y[j - 1] else -cost))
+                table[i, j] = max(ways)
+                if table[i, j] > top:
+                    top, end = table[i, j], (i, j)
+        return [at + end[0], at + end[1]]
+
+    rng = random.Random(7)
+    ends = [([], []), ([5], []), ([2**32 - 1] * 3, [2**32 - 1] * 3)]
+    for _ in range(150):
+        x = [rng.randrange(rng.choice([3, 40, 2**32])) for _ in range(rng.randrange(36))]
+        y = list(x)
+        for _ in range(rng.randrange(7)):
+            at = rng.randrange(len(y) + 1)
+            y[at : at + rng.randrange(2)] = [rng.randrange(40)] * rng.randrange(3)
+        ends.append((x, y))
+    for cost in (1, 4):
+        found = extended([(np.array(x, np.uint32), np.array(y, np.uint32)) for x, y in ends], 30, cost)
+        assert found.tolist() == [plain(x[:30], y[:30], cost) for x, y in ends]
