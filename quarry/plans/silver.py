@@ -1,8 +1,9 @@
 """Silver layer (M06-M10): conformed dimensions and deduplicated facts.
 
 Inputs are bronze DataFrames; outputs are lazy plans. Flags on the facts are
-computed *before* deduplication, from the row that survives it, so a re-send
-that lands in a later batch can turn an on-time row late.
+those of the row that survives deduplication, so a re-send that lands in a later
+batch can turn an on-time row late. They follow from the row's other columns, which
+alone decide ties: rows are sorted and shuffled without them.
 """
 
 from __future__ import annotations
@@ -47,9 +48,8 @@ def silver_policies(bronze_policies: DataFrame) -> DataFrame:  # M08
     )
 
 
-def normalized_payments(bronze_payments: DataFrame) -> DataFrame:
-    """M09 before dedup: canonical tokens and the five flags."""
-    paid = F.col("paid_date").isNotNull()
+def canonical_payments(bronze_payments: DataFrame) -> DataFrame:
+    """M09 before flags and dedup: canonical tokens."""
     return bronze_payments.select(
         "payment_id",
         "policy_id",
@@ -60,6 +60,14 @@ def normalized_payments(bronze_payments: DataFrame) -> DataFrame:
         token("method").alias("method"),
         "_ingested_at",
         "_batch",
+    )
+
+
+def payment_flags(payments: DataFrame) -> DataFrame:
+    """The five flags (P04-P08) of canonical payments."""
+    paid = F.col("paid_date").isNotNull()
+    return payments.select(
+        "*",
         paid.alias("is_paid"),
         F.when(paid, days_between("due_date", "paid_date")).alias("days_to_pay"),
         (F.col("amount") <= 0).alias("is_invalid_amount"),
@@ -68,13 +76,17 @@ def normalized_payments(bronze_payments: DataFrame) -> DataFrame:
     )
 
 
+def normalized_payments(bronze_payments: DataFrame) -> DataFrame:
+    """M09 before dedup: canonical tokens and the five flags."""
+    return payment_flags(canonical_payments(bronze_payments))
+
+
 def silver_premium_payments(bronze_payments: DataFrame) -> DataFrame:  # M09
-    return keep_latest(normalized_payments(bronze_payments), ["payment_id"], FACT_LATEST_BY)
+    return payment_flags(keep_latest(canonical_payments(bronze_payments), ["payment_id"], FACT_LATEST_BY))
 
 
-def normalized_claims(bronze_claims: DataFrame) -> DataFrame:
-    """M10 before dedup: canonical tokens and four derived columns."""
-    status = token("status")
+def canonical_claims(bronze_claims: DataFrame) -> DataFrame:
+    """M10 before derived columns and dedup: canonical tokens."""
     return bronze_claims.select(
         "claim_id",
         "policy_id",
@@ -84,9 +96,17 @@ def normalized_claims(bronze_claims: DataFrame) -> DataFrame:
         F.col("claim_amount").cast("double").alias("claim_amount"),
         F.col("paid_amount").cast("double").alias("paid_amount"),
         token("currency").alias("currency"),
-        status.alias("status"),
+        token("status").alias("status"),
         "_ingested_at",
         "_batch",
+    )
+
+
+def claim_flags(claims: DataFrame) -> DataFrame:
+    """The four derived columns (P09-P11, P08) of canonical claims."""
+    status = F.col("status")
+    return claims.select(
+        "*",
         (status == PAID_STATUS).alias("is_paid_claim"),
         status.isin(list(ASSESSED_STATUSES)).alias("is_assessed"),
         F.when(
@@ -96,8 +116,13 @@ def normalized_claims(bronze_claims: DataFrame) -> DataFrame:
     )
 
 
+def normalized_claims(bronze_claims: DataFrame) -> DataFrame:
+    """M10 before dedup: canonical tokens and four derived columns."""
+    return claim_flags(canonical_claims(bronze_claims))
+
+
 def silver_claims(bronze_claims: DataFrame) -> DataFrame:  # M10
-    return keep_latest(normalized_claims(bronze_claims), ["claim_id"], FACT_LATEST_BY)
+    return claim_flags(keep_latest(canonical_claims(bronze_claims), ["claim_id"], FACT_LATEST_BY))
 
 
 def normalized_snapshots(bronze_snapshots: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def write_model(df: DataFrame, path: str) -> str:
     if name in CONTRACTS:
         enforce(df, CONTRACTS[name], name)
     out = df.coalesce(1) if name in SINGLE_FILE else df
-    out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 

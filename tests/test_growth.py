@@ -107,3 +107,27 @@ def test_a_kept_check_deals_stored_keys(spark, monkeypatch):
     monkeypatch.setattr(KeyIndex, "add", seen)
     assert queries.all_queries()["k_unique_kept"](spark, SF_SMALL).filter("violations <> 0").count() == 0
     assert len(plans) == 4 * queries.KEPT_BATCHES and not any("Window" in p for p in plans)
+
+
+def test_facts_are_sorted_and_shuffled_without_their_flags(spark):
+    """What follows from a fact's other columns is computed for the rows that stay."""
+    from quarry.plans.layers import from_driver_tables
+
+    s = from_driver_tables(spark, "/root/testdata/sf0.001").silver
+    flags = {"payment": ("is_paid", "is_late_arrival", "days_to_pay"), "claim": ("is_assessed", "is_late_arrival")}
+    for name, df in (("payment", s["silver_premium_payments"]), ("claim", s["silver_claims"])):
+        assert set(flags[name]) <= set(df.columns)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        moved = plan[plan.index(f"Exchange hashpartitioning({name}_id") :]
+        assert not [c for c in flags[name] if c in moved]
+
+
+def test_a_build_writes_its_tables_compressed_for_size(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from quarry.plans.warehouse import write_model
+
+    path = write_model(spark.range(1000).selectExpr("id", "cast(id as string) as s"), f"{tmp_path}/model")
+    file = next(tmp_path.glob("model/part-*"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert spark.read.parquet(path).count() == 1000
