@@ -35,7 +35,7 @@ from quarry.llm.common import arrow_types, rows_of, table, to_batches, worker_st
 
 #: Fixed value: how byte-level BPE splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_ENTRIES = 180_000
+CACHE_ENTRIES = 100_000
 
 
 def byte_symbols() -> list[str]:

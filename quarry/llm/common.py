@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -126,6 +127,8 @@ def worker_state(key: str, make: Callable[[], object]) -> object:
     """
     if key not in _STATE:
         _STATE.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _STATE[key] = make()
     return _STATE[key]
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -125,3 +126,16 @@ def test_token_counts_against_greedy_cut(spark):
     assert count_tokens(empty(spark)).count() == 0
     few = count_tokens(spark.createDataFrame([(1, "ab xb")], "doc_id int, text string"), [b" ", b"a", b"b"]).first()
     assert tuple(few) == (1, 2, 4, 3)  # " ", a, b; x is unknown
+
+
+def test_a_workers_cache_of_rare_words_stays_small():
+    """Several workers of an executor keep one: it may hold 100 MB at most, however many words there are."""
+    codec = BpeCodec(tokenizer_file())
+    tracemalloc.start()
+    try:
+        for k in range(2 * bpe.CACHE_ENTRIES):
+            codec.runs[f" {k:x}"]
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 100e6
