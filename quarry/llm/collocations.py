@@ -2,31 +2,37 @@
 
 Texts are cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and pieces into words ``[^\\x20\\x09]+``,
 with A-Z in lower case; everything is counted per language. Phrases of 2 to LONGEST words
-that occur LEAST times or more are found in five passes over the whole texts:
+that occur LEAST times or more are found from one pass over the whole texts, which numbers
+the words of each slice of text, and five passes over these numbers (``encoded``):
 
-1. Words are counted by a hash of KEY_BITS bits, which can only count too much: a slice
-   of text sends sorted arrays of hashes and counts, cut into ranges that are merged one
-   by one. Hashes that reach LEAST are marked in a bitmap of fixed size.
+1. Words are counted by a hash of LOW_BITS bits and those of its range, which can only count
+   too much: a slice sends sorted arrays of hashes and counts, cut into ranges that are
+   merged one by one. Hashes that reach LEAST are marked in a bitmap of fixed size.
 2. Pairs of neighbours that are both marked are counted likewise.
 3. So are runs of 3 to LONGEST words whose pairs are all marked. A phrase can't occur more
    often than a part of it, so no frequent one is missed (Apriori); a wrong mark only lets
    another run through.
 4. Candidates are the words and runs whose hashes reached LEAST, and whose parts did; a
    pass collects their names.
-5. They are laid out as double-array tries of at most SHARD phrases and broadcast. numpy
-   advances the states of all positions of a slice at once, one word deeper per level, and
-   bincounts the states that accept; the counts of all slices are summed. All counts of
-   the result are those of the tries, exact whatever the hashes did.
+5. They are laid out as double-array tries of about SHARD phrases at most and broadcast.
+   Languages and first words are advanced once for each word of a slice; then numpy
+   advances the states of all positions where a phrase goes on at once, one word deeper per
+   level, and bincounts the states that accept; the counts of all slices are summed. All
+   counts of the result are those of the tries, exact whatever the hashes did.
+
+A slice numbers its words by a hash and compares all of them with the bytes of the word of
+their number; if some differ, it numbers its words by their bytes.
 
 Phrases of one word and more are then joined with the counts of their parts for the
 scores, and with the longer phrases that contain them.
 
-Memory: a task holds slices of at most SLICE positions (one text cut at its separators),
-a bitmap or a trie with one counter per phrase, or one range of hashes, whose number grows
-with the texts. The driver holds one bitmap (BITMAP bits) or the bytes of one trie at a
-time; neither grows with the input. More than SHARD candidates are counted in several passes. Beyond
-that, bitmaps fill up with the number of frequent words: they then prune less, and more
-is shuffled and tried, but nothing is lost.
+Memory: a task holds a slice of about SLICE_BYTES (one text cut at its separators), a bitmap
+and a trie with one counter per phrase, or one range of hashes, whose number grows with the
+texts. The driver holds one bitmap (BITMAP bits) or the packed bytes of one trie at a time;
+neither grows with the input. More than SHARD candidates are counted in several passes over
+the numbers; phrases that begin with the same word are in the same trie, so that a place is
+followed in one of them. Beyond that, bitmaps fill up with the number of frequent words:
+they then prune less, and more is shuffled and tried, but nothing is lost.
 
 Two candidates with the same 64-bit hash within one task would be taken for one in pass
 4, at a chance of about candidates^2 / 2^65.
@@ -41,8 +47,8 @@ phrase give no rows; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import pickle
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -51,19 +57,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import checkpointed, table, worker_state
-from quarry.llm.shingles import WordHashes, mixed
+from quarry.llm.shingles import hashes_between, mixed, word_bounds
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 PERCENT = 100  # of a phrase's occurrences in a longer one, for it to be dropped
 UNKNOWN_LANG = "und"
-SLICE = 1 << 21  # positions that a task works on at once
+SLICE = 1 << 21  # positions of a task, a quarter of those of a range
+SLICE_BYTES = 1 << 23  # of text that a task works on at once
+COMPARED = 1 << 14  # words compared with others at once
 SHARD = 500_000  # phrases of one trie
+SHARE = 8  # one first word's phrases stay together up to this part of a shard
 BITMAP = 1 << 27  # bits
 BLOCK = 32768  # bits of one row of a bitmap
-KEY_BITS = 40  # of the hash that pairs are counted by
-RANGES = 256  # of these hashes, at least; more for more text
+LOW_BITS = 24  # of the hashes of one range
+RANGES = 256  # of the hashes that runs are counted by, at least; more for more text
 COUNTERS = 4096  # of a trie in one row
 FEW_LANGS = 1000  # languages whose totals are broadcast
 
@@ -77,18 +86,28 @@ FOLD = bytes(
 PART = 1 << 22
 
 
-def words_of(text: str | None) -> Iterator[list[bytes]]:
-    """The words of a text in order, with _STOP after each piece; a long text part by part."""
+def parts_of(text: str | None) -> Iterator[bytes]:
+    """The bytes of a text, folded, with _STOP at the end; a long text part by part."""
     data = (text or "").encode("utf-8", "replace").translate(FOLD)
     at = 0
     while at < len(data):
         end = data.find(_STOP, at + PART)
         end = len(data) if end < 0 else end
-        # Only spaces are left as white space; the split leaves other bytes alone.
-        yield [w for w in (data[at:end] + _STOP).replace(_STOP, b" . ").split(b" ") if w]
+        yield data[at:end] + _STOP
         at = end
 
 
+def words_in(part: bytes) -> list[bytes]:
+    """The words of a part in order, with _STOP after each piece."""
+    # Only spaces are left as white space; the split leaves other bytes alone.
+    return [w for w in part.replace(_STOP, b" . ").split(b" ") if w]
+
+
+def words_of(text: str | None) -> Iterator[list[bytes]]:
+    """The words of a text in order, with _STOP after each piece; a long text part by part."""
+    return map(words_in, parts_of(text))
+
+
 # ------------------------------------------------------------------ slices of text
 def texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG))
@@ -96,42 +115,153 @@ def texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], encode: Callable, dtype, size: int
-) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """(codes, number of the language, languages) of slices of text; ``encode(words)`` gives codes.
+    batches: Iterator[pa.RecordBatch], size: int
+) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, list[str]]]:
+    """(parts of texts, end of each part, number of its language, languages), ``size`` bytes or more at once."""
+    parts, langs, names, held = [], [], {}, 0
+
+    def joined() -> tuple[bytes, np.ndarray, np.ndarray, list[str]]:
+        return b"".join(parts), np.cumsum([len(p) for p in parts]), np.array(langs, np.int32), list(names)
 
-    The code of _STOP ends every piece, so that no phrase spans two of them.
-    """
-    codes, langs, names, held = [], [], {}, 0
     for batch in batches:
         for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
-            for words in words_of(text.as_py()):
-                number = names.setdefault(lang.as_py(), len(names))
-                codes.append(np.fromiter(encode(words), dtype, len(words)))
-                langs.append(np.full(len(words), number, np.int32))
-                held += len(words)
+            for part in parts_of(text.as_py()):
+                parts.append(part)
+                langs.append(names.setdefault(lang.as_py(), len(names)))
+                held += len(part)
                 if held >= size:
-                    yield np.concatenate(codes), np.concatenate(langs), list(names)
-                    codes, langs, names, held = [], [], {}, 0
+                    yield joined()
+                    parts, langs, names, held = [], [], {}, 0
     if held:
-        yield np.concatenate(codes), np.concatenate(langs), list(names)
-
-
-def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    hashes = worker_state("collocations", WordHashes)
-    yield from slices(batches, lambda words: map(hashes.__getitem__, words), np.uint64, SLICE)
+        yield joined()
 
 
 def lang_seed(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(b"lang " + lang.encode())
 
 
-def keyed(codes: list[np.ndarray], langs: np.ndarray, names: list[str]) -> np.ndarray:
-    """A 64-bit hash of a run of words (hash of the 1st, 2nd, ... word) in its language."""
-    key = np.array([lang_seed(name) for name in names], np.uint64)[langs]
-    for word in codes:
-        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + word)
-    return key
+def followed(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit hashes of what ``key`` are the hashes of, followed by ``word``."""
+    return mixed(key * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def alike(data: bytes, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each word of ``data`` has the bytes of word ``other``."""
+    chars, size, shift = np.frombuffer(data, np.uint8), ends - starts, starts[other] - starts
+    if (size != size[other]).any():
+        return False
+    for lo in range(0, len(starts), COMPARED):
+        here = slice(lo, lo + COMPARED)
+        first, last = int(starts[here][0]), int(ends[here][-1])
+        at = np.arange(first, last) + np.repeat(shift[here], np.diff(np.append(starts[here], last)))
+        own = chars[first:last]
+        # Separators are counted with the word before them, but not compared.
+        if ((chars.take(at, mode="clip") != own) & (own != 0x20) & (own != 0x0A)).any():
+            return False
+    return True
+
+
+def numbered(data: bytes, starts: np.ndarray, ends: np.ndarray, lang: np.ndarray, key: np.ndarray):
+    """(number of each word's language and bytes, from 0 by falling frequency; a place of each number)."""
+    # The upper bits of the hashes, sorted with the words' places below them.
+    low = np.uint64(len(key).bit_length())
+    order = (key >> low << low) | np.arange(len(key), dtype=np.uint64)
+    order.sort()
+    new = np.append(True, (order[1:] ^ order[:-1]) >> low != 0)
+    order = (order & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    one, group = order[new], np.empty(len(key), np.int32)
+    group[order] = np.cumsum(new) - 1
+    if (lang[one[group]] != lang).any() or not alike(data, starts, ends, one[group]):
+        # Some words share these bits: each is looked up by its bytes.
+        words = [w for w in words_in(data.replace(b"\n", _STOP)) if w != _STOP]
+        known: dict[tuple[int, bytes], int] = {}
+        pairs = zip(lang.tolist(), words, strict=True)
+        group = np.fromiter((known.setdefault(p, len(known)) for p in pairs), np.int32, len(key))
+        one = np.unique(group, return_index=True)[1]
+    by = np.argsort(-np.bincount(group), kind="stable")
+    rank = np.empty(len(by), np.int32)
+    rank[by] = np.arange(len(by))
+    return rank[group], one[by]
+
+
+ENCODED = (
+    "words long, distinct long, spelled long, codes binary, names binary, keys binary, f binary, lang binary, langs array<string>"
+)
+_COLUMNS = [column.split()[0] for column in ENCODED.split(", ")]
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per slice of text, whose words are numbered from 1 by their language and bytes.
+
+    ``codes``: the words' numbers in order, with 0 after each piece, so that no phrase spans
+    two of them; ``names``, ``keys``, ``f``, ``lang``: each number's bytes (joined with line
+    feeds), 64-bit hash with the language, occurrences and place in ``langs``. ``words``,
+    ``distinct`` and ``spelled`` are how many codes, numbers and bytes of names there are.
+    """
+    for data, ends_of, langs, names in slices(batches, SLICE_BYTES):
+        data = data.replace(_STOP, b"\n")
+        chars = np.frombuffer(data, np.uint8)
+        bounds = word_bounds(chars)
+        starts, ends = bounds[::2], bounds[1::2]
+        if not len(starts):
+            continue
+        lang = langs[np.searchsorted(ends_of, starts, side="right")]
+        seeds = np.array([lang_seed(name) for name in names], np.uint64)
+        key = followed(seeds[lang], hashes_between(data, starts, ends))
+        number, one = numbered(data, starts, ends, lang, key)
+        spelled = b"\n".join([data[i:j] for i, j in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
+        # Words before which a piece ends, and the end.
+        stop = np.zeros(len(starts) + 1, bool)
+        stop[np.searchsorted(starts, np.flatnonzero(chars == 0x0A))] = True
+        codes = np.zeros(len(starts) + int(stop.sum()), np.int32)
+        codes[np.arange(len(starts)) + np.cumsum(stop[:-1])] = number + 1
+        blobs = [
+            squeezed(codes),
+            _ZSTD.compress(spelled, asbytes=True),
+            key[one].tobytes(),
+            squeezed(np.bincount(number).astype(np.int32)),
+            squeezed(lang[one]),
+        ]
+        sizes = [pa.array([n]) for n in (len(codes), len(one), len(spelled))]
+        columns = [*sizes, *(pa.array([b], pa.binary()) for b in blobs), pa.array([names], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, names=_COLUMNS)
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """32-bit values, compressed: all their first bytes, then all their second bytes, ..."""
+    return _ZSTD.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4).T), asbytes=True)
+
+
+def unsqueezed(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(_ZSTD.decompress(blob, n * 4), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
+def codes_of(row: dict) -> np.ndarray:
+    return unsqueezed(row["codes"], row["words"])
+
+
+def among(key: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``key`` are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(key), bool)
+    return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+
+
+def names_of(row: dict, which: np.ndarray) -> list[bytes]:
+    """The bytes of the numbers ``which``, from 0."""
+    names = _ZSTD.decompress(row["names"], row["spelled"], asbytes=True)
+    ends = np.append(np.flatnonzero(np.frombuffer(names, np.uint8) == 0x0A), len(names))
+    starts = np.append(0, ends[:-1] + 1)
+    return [names[i:j] for i, j in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]
+
+
+def rows_in(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Encoded slices, one in memory as Python objects at a time."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
 
 
 # ------------------------------------------------------------------ bitmaps
@@ -154,71 +284,80 @@ def bitmap_of(rows: DataFrame, bits: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ candidates
 def runs(
-    codes: np.ndarray, langs: np.ndarray, languages: list[str], bits: np.ndarray | None, known: int, longest: int
+    codes: np.ndarray, keys: np.ndarray, bits: np.ndarray, known: int, longest: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(k, places, keys) of the runs of ``known`` + 1 to ``longest`` words of one piece whose
-    parts of ``known`` words are all marked; single words if ``known`` is 0."""
-    alone = codes != np.uint64(xxhash.xxh3_64_intdigest(_STOP))
-    whole = [alone]  # whether a run of k words begins at a place
-    for k in range(2, known + 2):
-        whole.append(np.append(whole[-1][:-1] & whole[-1][1:] & (langs[:-1] == langs[1:]), False)[: len(codes)])
-    at = np.flatnonzero(whole[max(known - 1, 0)])
-    if known:
-        ok = np.zeros(len(codes), bool)
-        ok[at] = marked(keyed([codes[at + j] for j in range(known)], langs[at], languages), bits)
-        at = at[ok[at]]
-    for k in range(known + 1, longest + 1):
-        if known:
-            # The part that begins k - known words later; it ends the run inside the piece.
-            inside = at[at + k - known < len(codes)]
-            at = inside[ok[inside + k - known]]
-        if known == 1:
-            at = at[whole[1][at + k - 2]]
-        yield k, at, keyed([codes[at + j] for j in range(k)], langs[at], languages)
-
-
-def often_keys(docs: DataFrame, bitmap, known: int, longest: int, least: int, ranges: int) -> DataFrame:
-    """(key) of the runs whose hash, cut to KEY_BITS bits, is met ``least`` times or more.
-
-    Slices send one row per range of hashes: the hashes' lower bits and the counts. A
-    range is merged by one task.
+    """(k, places, keys) of the runs of 2 to ``longest`` words of one piece: those of up to
+    ``known`` words that are marked, as their parts are; longer ones whose parts of ``known``
+    words are all marked. ``keys``: of the codes 1 and up. A 0 ends ``codes``."""
+    keys = np.append(np.uint64(0), keys)
+    ok = np.append(False, marked(keys[1:], bits))[codes]
+    at = np.flatnonzero(ok)
+    key = keys[codes[at]]
+    for k in range(2, longest + 1):
+        # The part that begins as much later as to end the run; it lies inside the piece.
+        on = ok[at + (k - min(k - 1, known))]
+        at = at[on]
+        key = followed(key[on], keys[codes[at + (k - 1)]])
+        if k <= known:
+            hit = marked(key, bits)
+            at, key = at[hit], key[hit]
+            ok = np.zeros(len(codes), bool)
+            ok[at] = True
+        yield k, at, key
+
+
+def often_keys(encoded: DataFrame, bitmap, known: int, longest: int, least: int, ranges: int) -> DataFrame:
+    """(key) of the runs of ``known`` + 1 to ``longest`` words (of the words if ``known`` is 0)
+    whose hash, cut to the bits of a range and LOW_BITS, is met ``least`` times or more.
+
+    Slices send one row per range of hashes: the hashes' lower bits, byte by byte, and the
+    counts. A range is merged by one task.
     """
-    low_bits = np.uint64(KEY_BITS - (ranges.bit_length() - 1))
+    low_bits = np.uint64(LOW_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value if bitmap is not None else None
-        for codes, langs, languages in hashed(batches):
-            keys = [key for _, _, key in runs(codes, langs, languages, bits, known, longest)]
-            key = np.concatenate(keys) & np.uint64((1 << KEY_BITS) - 1)
+        for row in rows_in(batches):
+            key = np.frombuffer(row["keys"], np.uint64)
+            if known:
+                found = runs(codes_of(row), key, bitmap.value, known, longest)
+                key = np.concatenate([key for k, _, key in found if k > known])
+            key = key & np.uint64((ranges << LOW_BITS) - 1)
             if not len(key):
                 continue
-            key, f = np.unique(key, return_counts=True)
+            if known:
+                key, f = np.unique(key, return_counts=True)
+            else:
+                order = np.argsort(key)
+                key, f = key[order], unsqueezed(row["f"], row["distinct"])[order]
             # Counts of more than a byte holds are sent in parts.
-            full, rest = (f - 1) // 255, (f - 1) % 255 + 1
-            key, f = np.append(key, np.repeat(key, full)), np.append(rest, np.full(int(full.sum()), 255))
-            order = np.argsort(key, kind="stable")
-            key, f = key[order], f[order].astype(np.uint8)
+            parts = (f - 1) // 255 + 1
+            key, part = np.repeat(key, parts), np.full(int(parts.sum()), 255, np.uint8)
+            part[np.cumsum(parts) - 1] = (f - 1) % 255 + 1
             which = (key >> low_bits).astype(np.int32)
             cuts = np.flatnonzero(np.diff(which, prepend=-1))
-            low = (key & np.uint64((1 << int(low_bits)) - 1)).astype(np.uint32)
+            low = np.ascontiguousarray(key.astype(np.uint32).view(np.uint8).reshape(-1, 4).T[:3])
             ends = np.append(cuts[1:], len(key))
             columns = [
                 pa.array(which[cuts]),
-                pa.array([low[i:j].tobytes() for i, j in zip(cuts, ends, strict=True)], pa.binary()),
-                pa.array([f[i:j].tobytes() for i, j in zip(cuts, ends, strict=True)], pa.binary()),
+                pa.array([low[:, i:j].tobytes() for i, j in zip(cuts, ends, strict=True)], pa.binary()),
+                pa.array([part[i:j].tobytes() for i, j in zip(cuts, ends, strict=True)], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["range", "low", "f"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for which, group in grouped(batches):
-            low = np.concatenate([np.frombuffer(x, np.uint32) for x, _ in group])
-            f = np.concatenate([np.frombuffer(x, np.uint8) for _, x in group])
-            low, place = np.unique(low, return_inverse=True)
-            often = np.bincount(place, f) >= least
+            # Sorted with their counts in the lowest byte.
+            low = np.concatenate([np.frombuffer(f + x, np.uint8).reshape(4, -1) for x, f in group], axis=1)
+            low = np.ascontiguousarray(low.T).view(np.uint32).ravel()
+            low.sort()
+            f, low = (low & np.uint32(255)).astype(np.int64), low >> np.uint32(8)
+            first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+            often = first[np.add.reduceat(f, first) >= least]
             key = (np.uint64(which) << low_bits) + low[often].astype(np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64))], names=["key"])
 
-    dealt = docs.mapInArrow(count, "range int, low binary, f binary").repartition("range")
+    columns = ["words", "codes", "keys"] if known else ["distinct", "keys", "f"]
+    dealt = encoded.select(columns).mapInArrow(count, "range int, low binary, f binary").repartition("range")
     return dealt.sortWithinPartitions("range").mapInArrow(merge, "key long")
 
 
@@ -236,7 +375,7 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[tu
         yield now, held
 
 
-def named(docs: DataFrame, bitmap, longest: int, ranges: int) -> DataFrame:
+def named(encoded: DataFrame, bitmap, longest: int, ranges: int) -> DataFrame:
     """(lang, phrase) of the runs of 1 to ``longest`` words that are marked, as all their parts
     are, and for each language the phrase of no words.
 
@@ -244,46 +383,47 @@ def named(docs: DataFrame, bitmap, longest: int, ranges: int) -> DataFrame:
     """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, hashes = bitmap.value, worker_state("collocations", WordHashes)
-        sent: dict[tuple[int, str], list[bytes]] = {}
-        seen: set[int] = set()
+        languages: dict[str, int] = {}
+        seen, phrases, places = np.array([], np.uint64), [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if sent:
-                columns = [pa.array([r for r, _ in sent], pa.int32()), pa.array([lang for _, lang in sent], pa.string())]
-                columns.append(pa.array([b"\n".join(found) for found in sent.values()], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["range", "lang", "phrases"])
-            sent.clear()
-            seen.clear()
-
-        every: list[bytes] = []
-
-        def encode(words: list[bytes]):
-            every.extend(words)
-            return map(hashes.__getitem__, words)
-
-        for codes, langs, languages in slices(batches, encode, np.uint64, SLICE // 4):  # words are held, too
+            """A list of phrases for each place: number of the language * ranges + range."""
+            phrases.extend([b""] * len(languages))
+            where = np.concatenate([*places, np.arange(len(languages)) * ranges])
+            order = np.argsort(where, kind="stable")
+            where, spelled, langs = where[order], [phrases[i] for i in order.tolist()], list(languages)
+            cuts = np.flatnonzero(np.diff(where, prepend=-1)).tolist()
+            lists = [b"\n".join(spelled[i:j]) for i, j in zip(cuts, [*cuts[1:], len(where)], strict=True)]
+            of, which = np.divmod(where[cuts], ranges)
+            columns = [pa.array(which, pa.int32()), pa.array([langs[i] for i in of], pa.string()), pa.array(lists, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["range", "lang", "phrases"])
+
+        for row in rows_in(batches):
+            codes, keys = codes_of(row), np.frombuffer(row["keys"], np.uint64)
+            number = np.array([languages.setdefault(name, len(languages)) for name in row["langs"]])
+            lang = number[unsqueezed(row["lang"], row["distinct"])]
+            alone = np.flatnonzero(marked(keys, bitmap.value))
+            words, place = names_of(row, alone), np.zeros(len(keys), np.int64)
+            place[alone] = np.arange(len(alone))
+            # A place of each phrase of the slice.
+            found = [(keys[alone], [alone])]
+            for k, at, key in runs(codes, keys, bitmap.value, longest, longest):
+                order = np.argsort(key)
+                order = order[np.append(True, np.diff(key[order]) != 0)[: len(order)]]
+                found.append((key[order], [codes[at[order] + j] - 1 for j in range(k)]))
+            added = []
+            for key, parts in found:
+                new = np.flatnonzero(~among(key, seen))
+                columns = [[words[i] for i in place[part[new]].tolist()] for part in parts]
+                phrases.extend(map(b" ".join, zip(*columns, strict=True)))
+                places.append(lang[parts[0][new]] * ranges + (key[new] % np.uint64(ranges)).astype(np.int64))
+                added.append(key[new])
+            seen = np.sort(np.concatenate([seen, *added]))
             if len(seen) > SLICE // 4:
                 yield from flush()
-            stop = np.uint64(xxhash.xxh3_64_intdigest(_STOP))
-            at, ok = np.flatnonzero(codes != stop), None
-            for k in range(1, longest + 1):
-                if ok is not None:  # both parts of k - 1 words are marked
-                    at = np.flatnonzero(ok[:-1] & ok[1:] & (langs[:-1] == langs[1:]))
-                key = keyed([codes[at + j] for j in range(k)], langs[at], languages)
-                hit = marked(key, bits)
-                at, key = at[hit], key[hit]
-                ok = np.zeros(len(codes), bool)
-                ok[at] = True
-                key, first = np.unique(key, return_index=True)
-                for h, p in zip(key.tolist(), at[first].tolist(), strict=True):
-                    if h not in seen:
-                        seen.add(h)
-                        sent.setdefault((h % ranges, languages[langs[p]]), []).append(b" ".join(every[p : p + k]))
-            for lang in languages:
-                sent.setdefault((0, lang), []).append(b"")
-            every.clear()
-        yield from flush()
+                seen, phrases, places = seen[:0], [], []
+        if languages:
+            yield from flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in grouped(batches):
@@ -294,7 +434,8 @@ def named(docs: DataFrame, bitmap, longest: int, ranges: int) -> DataFrame:
                 names = pa.array([p.decode() for p in sorted(phrases)], pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), names], names=["lang", "phrase"])
 
-    dealt = docs.mapInArrow(name, "range int, lang string, phrases binary").repartition("range")
+    columns = encoded.drop("f")
+    dealt = columns.mapInArrow(name, "range int, lang string, phrases binary").repartition("range")
     return dealt.sortWithinPartitions("range").mapInArrow(merge, "lang string, phrase string")
 
 
@@ -410,7 +551,7 @@ class PhraseTrie:
         code = np.empty(len(known), np.int32)
         code[np.argsort(-np.bincount(flat, minlength=len(known)), kind="stable")] = np.arange(len(known))
         code += len(self.langs) + 1
-        self.codes = {w.encode(): int(code[k]) for w, k in known.items()} | {_STOP: -1}
+        self.codes = {w.encode(): int(code[k]) for w, k in known.items()}
         self.n, self.longest = len(phrases), int(sizes.max(initial=0))
         sequences = np.zeros((self.n, 1 + self.longest), np.int32)
         sequences[:, 0] = [self.langs[lang] for lang in langs]
@@ -418,58 +559,104 @@ class PhraseTrie:
         sequences[row, 1 + np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = code[flat]
         self.trie = DoubleArray(sequences)
 
-    def count(self, batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        """How often each phrase occurs; that of no words as often as its language has words."""
-        states_n, code = len(self.trie.accepts), self.codes.get
+    def count(self, batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> np.ndarray:
+        """How often each phrase occurs in encoded slices; that of no words as often as its
+        language has words. Words that are in phrases are marked in ``bits``."""
+        trie, states_n = self.trie, len(self.trie.accepts)
         counts = np.zeros(states_n, np.int64)
-        for codes, langs, names in slices(batches, lambda words: [code(w, 0) for w in words], np.int32, SLICE):
-            lang = np.array([self.langs.get(name, 0) for name in names], np.int32)[langs]
-            at = np.flatnonzero(codes >= 0)  # words, known or not
-            states, alive = self.trie.advance(np.zeros(len(at), np.int32), lang[at])
+        inner = np.zeros(states_n, bool)  # states that others follow
+        inner[trie.check[trie.check >= 0]] = True
+        for row in rows_in(batches):
+            # Languages and first words are advanced once for all occurrences of a word.
+            f = unsqueezed(row["f"], row["distinct"])
+            lang = np.array([self.langs.get(name, 0) for name in row["langs"]], np.int32)
+            lang = lang[unsqueezed(row["lang"], row["distinct"])]
+            states, at = trie.advance(np.zeros(len(lang), np.int32), lang)
+            counts += np.bincount(states, f[at], states_n).astype(np.int64)  # whole below 2^53
+            # Words of candidates are marked.
+            alone = np.flatnonzero(marked(np.frombuffer(row["keys"], np.uint64), bits))
+            code = np.zeros(len(lang) + 1, np.int32)
+            code[1 + alone] = [self.codes.get(w, 0) for w in names_of(row, alone)]
+            states, alive = trie.advance(states, code[1 + at])
             at = at[alive]
-            counts += np.bincount(states, minlength=states_n)
-            for _ in range(self.longest):
-                inside = at < len(codes)
-                at, states = at[inside], states[inside]
-                states, alive = self.trie.advance(states, codes[at])
-                at = at[alive] + 1
-                counts += np.bincount(states, minlength=states_n)
+            counts[states] += f[at]  # no state twice
+            first = np.zeros(len(code), np.int32)
+            first[1 + at] = np.where(inner[states], states, 0)  # the root is no word's state
+            codes = codes_of(row)
+            states = first[codes]
+            at = np.flatnonzero(states)
+            states, met = states[at], []
+            while len(at):
+                # The words of a run lie inside a piece, which a 0 ends.
+                at = at + 1
+                states, alive = trie.advance(states, code[codes[at]])
+                met.append(states)
+                on = inner[states]
+                at, states = at[alive[on]], states[on]
+            if met:
+                counts += np.bincount(np.concatenate(met), minlength=states_n)
         out = np.zeros(self.n, np.int64)
-        accepting = self.trie.accepts >= 0
-        out[self.trie.accepts[accepting]] = counts[accepting]
+        accepting = trie.accepts >= 0
+        out[trie.accepts[accepting]] = counts[accepting]
         return out
 
 
+def packed(value: object) -> bytes:
+    """Pickled and compressed, behind its size."""
+    data = pickle.dumps(value)
+    return len(data).to_bytes(8) + _ZSTD.compress(data, asbytes=True)
+
+
+def unpacked(blob: bytes) -> object:
+    return pickle.loads(_ZSTD.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8])))
+
+
 def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row: the pickled trie of all phrases (lang, phrase), and the phrases in its order."""
+    """One row: the packed trie of all phrases (lang, phrase), and the phrases in its order."""
     langs, phrases = [], []
     for batch in batches:
         langs += batch.column("lang").to_pylist()
         phrases += batch.column("phrase").to_pylist()
     if phrases:
-        blobs = [pickle.dumps(PhraseTrie(langs, phrases)), pickle.dumps((langs, phrases))]
+        blobs = [packed(PhraseTrie(langs, phrases)), packed((langs, phrases))]
         yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], names=["trie", "names"])
 
 
-def trie_counts(docs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame:
+def sharded(candidates: DataFrame, shards: int, shard: int) -> DataFrame:
+    """``candidates`` (lang, phrase) with the number of their shard.
+
+    Phrases that begin with the same word share one, so that a place of the texts is
+    followed in one trie; if there are very many of them, they are dealt over all.
+    """
+    first = F.substring_index("phrase", " ", 1)
+    candidates = candidates.withColumn("first", first)
+    many = candidates.groupBy("lang", "first").count().filter(F.col("count") > shard // SHARE).drop("count")
+    dealt = candidates.join(F.broadcast(many.withColumn("many", F.lit(True))), ["lang", "first"], "left")
+    by = F.when(F.col("many"), F.col("phrase")).otherwise(F.col("first"))
+    return dealt.select("lang", "phrase", F.pmod(F.xxhash64("lang", by), F.lit(shards)).alias("shard"))
+
+
+def trie_counts(encoded: DataFrame, bitmap, candidates: DataFrame, shard: int) -> DataFrame:
     """(lang, phrase, f) of ``candidates`` (lang, phrase), a shard of them at a time.
 
     A shard's trie is built by one task, which is bounded by the shard, and broadcast; the
     driver only passes its bytes on.
     """
-    spark, out = docs.sparkSession, None
+    spark, out = encoded.sparkSession, None
     shards = -(-candidates.count() // shard)
     if shards > 1:
         shards += 1 + shards // 4  # so that no shard gets much more than its share
+        candidates = checkpointed(sharded(candidates, shards, shard))
     for k in range(shards):
-        part = candidates.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)) == k)
+        part = candidates.filter(F.col("shard") == k).drop("shard") if shards > 1 else candidates
         row = part.coalesce(1).mapInArrow(built, "trie binary, names binary").first()
         if row is None:
             continue
         trie, names = (spark.sparkContext.broadcast(bytes(blob)) for blob in row)
+        del row
 
-        def count(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
-            f = pickle.loads(trie.value).count(batches)
+        def count(batches: Iterator[pa.RecordBatch], trie=trie, key=f"collocations {uuid4()}") -> Iterator[pa.RecordBatch]:
+            f = worker_state(key, lambda: unpacked(trie.value)).count(batches, bitmap.value)
             blocks = [(at, f[at : at + COUNTERS]) for at in range(0, len(f), COUNTERS)]
             blocks = [(at, part.tobytes()) for at, part in blocks if part.any()]
             if blocks:
@@ -480,13 +667,13 @@ def trie_counts(docs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame
             langs, phrases = None, None
             for first, group in grouped(batches):
                 if langs is None:
-                    langs, phrases = pickle.loads(names.value)
+                    langs, phrases = unpacked(names.value)
                 total = sum(np.frombuffer(counts, np.int64) for (counts,) in group)
                 hit = np.flatnonzero(total)
                 columns = [pa.array([of[first + i] for i in hit.tolist()], pa.string()) for of in (langs, phrases)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(total[hit])], names=["lang", "phrase", "f"])
 
-        counted = docs.mapInArrow(count, "first long, counts binary").repartition("first")
+        counted = encoded.mapInArrow(count, "first long, counts binary").repartition("first")
         found = counted.sortWithinPartitions("first").mapInArrow(add, "lang string, phrase string, f long")
         found = checkpointed(found)
         out = found if out is None else out.unionByName(found)
@@ -536,22 +723,23 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, phrase, a) of phrases, (lang, word, f) of frequent words, (lang, n) of all words."""
     spark = docs.sparkSession
-    # A word and its separator are two bytes at least: a range holds at most 4 * SLICE positions.
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    kept = checkpointed(docs.mapInArrow(encoded, ENCODED))
+    # A range holds at most 4 * SLICE positions.
+    size = kept.agg(F.sum("words")).first()[0] or 0
     ranges = RANGES
-    while ranges * SLICE * 8 < size:
+    while ranges * SLICE * 4 < size:
         ranges *= 2
 
     def mark(keys: DataFrame):
         return spark.sparkContext.broadcast(bitmap_of(keys, bits))
 
-    often = checkpointed(often_keys(docs, None, 0, 1, least, ranges))
-    pairs = checkpointed(often_keys(docs, mark(often), 1, 2, least, ranges))
-    often = often.unionByName(pairs)
+    often = checkpointed(often_keys(kept, None, 0, 1, least, ranges))
+    often = often.unionByName(checkpointed(often_keys(kept, mark(often), 1, 2, least, ranges)))
     if longest > 2:
-        often = often.unionByName(often_keys(docs, mark(pairs), 2, longest, least, ranges))
-    candidates = checkpointed(named(docs, mark(often), longest, ranges))
-    counted = checkpointed(trie_counts(docs, candidates, shard).filter((F.col("f") >= least) | (F.col("phrase") == "")))
+        often = often.unionByName(often_keys(kept, mark(often), 2, longest, least, ranges))
+    bitmap = mark(often)
+    candidates = checkpointed(named(kept, bitmap, longest, ranges))
+    counted = checkpointed(trie_counts(kept, bitmap, candidates, shard).filter((F.col("f") >= least) | (F.col("phrase") == "")))
     size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     phrases = counted.filter(size > 1).select("lang", "phrase", F.col("f").alias("a"))
     words = counted.filter((size == 1) & (F.col("f") >= least)).select("lang", F.col("phrase").alias("word"), "f")

@@ -56,16 +56,20 @@ def word_bounds(chars: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words of a text: A-Z in lower case, cut at ASCII white space.
+    """64-bit hashes of the words of a text: A-Z in lower case, cut at ASCII white space."""
+    data = (text or "").encode("utf-8", "replace").lower()
+    bounds = word_bounds(np.frombuffer(data, np.uint8))
+    return hashes_between(data, bounds[::2], bounds[1::2])
+
+
+def hashes_between(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words of ``data`` in order, between which there is only ASCII white space.
 
     A word's hash is the sum of its bytes' numbers times the powers of a factor, counted
     from the word's start, so that all words of a piece of the text are hashed at once
     without building them; words of more than LONG_WORD bytes are hashed one by one.
     """
-    data = (text or "").encode("utf-8", "replace").lower()
     chars = np.frombuffer(data, np.uint8)
-    bounds = word_bounds(chars)
-    starts, ends = bounds[::2], bounds[1::2]
     out = np.empty(len(starts), np.uint64)
     long = ends - starts > LONG_WORD
     lo = 0

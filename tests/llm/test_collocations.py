@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +143,56 @@ def test_query_against_sql(spark):
     want = sorted(con.execute(OP13_SQL).fetchall())
     got = sorted(map(tuple, op13_collocations(spark, SF_MID).collect()))
     assert got == want and len(got) > 50
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_encoded_slices_have_the_words(monkeypatch, weak):
+    """Every word in order, with its language, bytes and count; also if all words share few hashes."""
+    if weak:
+        hashes = c.hashes_between
+        monkeypatch.setattr(c, "hashes_between", lambda *given: hashes(*given) & np.uint64(3))
+    monkeypatch.setattr(c, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(c, "COMPARED", 7)
+    docs = random_docs(60) + [(None, "fr"), ("", "en"), (" .\n. ", "xx"), ("x" * 90 + "y " + "x" * 90 + "z a\x1cb \x85", "en")]
+    batch = pa.RecordBatch.from_pylist([{"text": t, "lang": lang or "und"} for t, lang in docs])
+    got, rows = [], list(c.rows_in(c.encoded(iter([batch]))))
+    for row in rows:
+        codes, langs, f = c.codes_of(row), c.unsqueezed(row["lang"], row["distinct"]), c.unsqueezed(row["f"], row["distinct"])
+        names = c.names_of(row, np.arange(row["distinct"]))
+        words = [(row["langs"][of], w.decode()) for of, w in zip(langs.tolist(), names, strict=True)]
+        assert len(set(words)) == len(words) and codes[-1] == 0
+        assert Counter(codes[codes > 0].tolist()) == dict(enumerate(f.tolist(), 1))
+        found = [words[code - 1] if code else None for code in codes.tolist()]
+        got += [list(g) for at, g in itertools.groupby(found, lambda w: w is None) if not at]
+    assert len(rows) > 3
+    assert got == [[(lang or "und", w) for w in p] for text, lang in docs for p in pieces(text) if p]
+
+
+def test_texts_are_read_once(spark):
+    """However many tries there are."""
+    read = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = random_docs(80)
+    df = spark.createDataFrame(docs, "text string, lang string").mapInArrow(through, "text string, lang string")
+    got = collocations(df, least=8, top=30, shard=40)
+    assert sorted(map(tuple, got.collect())) == brute(docs, 8, 5, 30)
+    assert read.value == len(docs)
+
+
+def test_shards_of_phrases(spark):
+    """One first word's phrases are in one shard, unless they are a large part of it."""
+    few = [(lang, f"{a} {b}") for lang in ("en", "fr") for a in "abcdefgh" for b in ("x", "y", "z z", "a b c")]
+    many = [("en", f"of {k}") for k in range(400)]
+    given = spark.createDataFrame([*few, *many, ("en", "")], "lang string, phrase string")
+    got = [tuple(r) for r in c.sharded(given, 5, 100).collect()]
+    assert sorted(r[:2] for r in got) == sorted([*few, *many, ("en", "")])
+    of = defaultdict(set)
+    for lang, phrase, shard in got:
+        of[lang, phrase.split(" ")[0]].add(shard)
+    assert of.pop(("en", "of")) == set(range(5)) and all(len(x) == 1 for x in of.values())
+    assert max(Counter(shard for _, phrase, shard in got if phrase.startswith("of ")).values()) < 130
